@@ -9,8 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """A table; with ``key``, spread over the cluster if its files are too few for that."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    tasks = spark.sparkContext.defaultParallelism
+    if key and df.rdd.getNumPartitions() < tasks:
+        return df.repartition(tasks, key)
+    return df
 
 
 def _millis(ts: str) -> Column:
@@ -20,7 +25,7 @@ def _millis(ts: str) -> Column:
 def _events(spark: SparkSession, sf_dir: str, disordered: bool) -> DataFrame:
     """Events with ``k`` from their properties, and an arrival order."""
     k = F.get_json_object("props", "$.k").cast("int")
-    events = table(spark, sf_dir, "events").withColumn("k", k)
+    events = table(spark, sf_dir, "events", "event_id").withColumn("k", k)
     late = F.col("k") % 5
     # The late variant moves events back by 0 to 800 places, ties by event_id.
     moved = (F.col("event_id") + late * 200) * 5 + 4 - late
@@ -94,7 +99,7 @@ def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw change records out of four tables, and broken ones out of supplier."""
     parts = []
     for source, name, key in CHANGED:
-        rows = table(spark, sf_dir, name)
+        rows = table(spark, sf_dir, name, key)
         change = F.struct(
             F.lit(source).alias("table"), _operation(F.col(key)).alias("type"), F.struct(*rows.columns).alias("data")
         )
@@ -161,7 +166,7 @@ def status_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Some changes leave a column out, some write a null.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
     key = F.col("o_orderkey")
     record = F.struct(
         F.when(key % 17 == 0, "delete").otherwise("update").alias("type"),
@@ -189,7 +194,7 @@ def _clock(seconds: Column) -> Column:
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order topic: one record per order, at a second of its day."""
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
     seconds = _order_time(F.col("o_orderkey"), F.col("o_orderdate"))
     total = F.col("o_totalprice").cast("decimal(16,2)")
     record = F.struct(
@@ -203,7 +208,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order line topic: one record per line, up to six seconds off its order."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     seconds = _order_time(F.col("o_orderkey"), F.col("o_orderdate")) + (F.col("l_linenumber") - 4) * 2

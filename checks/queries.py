@@ -17,7 +17,7 @@ from shopstream.plans import changes as change_plan
 from shopstream.plans import logs as log_plan
 from shopstream.plans import orders as order_plan
 from shopstream.plans import visits as visit_plan
-from shopstream.session import shared_dir, stream_session
+from shopstream.session import shared_dir, stage, stream_session
 from shopstream.sinks.topics import land_raw_log, topic_records, write_facts, write_records
 from shopstream.sources.rules import flatten_cdc
 from shopstream.sources.topics import FolderTopics, read_lines
@@ -25,6 +25,7 @@ from shopstream.sources.topics import FolderTopics, read_lines
 HOUR_MS = 3_600_000
 STREAM_PARTITIONS = 8
 STREAM_STEPS = 3
+STREAM_FILES = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -278,13 +279,13 @@ def _merge_wide(strict: bool) -> Query:
 
 
 def feed_topic(spark: SparkSession, records: DataFrame, store: FolderTopics, topic: str) -> None:
-    """Write records as a topic in ``STREAM_STEPS`` files sets, in arrival order."""
-    records = topic_records(records, topic)
+    """Write records as a topic, in ``STREAM_STEPS`` sets of files in arrival order."""
+    records = stage(topic_records(records, topic), f"{store.root}-{topic}")
     low, high = records.agg(F.min("arrival"), F.max("arrival") + 1).first()
     cuts = [low + (high - low) * i // STREAM_STEPS for i in range(STREAM_STEPS + 1)]
     for start, end in zip(cuts, cuts[1:]):
         part = records.where((F.col("arrival") >= start) & (F.col("arrival") < end))
-        write_records(part.coalesce(1), store)
+        write_records(part.repartition(store.max_files_per_trigger, "arrival"), store)
 
 
 def _stream(spark: SparkSession) -> tuple[SparkSession, str]:
@@ -293,14 +294,14 @@ def _stream(spark: SparkSession) -> tuple[SparkSession, str]:
 
 def stream_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, path = _stream(spark)
-    source, target = FolderTopics(f"{path}/in", 1), FolderTopics(f"{path}/out")
+    source, target = FolderTopics(f"{path}/in", STREAM_FILES), FolderTopics(f"{path}/out")
     feed_topic(session, inputs.app_logs(session, sf_dir, disordered=True), source, names.ODS_LOG)
     log_plan.start_logs(session, source, target, f"{path}/state", once=True).awaitTermination()
     return record_columns(spark.read.schema(schemas.TOPIC + ", topic STRING").parquet(target.root))
 
 
 def page_topic(session: SparkSession, sf_dir: str, path: str, disordered: bool) -> FolderTopics:
-    source = FolderTopics(f"{path}/in", 1)
+    source = FolderTopics(f"{path}/in", STREAM_FILES)
     pages = logs.split_logs(good_logs(session, sf_dir, disordered)).page
     feed_topic(session, pages.select("value", "arrival"), source, names.PAGE_LOG)
     return source
@@ -333,7 +334,7 @@ def stream_jump_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and lines as two streams; lateness is allowed for, as both arrive by key, not by time."""
     session, path = _stream(spark)
-    source = FolderTopics(f"{path}/in", 1)
+    source = FolderTopics(f"{path}/in", STREAM_FILES)
     feed_topic(session, inputs.order_records(session, sf_dir), source, names.ORDER_INFO)
     feed_topic(session, inputs.detail_records(session, sf_dir), source, names.ORDER_DETAIL)
     wide = order_plan.stream_order_wide(session, source, "second", delay="10000 days")
@@ -346,7 +347,7 @@ def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change job over a stream: the user dimension it leaves."""
     session, path = _stream(spark)
-    source, target = FolderTopics(f"{path}/in", 1), FolderTopics(f"{path}/facts")
+    source, target = FolderTopics(f"{path}/in", STREAM_FILES), FolderTopics(f"{path}/facts")
     feed_topic(session, inputs.change_records(session, sf_dir), source, names.ODS_CHANGES)
     stream = change_plan.start_changes(
         session, source, target, f"{path}/dims", inputs.rules, f"{path}/state", once=True, scratch=f"{path}/stage"

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
 
+# A watermark just behind the newest row: rows as new as the newest are not late.
+NO_DELAY = "1 millisecond"
+
 
 def event_time(ts: Column) -> Column:
     return F.timestamp_millis(ts)
@@ -32,7 +35,7 @@ def second_millis(text: Column) -> Column:
     return F.unix_millis(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")))
 
 
-def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "0 seconds", name: str = "event_time") -> DataFrame:
+def with_event_time(df: DataFrame, ts: str = "ts", delay: str = NO_DELAY, name: str = "event_time") -> DataFrame:
     """Add an event-time column from epoch ms and a watermark on it.
 
     Rows older than the watermark are late: stateful operators drop them.

@@ -9,6 +9,7 @@ from shopstream import names
 from shopstream.operators import visits
 from shopstream.operators.logs import parse_log
 from shopstream.operators.rejects import accepted
+from shopstream.session import shared_dir, stage
 from shopstream.sinks.topics import stream_records, topic_records, write_topic
 from shopstream.sources.topics import FolderTopics, KafkaTopics, read_topic
 from shopstream.streaming import devices
@@ -20,12 +21,18 @@ def page_logs(spark: SparkSession, source: Store, streaming: bool = False) -> Da
     return accepted(parse_log(read_topic(spark, source, names.PAGE_LOG, streaming)))
 
 
-def run_unique_visit(spark: SparkSession, source: Store, target: Store, mode: str = "exact") -> None:
-    write_topic(visits.unique_visit(page_logs(spark, source), mode), target, names.UNIQUE_VISIT)
+def run_visits(
+    spark: SparkSession, source: Store, target: Store, run: str, mode: str = "exact", complete: bool = True,
+    scratch: str | None = None,
+) -> None:
+    """Unique visits and bounces of all page logs, in one batch.
 
-
-def run_jump_detail(spark: SparkSession, source: Store, target: Store, complete: bool = True) -> None:
-    write_topic(visits.jump_detail(page_logs(spark, source), complete=complete), target, names.USER_JUMP)
+    Both look at the pages more than once, so the parsed pages are staged as a
+    table first. ``run`` names the staged table.
+    """
+    pages = stage(page_logs(spark, source), f"{shared_dir(spark, scratch)}/{run}/pages")
+    write_topic(visits.unique_visit(pages, mode), target, names.UNIQUE_VISIT)
+    write_topic(visits.jump_detail(pages, complete=complete), target, names.USER_JUMP)
 
 
 def start_unique_visit(

@@ -63,6 +63,8 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataF
     """Text files, one record a line, e.g. collector logs.
 
     ``arrival`` follows the lines of each file; files have no order among them.
+    A stream has no line numbers and gives ``value`` alone.
     """
-    reader = spark.readStream if streaming else spark.read
-    return reader.text(path).select("value", F.monotonically_increasing_id().alias("arrival"))
+    if streaming:
+        return spark.readStream.text(path).select("value")
+    return spark.read.text(path).select("value", F.monotonically_increasing_id().alias("arrival"))

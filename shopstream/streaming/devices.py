@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.functions.fields import is_entry_page, with_flag
-from shopstream.functions.times import DAY_MS, day_text, with_event_time
+from shopstream.functions.times import DAY_MS, NO_DELAY, day_text, with_event_time
 from shopstream.operators.logs import parse_log
 from shopstream.operators.rejects import accepted
 from shopstream.operators.visits import BOUNCE_GAP_MS, timed_pages
@@ -57,7 +57,7 @@ def unique_visit(pages: DataFrame, mode: str = "exact", ttl: bool = True, delay:
     )
 
 
-def jump_detail(pages: DataFrame, gap_ms: int = BOUNCE_GAP_MS, delay: str = "0 seconds") -> DataFrame:
+def jump_detail(pages: DataFrame, gap_ms: int = BOUNCE_GAP_MS, delay: str = NO_DELAY) -> DataFrame:
     """``mid, value, arrival, ts`` of the bounces whose gap the watermark has passed."""
     entry_text = F.when(is_entry_page(F.col("page")), F.col("value"))
     timed = with_event_time(timed_pages(pages), delay=delay)

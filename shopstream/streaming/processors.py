@@ -124,8 +124,10 @@ class Bounce(StatefulProcessor):
         self._pages = handle.getListState("pages", "ts BIGINT, arrival BIGINT, value STRING")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        arrived = ((r.ts, r.arrival, r.value) for r in rows)
-        return self._settle(key[0], arrived, timerValues.getCurrentWatermarkInMs())
+        # Spark itself drops late rows one batch later than the watermark moves.
+        watermark = timerValues.getCurrentWatermarkInMs()
+        arrived = ((r.ts, r.arrival, r.value) for r in rows if r.ts > watermark)
+        return self._settle(key[0], arrived, watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         return self._settle(key[0], (), timerValues.getCurrentWatermarkInMs())
@@ -141,12 +143,12 @@ class Bounce(StatefulProcessor):
         self._drop_followed(pages)
         kept = []
         for ts, arrival, value in pages:
-            if value is not None and ts + self._gap < watermark:
+            if value is not None and ts + self._gap <= watermark:
                 yield Row(mid=mid, value=value, arrival=arrival, ts=ts)
                 value = None
             if value is not None:
-                self._handle.registerTimer(ts + self._gap + 1)
-            if value is not None or ts >= watermark:
+                self._handle.registerTimer(ts + self._gap)
+            if value is not None or ts > watermark:
                 kept.append((ts, arrival, value))
         if kept:
             self._pages.put(kept)

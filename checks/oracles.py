@@ -47,12 +47,12 @@ def records(arrival: str, flag: str, source: str, ctes: str) -> str:
     """
 
 
-def jumps(gap_ms: int, complete: bool = True) -> str:
+def jumps(gap_ms: int, complete: bool = True, arrival: str = "arrival") -> str:
     cut = "" if complete else f"AND ts + {gap_ms} < (SELECT max(ts) FROM pages)"
     return f"""
         WITH {EVENTS},
-        pages AS (SELECT *, lead(ts) OVER (PARTITION BY mid ORDER BY ts, arrival) AS next_ts FROM logs WHERE NOT is_start)
-        SELECT arrival, mid, page_id, ts FROM pages
+        pages AS (SELECT *, lead(ts) OVER (PARTITION BY mid ORDER BY ts, {arrival}) AS next_ts FROM logs WHERE NOT is_start)
+        SELECT {arrival} AS arrival, mid, page_id, ts FROM pages
         WHERE last_page_id IS NULL AND (next_ts IS NULL OR next_ts - ts >= {gap_ms}) {cut}
     """
 
@@ -243,6 +243,15 @@ ALL: dict[str, str] = {
                     WHEN 4 THEN 'no_page' WHEN 5 THEN 'no_ts' ELSE 'bad_display' END AS reject_reason
         FROM events WHERE event_id % 8 NOT IN (0, 6)""",
     "land_raw_log": f"WITH {EVENTS} SELECT day AS dt, mid, ts FROM logs",
+    "topic_round_trip": f"""
+        WITH {EVENTS} SELECT arrival, mid, 'icon' AS entry, k AS loading_time, ts FROM logs WHERE is_start""",
+    "run_logs": records("late_arrival", "new_flag", "repaired", REPAIRED),
+    "run_visits": f"""
+        SELECT 'dwm_unique_visit' AS topic, arrival FROM ({VISIT_EXACT})
+        UNION ALL
+        SELECT 'dwm_user_jump_detail', arrival FROM ({jumps(10_000, arrival="late_arrival")})""",
+    "page_predicates": f"""
+        WITH {EVENTS} SELECT arrival, last_page_id IS NULL AS is_entry, page_id <> '' AS is_page FROM logs WHERE NOT is_start""",
     "cdc_clean": f"""
         WITH {CHANGES} SELECT source AS "table", op AS type, arrival, CAST(len(string_split(columns, ',')) AS INTEGER) AS n_columns
         FROM changes""",
@@ -262,10 +271,32 @@ ALL: dict[str, str] = {
         FROM history""",
     "cdc_current_rules": current_rules("NOT gone", "TRUE"),
     "cdc_current_rules_deletes": current_rules("TRUE", "NOT gone"),
+    "rules_from_files": current_rules("NOT gone", "TRUE"),
     "fact_topics": FACTS,
+    "dim_rules": f"""
+        WITH {RULE_HISTORY}
+        SELECT sink_table, 'id' AS pk, sink_columns AS columns,
+               CASE WHEN sink_columns IS NULL THEN 'no_columns' END AS reject_reason
+        FROM history WHERE sink_type = 'hbase'""",
+    "dim_rejects": """
+        SELECT o_orderkey AS arrival, 'unknown_column' AS reject_reason FROM orders WHERE o_orderkey % 7 = 0""",
     "dim_upsert": status_table(False),
     "dim_upsert_deletes": status_table(True),
     "dim_table_batches": status_table(False),
+    "order_parse_info": f"""
+        WITH {ORDERS}
+        SELECT id, user_id, total AS total_amount, strftime(day, '%Y-%m-%d') AS create_date,
+               strftime(to_timestamp(seconds) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS create_time,
+               seconds // 86400 * 86400000 AS create_ts
+        FROM infos""",
+    "order_parse_detail": f"""
+        WITH {ORDERS}
+        SELECT id, order_id, sku_id, order_price, sku_num, seconds * 1000 AS create_ts,
+               strftime(to_timestamp(seconds) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS create_time
+        FROM details""",
+    "run_order_wide": f"""
+        WITH {ORDERS} SELECT id AS order_id, detail_id, sku_id, order_price, create_time
+        FROM joined WHERE detail_seconds BETWEEN seconds - 5 AND seconds + 5""",
     "order_interval_join": f"""
         WITH {ORDERS}
         SELECT id AS order_id, detail_id, sku_id, seconds * 1000 AS order_ts, detail_seconds * 1000 AS detail_ts

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from shopstream import names, schemas
+from shopstream.functions.fields import is_entry_page, is_page
 from shopstream.operators import cdc, dims, logs, orders, visits
 from shopstream.operators.rejects import accepted, quarantined
 from shopstream.plans import changes as change_plan
@@ -18,9 +19,9 @@ from shopstream.plans import logs as log_plan
 from shopstream.plans import orders as order_plan
 from shopstream.plans import visits as visit_plan
 from shopstream.session import shared_dir, stage, stream_session
-from shopstream.sinks.topics import land_raw_log, topic_records, write_facts, write_records
-from shopstream.sources.rules import flatten_cdc
-from shopstream.sources.topics import FolderTopics, read_lines
+from shopstream.sinks.topics import land_raw_log, topic_records, write_facts, write_records, write_topic
+from shopstream.sources.rules import flatten_cdc, read_rules
+from shopstream.sources.topics import FolderTopics, read_lines, read_topic
 
 HOUR_MS = 3_600_000
 STREAM_PARTITIONS = 8
@@ -112,9 +113,41 @@ def land_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(day.alias("dt"), F.get_json_object("value", "$.common.mid").alias("mid"), ts.alias("ts"))
 
 
+def run_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log job as one batch, from topic to topics."""
+    path = work_dir(spark)
+    source, target = FolderTopics(f"{path}/in"), FolderTopics(f"{path}/out")
+    write_topic(inputs.app_logs(spark, sf_dir, disordered=True), source, names.ODS_LOG)
+    log_plan.run_logs(spark, source, target, "logs", f"{path}/stage")
+    return record_columns(spark.read.schema(schemas.TOPIC + ", topic STRING").parquet(target.root))
+
+
+def topic_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start logs written to a topic beside others, and read back."""
+    store = FolderTopics(f"{work_dir(spark)}/topics")
+    write_records(logs.log_records(good_logs(spark, sf_dir)), store)
+    return start_columns(accepted(logs.parse_log(read_topic(spark, store, names.START_LOG))))
+
+
 # -- visits ------------------------------------------------------------------
 
 
+def page_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = accepted(logs.parse_log(inputs.app_logs(spark, sf_dir))).where(F.col("page").isNotNull())
+    page = F.col("page")
+    return pages.select("arrival", is_entry_page(page).alias("is_entry"), is_page(page).alias("is_page"))
+
+
+def run_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique visits and bounces as one batch, from topic to topics."""
+    path = work_dir(spark)
+    source, target = FolderTopics(f"{path}/in"), FolderTopics(f"{path}/out")
+    pages = logs.split_logs(good_logs(spark, sf_dir, disordered=True)).page
+    write_topic(pages, source, names.PAGE_LOG)
+    visit_plan.run_visits(spark, source, target, "visits", scratch=f"{path}/stage")
+    return spark.read.schema(schemas.TOPIC + ", topic STRING").parquet(target.root).select("topic", "arrival")
+
+
 def visit_columns(seen: DataFrame) -> DataFrame:
     return seen.select("arrival", "mid", F.col("page.page_id").alias("page_id"), "ts", "visit_date")
 
@@ -180,6 +213,13 @@ def _current_rules(honor_deletes: bool) -> Query:
     return query
 
 
+def rules_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules in force, read from envelope files as a capture tool leaves them."""
+    path = f"{work_dir(spark)}/envelopes"
+    inputs.rule_envelopes(spark, sf_dir).select("value").write.text(path)
+    return cdc.current_rules(cdc.rule_changes(read_rules(spark, path))).drop("sink_pk", "sink_extend")
+
+
 def fact_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts written each to its own topic, and read back typed."""
     store = FolderTopics(f"{work_dir(spark)}/facts")
@@ -209,6 +249,19 @@ def dim_upsert_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.where(~F.col("_deleted")).select(*STATUS_COLUMNS)
 
 
+def dim_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension tables the rules of ``part`` ask for, taking all of them for inserts."""
+    history = cdc.rule_changes(flatten_cdc(inputs.rule_envelopes(spark, sf_dir)))
+    wanted = dims.dim_rules(history.withColumn("operate_type", F.lit("insert")))
+    return wanted.select("sink_table", "pk", F.array_join("columns", ",").alias("columns"), "reject_reason")
+
+
+def dim_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes a table without the day column cannot take."""
+    marked = dims.check_dim_rows(inputs.status_changes(spark, sf_dir), "id", STATUS_COLUMNS[:-1])
+    return marked.where(F.col("reject_reason").isNotNull()).select("arrival", "reject_reason")
+
+
 def dim_table_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension table created by rule, upserted in four batches and compacted halfway."""
     root = f"{work_dir(spark)}/dims"
@@ -234,6 +287,24 @@ def order_sides(spark: SparkSession, sf_dir: str, grain: str) -> tuple[DataFrame
     return infos.drop("value"), details.drop("value")
 
 
+def _parsed_orders(detail: bool, grain: str) -> Query:
+    columns = ["id", "order_id", "sku_id", "order_price", "sku_num"] if detail else ["id", "user_id", "total_amount", "create_date"]
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return order_sides(spark, sf_dir, grain)[detail].select(*columns, "create_time", "create_ts")
+
+    return query
+
+
+def run_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order job as one batch over two topics."""
+    store = FolderTopics(f"{work_dir(spark)}/in")
+    write_topic(inputs.order_records(spark, sf_dir), store, names.ORDER_INFO)
+    write_topic(inputs.detail_records(spark, sf_dir), store, names.ORDER_DETAIL)
+    wide = order_plan.run_order_wide(spark, store, "second")
+    return wide.select("order_id", "detail_id", "sku_id", "order_price", "create_time")
+
+
 def order_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     infos, details = order_sides(spark, sf_dir, "second")
     joined = orders.interval_join(infos, details, "id", "order_id")
@@ -378,6 +449,10 @@ ALL: dict[str, Query] = {
     "log_records": log_records,
     "log_quarantine": log_quarantine,
     "land_raw_log": land_logs,
+    "topic_round_trip": topic_round_trip,
+    "run_logs": run_logs,
+    "run_visits": run_visits,
+    "page_predicates": page_predicates,
     "cdc_clean": cdc_clean,
     "cdc_route_dim": _route("dim"),
     "cdc_route_fact": _route("fact"),
@@ -387,10 +462,16 @@ ALL: dict[str, Query] = {
     "cdc_rule_flatten": rule_flatten,
     "cdc_current_rules": _current_rules(False),
     "cdc_current_rules_deletes": _current_rules(True),
+    "rules_from_files": rules_from_files,
     "fact_topics": fact_topics,
+    "dim_rules": dim_rules,
+    "dim_rejects": dim_rejects,
     "dim_upsert": dim_upsert,
     "dim_upsert_deletes": dim_upsert_deletes,
     "dim_table_batches": dim_table_batches,
+    "order_parse_info": _parsed_orders(False, "day"),
+    "order_parse_detail": _parsed_orders(True, "second"),
+    "run_order_wide": run_order_wide,
     "order_interval_join": order_interval_join,
     "order_wide_day": order_wide_day,
     "order_merge_wide": _merge_wide(True),

@@ -141,15 +141,18 @@ class Bounce(StatefulProcessor):
                 self._drop_followed(pages)
                 limit = 2 * len(pages)
         self._drop_followed(pages)
-        kept = []
+        kept, next_due = [], None
         for ts, arrival, value in pages:
             if value is not None and ts + self._gap <= watermark:
                 yield Row(mid=mid, value=value, arrival=arrival, ts=ts)
                 value = None
-            if value is not None:
-                self._handle.registerTimer(ts + self._gap)
+            if value is not None and next_due is None:
+                next_due = ts + self._gap
             if value is not None or ts > watermark:
                 kept.append((ts, arrival, value))
+        # One timer will do: settling then sets the one for the page after.
+        if next_due is not None:
+            self._handle.registerTimer(next_due)
         if kept:
             self._pages.put(kept)
         elif had_pages:

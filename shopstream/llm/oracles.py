@@ -2,4 +2,73 @@
 
 from __future__ import annotations
 
-ALL: dict[str, str] = {}
+from shopstream.llm import packing
+
+WORDS = r"len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> ''))"
+
+
+def packing_sql(
+    max_len: int = packing.MAX_LEN, buckets: int = packing.BUCKETS, budget: int = packing.TOKEN_BUDGET,
+    slice_rows: int = packing.SLICE_ROWS,
+) -> str:
+    """The dynamic programme as one common table expression per number of buckets."""
+    steps = "".join(
+        f"""
+        , c{k} AS (
+            SELECT h.j, p.j AS i, p.best + h.length * (h.upto - q.upto) AS cost
+            FROM hist h JOIN b{k - 1} p ON p.j < h.j JOIN points q ON q.j = p.j
+        )
+        , b{k} AS (
+            SELECT j, min(cost) AS best, min(i) AS start
+            FROM (SELECT *, min(cost) OVER (PARTITION BY j) AS least FROM c{k}) WHERE cost = least GROUP BY j
+            UNION ALL SELECT 0, 0, 0
+        )"""
+        for k in range(2, buckets + 1)
+    )
+    levels = " UNION ALL ".join(f"SELECT {k} AS k, j, best, start FROM b{k}" for k in range(1, buckets + 1))
+    return f"""
+        WITH RECURSIVE whole AS (SELECT doc_id, {WORDS} AS tokens FROM documents)
+        , rows AS (
+            SELECT doc_id, CAST(segment AS INTEGER) AS segment,
+                CAST(least(tokens - segment * {max_len}, {max_len}) AS BIGINT) AS length
+            FROM (SELECT *, unnest(range(0, greatest(CAST(ceil(tokens / {max_len}) AS BIGINT), 1))) AS segment FROM whole)
+        )
+        , hist AS (
+            SELECT row_number() OVER (ORDER BY length) AS j, length,
+                CAST(sum(n) OVER (ORDER BY length) AS BIGINT) AS upto
+            FROM (SELECT length, count(*) AS n FROM rows WHERE length > 0 GROUP BY length)
+        )
+        , points AS (SELECT 0 AS j, 0 AS upto UNION ALL SELECT j, upto FROM hist)
+        , b1 AS (SELECT j, length * upto AS best, 0 AS start FROM hist UNION ALL SELECT 0, 0, 0)
+        {steps}
+        , levels AS ({levels})
+        , last AS (SELECT max(j) AS j FROM hist)
+        , used AS (
+            SELECT min(k) AS k FROM levels JOIN last USING (j)
+            WHERE best = (SELECT min(best) FROM levels JOIN last USING (j))
+        )
+        , walk AS (
+            SELECT used.k, last.j FROM used, last
+            UNION ALL
+            SELECT walk.k - 1, l.start FROM walk JOIN levels l ON l.k = walk.k AND l.j = walk.j WHERE l.start > 0
+        )
+        , bounds AS (SELECT length AS bucket FROM walk JOIN hist USING (j))
+        , slices AS (SELECT greatest(1, CAST(ceil(count(*) / {slice_rows}) AS BIGINT)) AS n FROM rows WHERE length > 0)
+        , placed AS (
+            SELECT doc_id, segment, length, bucket, row_number() OVER (
+                PARTITION BY bucket
+                ORDER BY CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % slices.n,
+                    doc_id NULLS FIRST, segment
+            ) - 1 AS place
+            FROM (SELECT *, (SELECT min(bucket) FROM bounds WHERE bucket >= length) AS bucket FROM rows WHERE length > 0), slices
+        )
+        SELECT doc_id, segment, length, bucket, CAST(place // greatest(1, {budget} // bucket) AS BIGINT) AS batch,
+            CAST(place % greatest(1, {budget} // bucket) AS BIGINT) AS slot, bucket - length AS padding
+        FROM placed
+        UNION ALL SELECT doc_id, segment, length, NULL, NULL, NULL, NULL FROM rows WHERE length = 0
+    """
+
+
+ALL: dict[str, str] = {
+    "op5_packing": packing_sql(),
+}

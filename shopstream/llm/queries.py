@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import secrets, simhash
+from shopstream.llm import bpe, packing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,11 +17,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary lies beside the tokenizer package, on the driver alone; the tokenizer travels with the tasks."""
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        definition = bpe.tokenizer_json(bpe.parse_ranks(file), public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = bpe.decode_documents(bpe.encode_documents(docs, definition, offsets=False).drop("text"), definition)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.word_count(F.col("text")))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = tuple(r.kind for r in secrets.RULES)
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -33,6 +55,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: dict[str, Query] = {
+    "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
+    "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op8_secrets": op8_secrets,
 }

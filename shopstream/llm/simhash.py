@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,17 +199,40 @@ def simhash_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS,
     aim: int = AIM_ROWS, shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
-    """Each document's fingerprint and the component it belongs to: ``(<id_col>, fp, component_id)``.
+    """Each document's fingerprint and its component: ``(<id_col>, fp, component, component_id)``.
 
     One row per row of ``docs``; other columns are left out, whatever their
     names. Null and blank texts have fingerprint zero and link like any other.
-    ``component_id`` is the smallest id reachable, null only if all ids reachable
-    are null; rows that repeat an id each keep their own fingerprint.
+    ``component`` is the smallest fingerprint reachable and ``component_id`` the
+    smallest id, null only if all ids reachable are null; rows that repeat an id
+    each keep their own fingerprint.
     """
     prints = staged(docs.select(F.col(id_col).alias("id"), fingerprint_of(F.col(text_col), size).alias("fp")))
     classes = staged(prints.groupBy("fp").agg(F.min("id").alias("first_id")))
     parts = connected_components(close_links(classes.select("fp"), radius, aim, shard_rows)).withColumnRenamed("id", "fp")
     placed = staged(classes.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp")))
     names = staged(placed.groupBy("component").agg(F.min("first_id").alias("component_id")))
-    placed = staged(placed.join(names, "component").select("fp", "component_id"))
-    return prints.join(placed, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    placed = staged(placed.join(names, "component").select("fp", "component", "component_id"))
+    return prints.join(placed, "fp").select(F.col("id").alias(id_col), "fp", "component", "component_id")
+
+
+def keep_one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS,
+) -> DataFrame:
+    """``docs`` with one row of each component left: that with the smallest id, then the smallest fingerprint.
+
+    Rows without an id stay only where their component has no id at all. Of rows
+    alike in id and fingerprint, one stays. All columns are kept as they are.
+    """
+    found = simhash_components(docs, id_col, text_col, size, radius)
+    first = found.groupBy("component").agg(F.min(F.struct(
+        F.col(id_col).isNull().alias("without"), F.col(id_col).alias("id"), F.col("fp").alias("fp"),
+    )).alias("first"))
+    kept = first.select("first.id", "first.fp")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"), fingerprint_of(F.col(text_col), size).alias("fp"),
+    ).alias("rows")
+    kept = kept.alias("kept")
+    same = F.col("rows.id").eqNullSafe(F.col("kept.id")) & (F.col("rows.fp") == F.col("kept.fp"))
+    place = F.row_number().over(Window.partitionBy("rows.id", "rows.fp").orderBy(F.xxhash64("doc." + text_col)))
+    return rows.join(kept, same, "left_semi").withColumn("place", place).where("place = 1").select("doc.*")

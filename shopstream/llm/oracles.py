@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from shopstream.llm import packing
 
-WORDS = r"len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> ''))"
+WORDS = r"len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))"
 
 
 def packing_sql(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopstream.llm import packing
+from shopstream.llm import packing, reputation
 
 WORDS = r"len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))"
 
@@ -69,6 +69,73 @@ def packing_sql(
     """
 
 
+def reputation_sql(limit: float = reputation.LIMIT, z: float = reputation.Z) -> str:
+    after = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END"
+    two = ", ".join(f"'{s}'" for s in reputation.TWO_LABEL_SUFFIXES)
+    rules = " UNION ALL ".join(
+        f"SELECT '{r.verdict}' AS verdict, '{r.host}' AS rule_host, '{r.path}' AS rule_path, '{r.text}' AS rule, {i} AS place"
+        for i, r in enumerate(reputation.RULES)
+    )
+
+    def strength(name: str) -> str:
+        rho = (
+            "sum(n * pow(k / n - prior, 2) - prior * (1 - prior)) FILTER (n > 0)"
+            " / nullif(sum(prior * (1 - prior) * (n - 1)) FILTER (n > 0), 0)"
+        )
+        bounded = f"least({reputation.MOST_RHO}::DOUBLE, greatest({reputation.LEAST_RHO}::DOUBLE, {rho}))"
+        return f"{name}_s AS (SELECT 1 / coalesce({bounded}, {reputation.LEAST_RHO}::DOUBLE) - 1 AS s FROM {name})"
+
+    share = "(k + s * prior) / (n + s)"
+    return f"""
+        WITH pages_ AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{reputation.UPPER}', '{reputation.UPPER.lower()}') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM (SELECT page_id, coalesce({after}, '') AS rest FROM pages)
+        )
+        , shown AS (SELECT host, try_cast(regexp_extract(path, '^/[a-z]+/([0-9]{{1,18}})([./]|$)', 1) AS BIGINT) AS doc FROM pages_)
+        , hosts AS (
+            SELECT host, CAST(count(quality) AS DOUBLE) AS n, CAST(count(*) FILTER (quality = 0) AS DOUBLE) AS k,
+                array_to_string(string_split(host, '.')[-2:], '.') AS two, array_to_string(string_split(host, '.')[-3:], '.') AS three,
+                string_split(host, '.')[-1] AS one
+            FROM shown LEFT JOIN (SELECT doc_id, quality FROM labels WHERE quality IN (0, 1)) l ON l.doc_id = doc
+            GROUP BY host
+        )
+        , named AS (
+            SELECT host, n, k, CASE WHEN two IN ({two}) THEN three ELSE two END AS domain,
+                CASE WHEN two IN ({two}) THEN two ELSE one END AS suffix
+            FROM hosts
+        )
+        , overall AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS prior FROM named)
+        , suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(prior) AS prior FROM named, overall GROUP BY suffix)
+        , {strength("suffixes")}
+        , domains AS (
+            SELECT d.domain, d.n, d.k, {share.replace("k +", "x.k +").replace("prior", "x.prior").replace("(n +", "(x.n +")} AS prior
+            FROM (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM named GROUP BY domain, suffix) d
+            JOIN suffixes x USING (suffix), suffixes_s
+        )
+        , {strength("domains")}
+        , leaves AS (
+            SELECT h.host, h.n, h.k, {share.replace("k +", "x.k +").replace("prior", "x.prior").replace("(n +", "(x.n +")} AS prior
+            FROM named h JOIN domains x USING (domain), domains_s
+        )
+        , {strength("leaves")}
+        , known AS (
+            SELECT host, n, k, m - {z} * sqrt(m * (1 - m) / (n + s + 1)) AS lower
+            FROM (SELECT host, n, k, s, {share} AS m FROM leaves, leaves_s)
+        )
+        , rules AS ({rules})
+        , ruled AS (
+            SELECT page_id, verdict, rule FROM pages_ JOIN rules
+            ON ends_with('.' || host, '.' || rule_host) AND starts_with(path, '/' || rule_path)
+            QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, place) = 1
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN lower > {limit} THEN 'block' ELSE 'allow' END) AS verdict,
+            CAST(n AS BIGINT) AS n_labelled, CAST(k AS BIGINT) AS n_bad
+        FROM pages_ JOIN known USING (host) LEFT JOIN ruled USING (page_id)
+    """
+
+
 ALL: dict[str, str] = {
     "op5_packing": packing_sql(),
+    "op10_reputation": reputation_sql(),
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe, packing, quality, secrets, simhash
+from shopstream.llm import bpe, packing, quality, reputation, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,10 +54,18 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    outcomes = reputation.page_outcomes(pages, table(spark, sf_dir, "labels"))
+    found = reputation.judge(pages, outcomes)
+    return found.select("page_id", "host", "path", "rule", "verdict", F.col("n").alias("n_labelled"), F.col("k").alias("n_bad"))
+
+
 ALL: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op8_secrets": op8_secrets,
+    "op10_reputation": op10_reputation,
 }

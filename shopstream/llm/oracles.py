@@ -135,7 +135,23 @@ def reputation_sql(limit: float = reputation.LIMIT, z: float = reputation.Z) ->
     """
 
 
+# A payload's bytes are its UTF-8; DuckDB's sha1() of a text hashes just those.
+WARC = """
+    WITH payloads AS (
+        SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+    )
+    , named AS (
+        SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS kept FROM payloads
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN kept <> page_id THEN kept END AS refers_to
+    FROM named
+"""
+
+
 ALL: dict[str, str] = {
     "op5_packing": packing_sql(),
+    "op7_warc": WARC,
     "op10_reputation": reputation_sql(),
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe, packing, quality, reputation, secrets, simhash
+from shopstream.llm import bpe, packing, quality, reputation, secrets, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = tuple(r.kind for r in secrets.RULES)
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -66,6 +74,7 @@ ALL: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
+    "op7_warc": op7_warc,
     "op8_secrets": op8_secrets,
     "op10_reputation": op10_reputation,
 }

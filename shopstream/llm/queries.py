@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe, packing, quality, reputation, secrets, simhash, warc
+from shopstream.llm import bpe, packing, projection, quality, reputation, secrets, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), packing.word_count(F.col("text")))
 
@@ -72,6 +76,7 @@ def op10_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
+    "op4_projection": op4_projection,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_warc": op7_warc,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe, packing, projection, quality, reputation, secrets, simhash, warc
+from shopstream.llm import bpe, hnsw, packing, projection, quality, reputation, secrets, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     outcomes = reputation.page_outcomes(pages, table(spark, sf_dir, "labels"))
@@ -81,5 +85,6 @@ ALL: dict[str, Query] = {
     "op6_quality": op6_quality,
     "op7_warc": op7_warc,
     "op8_secrets": op8_secrets,
+    "op9_hnsw": op9_hnsw,
     "op10_reputation": op10_reputation,
 }

@@ -150,7 +150,40 @@ WARC = """
 """
 
 
+# Works on the turns before they are made mails: a mail's outer quote is the turn before, the inner one that before it.
+QUOTES = r"""
+    WITH RECURSIVE lines AS (
+        SELECT conv_id, turn, md5(plain) AS hash FROM (
+            SELECT conv_id, turn, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS plain
+            FROM (SELECT conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM conversations)
+        ) WHERE plain <> ''
+    )
+    , originals AS (SELECT conv_id, hash, min(turn) AS original FROM lines GROUP BY conv_id, hash)
+    , links AS (
+        SELECT c.conv_id, c.turn, back.n AS level, o.original, count(*) AS lines
+        FROM conversations c, (VALUES (1), (2)) back(n)
+        JOIN lines l ON l.conv_id = c.conv_id AND l.turn = c.turn - back.n
+        JOIN originals o ON o.conv_id = l.conv_id AND o.hash = l.hash
+        WHERE o.original < c.turn GROUP BY ALL
+    )
+    , parents AS (
+        SELECT conv_id, turn, original AS parent FROM links WHERE level = 1
+        QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY lines DESC, original DESC) = 1
+    )
+    , walk AS (
+        SELECT c.conv_id, c.turn, c.turn AS here, 0 AS depth FROM conversations c
+        UNION ALL
+        SELECT w.conv_id, w.turn, p.parent, w.depth + 1 FROM walk w JOIN parents p ON p.conv_id = w.conv_id AND p.turn = w.here
+    )
+    , tops AS (SELECT conv_id, turn, arg_max(here, depth) AS root, max(depth) AS depth FROM walk GROUP BY conv_id, turn)
+    , counts AS (SELECT conv_id, turn, CAST(sum(lines) AS BIGINT) AS quoted FROM links GROUP BY conv_id, turn)
+    SELECT conv_id, turn, role, coalesce(text, '') AS text, parent, root, depth, coalesce(quoted, 0) AS quoted
+    FROM conversations LEFT JOIN parents USING (conv_id, turn) JOIN tops USING (conv_id, turn) LEFT JOIN counts USING (conv_id, turn)
+"""
+
+
 ALL: dict[str, str] = {
+    "op2_quotes": QUOTES,
     "op5_packing": packing_sql(),
     "op7_warc": WARC,
     "op10_reputation": reputation_sql(),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe, hnsw, packing, projection, quality, reputation, secrets, simhash, warc
+from shopstream.llm import bpe, hnsw, packing, projection, quality, quotes, reputation, secrets, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations hold no quotes, so their turns are made mails first, which quote the two turns before them."""
+    mails = quotes.as_mails(table(spark, sf_dir, "conversations"))
+    found = quotes.reply_conversations(mails)
+    return found.select("conv_id", "turn", "role", "text", "parent", "root", "depth", "quoted")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -79,6 +86,7 @@ def op10_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALL: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_quotes": op2_quotes,
     "op3_simhash": op3_simhash,
     "op4_projection": op4_projection,
     "op5_packing": op5_packing,

@@ -36,7 +36,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def connected_components(links: DataFrame) -> DataFrame:
-    """``(id, component)`` for every id in ``links`` (two columns of one integer type).
+    """``(id, component)`` for every id in ``links`` (two columns of one type that has an order).
 
     ``component`` is the smallest id reachable. Self links, repeated links and
     links with a null end are allowed and change nothing; no links, no rows.

@@ -11,6 +11,9 @@ and every tree goes to the tasks that search its own shard, by shuffle: sent to
 all executors at once, the trees would bring every fingerprint to the driver.
 
 A task hands on a spanning forest of the links it finds, never all pairs.
+
+Texts that are similar by their shingles, rather than by 64 bits, are found with
+wider fingerprints in the same trees, and confirmed by the shingles themselves.
 """
 
 from __future__ import annotations
@@ -36,6 +39,9 @@ SEED = 42
 AIM_ROWS = 512
 SHARD_ROWS = 4096
 SEARCH_ROWS = 256
+WIDE_RADIUS = 28
+WIDE_WAYS = 24
+CHUNK_ROWS = 128
 
 
 # -- fingerprints ------------------------------------------------------------
@@ -81,15 +87,16 @@ def hex_digits(value: Column) -> Column:
 
 
 class Tree:
-    """A BK-tree over ``points``: node i is point i, node 0 the root."""
+    """A BK-tree over ``points`` (rows of 64-bit words): node i is point i, node 0 the root."""
 
     def __init__(self, points: np.ndarray):
         self.points = points
+        self.span = points.shape[1] * BITS + 1
         at = np.zeros(len(points), dtype=np.int64)
         edge_of = np.zeros(len(points), dtype=np.int64)
         waiting = np.arange(1, len(points))
         while len(waiting):
-            edge = at[waiting] * (BITS + 1) + np.bitwise_count(points[waiting] ^ points[at[waiting]])
+            edge = at[waiting] * self.span + distance(points[waiting], points[at[waiting]])
             _, first, which = np.unique(edge, return_index=True, return_inverse=True)
             heads = waiting[first]
             edge_of[heads] = edge[first]
@@ -104,13 +111,13 @@ class Tree:
         node = np.zeros(len(queries), dtype=np.int64)
         found_query, found_node = [], []
         while len(query):
-            far = np.bitwise_count(queries[query] ^ self.points[node]).astype(np.int64)
+            far = distance(queries[query], self.points[node])
             hit = far <= radius
             found_query.append(query[hit])
             found_node.append(node[hit])
-            edge = node * (BITS + 1)
+            edge = node * self.span
             low = np.searchsorted(self.edges, edge + np.maximum(far - radius, 0))
-            high = np.searchsorted(self.edges, edge + np.minimum(far + radius, BITS), side="right")
+            high = np.searchsorted(self.edges, edge + np.minimum(far + radius, self.span - 1), side="right")
             count = high - low
             query = np.repeat(query, count)
             shift = np.repeat(low - np.cumsum(count) + count, count)
@@ -118,30 +125,42 @@ class Tree:
         return np.concatenate(found_query or [query]), np.concatenate(found_node or [node])
 
 
-def _forest(tree_points: np.ndarray, queries: np.ndarray, radius: int, same: bool) -> pd.DataFrame:
-    """Each point with the first point of its group, where links join tree points and queries."""
-    points = tree_points if same else np.concatenate([tree_points, queries])
+def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+
+
+def _forest(rows: pd.DataFrame, words: int, tree_of: int, search_of: int, radius: int) -> pd.DataFrame:
+    """Each node with the first node of its group, where links join the tree's points and the searching ones."""
+    rows = rows.sort_values("node")
+    points = np.stack([rows[f"p{i}"].to_numpy().view(np.uint64) for i in range(words)], axis=1)
+    nodes, own = rows["node"].to_numpy(), rows["own"].to_numpy()
+    in_tree, searching = np.flatnonzero(own == tree_of), np.flatnonzero(own == search_of)
     labels = np.arange(len(points))
-    if len(tree_points) and len(queries):
-        tree = Tree(tree_points)
-        shift = 0 if same else len(tree_points)
-        for start in range(0, len(queries), SEARCH_ROWS):
-            query, node = tree.within(queries[start:start + SEARCH_ROWS], radius)
-            labels = join_labels(labels, query + start + shift, node)
+    if len(in_tree) and len(searching):
+        tree = Tree(points[in_tree])
+        for start in range(0, len(searching), SEARCH_ROWS):
+            part = searching[start:start + SEARCH_ROWS]
+            query, node = tree.within(points[part], radius)
+            labels = join_labels(labels, part[query], in_tree[node])
     moved = np.flatnonzero(labels != np.arange(len(points)))
-    return pd.DataFrame({"a": points[moved].view(np.int64), "b": points[labels[moved]].view(np.int64)})
+    return pd.DataFrame({"a": nodes[moved], "b": nodes[labels[moved]]})
 
 
 # -- shards ------------------------------------------------------------------
 
 
+def shard_bits(count: int, aim: int = AIM_ROWS) -> int:
+    """How many bits name a shard, for shards of about ``aim`` rows."""
+    return math.ceil(math.log2(count / aim)) if count > 2 * aim else 1
+
+
 def shard_plan(count: int, radius: int, aim: int = AIM_ROWS) -> tuple[list[tuple[tuple[int, int], ...]], int]:
     """Combinations of blocks (first bit, width), and how many of their bits name a shard.
 
     With k blocks, every k - radius of them make a combination. More
     fingerprints need more bits to keep shards at ``aim`` rows, hence more blocks.
     """
-    wanted = max(1, math.ceil(math.log2(max(1, count) / aim))) if count > aim else 1
+    wanted = shard_bits(count, aim)
     for k in range(radius + 1, BITS + 1):
         cuts = [i * BITS // k for i in range(k + 1)]
         blocks = [(a, b - a) for a, b in itertools.pairwise(cuts)]
@@ -158,41 +177,53 @@ def _shard_key(combination: tuple[tuple[int, int], ...], bits: int) -> Column:
     share = -(-bits // len(combination))
     for first, width in combination:
         take = min(width, share, bits - used)
-        part = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << take) - 1).cast("bigint"))
+        part = F.shiftrightunsigned("p0", first).bitwiseAND(F.lit((1 << take) - 1).cast("bigint"))
         key, used = key.bitwiseOR(F.shiftleft(part, used)), used + take
     return key
 
 
-def close_links(prints: DataFrame, radius: int = RADIUS, aim: int = AIM_ROWS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Links ``(a, b)`` that join the distinct fingerprints in column ``fp`` at most ``radius`` bits apart.
+def _sampled_key(way: int, bits: int, words: int) -> Column:
+    """``bits`` bits drawn from all words, others for each way."""
+    key = F.lit(0).cast("bigint")
+    for i, place in enumerate(np.random.default_rng([SEED, way]).permutation(words * BITS)[:bits].tolist()):
+        bit = F.shiftrightunsigned(f"p{place // BITS}", place % BITS).bitwiseAND(F.lit(1).cast("bigint"))
+        key = key.bitwiseOR(F.shiftleft(bit, i))
+    return key
 
-    The links have the same connected components as all such pairs.
-    """
-    combinations, bits = shard_plan(prints.count(), radius, aim)
-    keyed = prints.select(
-        "fp", F.explode(F.array(*[
-            F.struct(F.lit(i).alias("way"), _shard_key(c, bits).alias("key")) for i, c in enumerate(combinations)
-        ])).alias("shard"),
-    ).select("shard.*", "fp")
+
+def _links_in_shards(points: DataFrame, keys: list[Column], words: int, radius: int, shard_rows: int) -> DataFrame:
+    """Links ``(a, b)`` that join the nodes of ``points`` that meet in a shard at most ``radius`` apart."""
+    node_type = points.schema["node"].dataType.simpleString()
+    columns = ["node", *[f"p{i}" for i in range(words)]]
+    keyed = points.select(
+        *columns, F.explode(F.array(*[F.struct(F.lit(i).alias("way"), k.alias("key")) for i, k in enumerate(keys)])).alias("shard"),
+    ).select("shard.*", *columns)
     large = (
         keyed.groupBy("way", "key").agg(F.count(F.lit(1)).alias("rows"))
         .where(F.col("rows") > shard_rows)
         .select("way", "key", F.ceil(F.col("rows") / shard_rows).cast("int").alias("trees"))
     )
     own = keyed.join(large, ["way", "key"], "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
-    own = own.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int"))
+    own = own.withColumn("own", F.pmod(F.xxhash64("node"), F.col("trees")).cast("int"))
     meeting = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
     meeting = meeting.select(
-        "way", "key", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("search"), "own", "fp",
+        "way", "key", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("search"), "own", *columns,
     )
 
     def search(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("fp")
-        points, own = rows["fp"].to_numpy().view(np.uint64), rows["own"].to_numpy()
-        tree, queries = points[own == group[2]], points[own == group[3]]
-        return _forest(tree, queries, radius, group[2] == group[3])
+        return _forest(rows, words, group[2], group[3], radius)
+
+    return meeting.groupBy("way", "key", "tree", "search").applyInPandas(search, f"a {node_type}, b {node_type}")
 
-    return meeting.groupBy("way", "key", "tree", "search").applyInPandas(search, "a BIGINT, b BIGINT")
+
+def close_links(prints: DataFrame, radius: int = RADIUS, aim: int = AIM_ROWS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Links ``(a, b)`` that join the distinct fingerprints in column ``fp`` at most ``radius`` bits apart.
+
+    The links have the same connected components as all such pairs.
+    """
+    combinations, bits = shard_plan(prints.count(), radius, aim)
+    points = prints.select(F.col("fp").alias("node"), F.col("fp").alias("p0"))
+    return _links_in_shards(points, [_shard_key(c, bits) for c in combinations], 1, radius, shard_rows)
 
 
 def simhash_components(
@@ -216,23 +247,110 @@ def simhash_components(
     return prints.join(placed, "fp").select(F.col("id").alias(id_col), "fp", "component", "component_id")
 
 
-def keep_one_of_each(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS,
+# -- similar texts -----------------------------------------------------------
+
+
+def wide_print(text: bytes, size: int) -> list[int]:
+    """A fingerprint of 128 bits as two signed words, for wide radii: unrelated texts stay far outside them."""
+    hashes = [xxhash.xxh3_128_digest(s, SEED) for s in shingles(text, size)]
+    ones = np.zeros(2 * BITS, dtype=np.int64)
+    for start in range(0, len(hashes), 65536):
+        part = np.frombuffer(b"".join(hashes[start:start + 65536]), dtype=np.uint8)
+        ones += np.unpackbits(part.reshape(-1, 16), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > max(1, len(hashes)), bitorder="little").view("<i8").tolist()
+
+
+def wide_print_of(text: Column, size: int) -> Column:
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def prints(texts: pa.Array) -> pa.Array:
+        return pa.array([wide_print(t.as_py() or b"", size) for t in texts], pa.list_(pa.int64()))
+
+    return prints(text.cast("binary"))
+
+
+def shingle_set(text: str, size: int) -> np.ndarray:
+    """The distinct shingles of a text, hashed, in order."""
+    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text.encode(), size)], dtype=np.uint64))
+
+
+def is_similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two shingle sets reach this Jaccard similarity; two empty ones do."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both)
+
+
+def _verified(rows: pd.DataFrame, first: int, second: int, size: int, similarity: float) -> pd.DataFrame:
+    """Each node with the first node of its group, where links are similar pairs of the two chunks."""
+    rows = rows.sort_values("node")
+    nodes, own = rows["node"].to_numpy(), rows["own"].to_numpy()
+    sets = [shingle_set(t, size) for t in rows["text"]]
+    labels = np.arange(len(rows))
+    for i in np.flatnonzero(own == second).tolist():
+        for j in np.flatnonzero((own == first) & (labels != labels[i])).tolist():
+            if labels[i] != labels[j] and is_similar(sets[i], sets[j], similarity):
+                labels = join_labels(labels, np.array([i]), np.array([j]))
+    moved = np.flatnonzero(labels != np.arange(len(rows)))
+    return pd.DataFrame({"a": nodes[moved], "b": nodes[labels[moved]]})
+
+
+def similar_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8,
+    radius: int = WIDE_RADIUS, ways: int = WIDE_WAYS, aim: int = AIM_ROWS, shard_rows: int = SHARD_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """``docs`` with one row of each component left: that with the smallest id, then the smallest fingerprint.
+    """Groups of texts whose word shingles reach a Jaccard similarity: ``(<id_col>, node, component)``.
+
+    Candidates are texts whose 128-bit fingerprints are at most ``radius`` bits
+    apart and agree in the bits that name one of their ``ways`` shards, in each of
+    which a BK-tree is searched. Shingle sets then decide: pairs are compared in
+    full inside each group of candidates, by pairs of bounded chunks, passing over
+    pairs that are joined already. ``node`` stands for a text (equal texts are
+    one), ``component`` is the smallest node reachable. Null texts count as
+    empty; texts without words are similar to one another.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    node = F.md5(text.cast("binary"))
+    prints = staged(docs.select(F.col(id_col).alias("id"), node.alias("node"), wide_print_of(text, size).alias("print")))
+    classes = staged(prints.groupBy("node").agg(F.min(F.col("print")[0]).alias("p0"), F.min(F.col("print")[1]).alias("p1")))
+    bits = shard_bits(classes.count(), aim)
+    candidates = _links_in_shards(classes, [_sampled_key(w, bits, 2) for w in range(ways)], 2, radius, shard_rows)
+    groups = staged(connected_components(candidates).toDF("node", "candidates"))
+    sizes = groups.groupBy("candidates").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("chunks"))
+    members = staged(groups.join(staged(sizes), "candidates"))
+    texts = docs.select(node.alias("node"), text.alias("text")).join(members, "node").dropDuplicates(["node"])
+    own = texts.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    meeting = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "candidates", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "own", "node", "text",
+    )
+
+    def verify(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _verified(rows, group[1], group[2], size, similarity)
+
+    links = meeting.groupBy("candidates", "first", "second").applyInPandas(verify, "a STRING, b STRING")
+    parts = staged(connected_components(links).toDF("node", "component"))
+    return prints.select("id", "node").join(parts, "node", "left").select(
+        F.col("id").alias(id_col), "node", F.coalesce("component", "node").alias("component"),
+    )
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: object) -> DataFrame:
+    """``docs`` with one row of each group of :func:`similar_components` left: that with the smallest id.
 
-    Rows without an id stay only where their component has no id at all. Of rows
-    alike in id and fingerprint, one stays. All columns are kept as they are.
+    Rows without an id stay only where their group has no id at all, the one
+    with the smallest hash of its text. Of rows alike in id and text, one stays.
+    All columns are kept as they are.
     """
-    found = simhash_components(docs, id_col, text_col, size, radius)
-    first = found.groupBy("component").agg(F.min(F.struct(
-        F.col(id_col).isNull().alias("without"), F.col(id_col).alias("id"), F.col("fp").alias("fp"),
-    )).alias("first"))
-    kept = first.select("first.id", "first.fp")
+    found = similar_components(docs, id_col, text_col, **how)
+    first = staged(found.groupBy("component").agg(F.min(F.struct(
+        F.col(id_col).isNull().alias("without"), F.col(id_col).alias("id"), F.col("node").alias("node"),
+    )).alias("first")))
+    kept = first.select("first.id", "first.node").alias("kept")
     rows = docs.select(
-        F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"), fingerprint_of(F.col(text_col), size).alias("fp"),
+        F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"),
+        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("node"),
     ).alias("rows")
-    kept = kept.alias("kept")
-    same = F.col("rows.id").eqNullSafe(F.col("kept.id")) & (F.col("rows.fp") == F.col("kept.fp"))
-    place = F.row_number().over(Window.partitionBy("rows.id", "rows.fp").orderBy(F.xxhash64("doc." + text_col)))
+    same = F.col("rows.id").eqNullSafe(F.col("kept.id")) & (F.col("rows.node") == F.col("kept.node"))
+    place = F.row_number().over(Window.partitionBy("rows.id", "rows.node").orderBy(F.xxhash64(*[f"doc.{c}" for c in docs.columns])))
     return rows.join(kept, same, "left_semi").withColumn("place", place).where("place = 1").select("doc.*")

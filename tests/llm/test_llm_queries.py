@@ -1,0 +1,52 @@
+"""The operators' queries against their SQL, and the pipeline against its stages done by hand."""
+
+import inspect
+
+import pytest
+
+import corpus_pipeline
+from checks.compare import duck, duck_bag, spark_bag
+from shopstream.llm import oracles, packing, quality, queries, simhash
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_all_ten_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.ALL) == list(range(1, 11))
+    assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+@pytest.mark.parametrize("name", sorted(oracles.ALL))
+def test_query_equals_sql(spark, name):
+    con = duck(SF_DIR)
+    df = queries.ALL[name](spark, SF_DIR)
+    want = duck_bag(con, oracles.ALL[name])
+    assert sorted(d[0] for d in con.description) == sorted(df.columns)
+    got = spark_bag(df)
+    assert got == want and got
+
+
+def test_native_operator_runs_no_python(spark, capsys):
+    queries.op10_reputation(spark, SF_DIR).explain()
+    assert "Python" not in capsys.readouterr().out and "udf" not in inspect.getsource(__import__("shopstream.llm.reputation", fromlist=["x"]))
+
+
+def test_pipeline_equals_stages_by_hand(spark):
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    scores = {r["doc_id"]: r["predicted"] for r in queries.op6_quality(spark, SF_DIR).collect()}
+    good = sorted(i for i in docs if scores[i])
+    sets = {i: simhash.shingle_set(docs[i]["text"] or "", 5) for i in good}
+    low = {i: i for i in good}
+    pairs = [(a, b) for a in good for b in good if a < b and simhash.is_similar(sets[a], sets[b], 0.8)]
+    for _ in good:
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+    kept = {i for i in good if low[i] == i}
+    rows = corpus_pipeline.run(spark, SF_DIR).collect()
+    assert {r["doc_id"] for r in rows} == kept
+    for stage, count in zip(corpus_pipeline.STAGES[:-1], (len(good), None, None)):
+        table = stage[1](spark, spark.read.parquet(f"{SF_DIR}/documents.parquet"), SF_DIR)
+        assert table.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert count is None or table.count() == count
+    assert all(r["length"] <= packing.MAX_LEN for r in rows)
+    assert quality.THRESHOLD == 0.7

@@ -13,7 +13,8 @@ from shopstream.session import shared_dir, stage
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``; a temporary one only where a local session names none."""
-    local = tempfile.gettempdir() if spark.sparkContext.master.startswith("local[") else None
+    unset = spark.conf.get("spark.checkpoint.dir", None) is None
+    local = tempfile.gettempdir() if unset and spark.sparkContext.master.startswith("local[") else None
     return f"{shared_dir(spark, local)}/llm-{uuid.uuid4().hex}"
 
 

@@ -79,6 +79,46 @@ def damaged_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.select(value.alias("value"), "arrival")
 
 
+def rough_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The disordered app logs in texts that are no strict JSON, or odd, by their number; the fields say the same."""
+    logs = app_logs(spark, sf_dir, disordered=True)
+    case = F.col("arrival") % 5
+    value = (
+        F.when(case == 0, F.regexp_replace("value", r"^\{", '{"more":{"x":1,"x":2},'))
+        .when(case == 1, F.translate("value", '"', "'"))
+        .when(case == 2, F.regexp_replace("value", r'"common":\{', '"note":"common","note":"\u00e9\U0001f600","common":{"v":{"is_new":"1"},'))
+        .when(case == 3, F.regexp_replace("value", '"is_new":"1"', '"is_new" : 1'))
+        .otherwise(F.col("value"))
+    )
+    return logs.select(value.alias("value"), "arrival")
+
+
+def repeated_displays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The app logs with each display's item named twice, the first time wrongly."""
+    value = F.regexp_replace("value", r'\{"item":', '{"item":-1,"item":')
+    return app_logs(spark, sf_dir).select(value.alias("value"), "arrival")
+
+
+def repeated_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of orders that name the status twice, the first time wrongly."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
+    text = '{"table":"order_info","type":"update","data":{"status":"?","id":%d,"status":"%s"}}'
+    value = F.format_string(text, F.col("o_orderkey"), F.col("o_orderstatus"))
+    return orders.select(value.alias("value"), F.col("o_orderkey").alias("arrival"))
+
+
+def damaged(records: DataFrame, key: str) -> DataFrame:
+    """Order records, some of them cut short, without their key or without a readable time, by their number."""
+    case = F.col("arrival") % 50
+    value = (
+        F.when(case == 1, F.expr("substr(value, 1, length(value) - 1)"))
+        .when(case == 2, F.regexp_replace("value", f'"{key}":\\d+', '"other":1'))
+        .when(case == 3, F.regexp_replace("value", r'"create_time":"[^"]*"', '"create_time":"soon"'))
+        .otherwise(F.col("value"))
+    )
+    return records.select(value.alias("value"), "arrival")
+
+
 # Source table of the change records, and the table and key they come from.
 CHANGED = [
     ("order_info", "orders", "o_orderkey"),

@@ -177,6 +177,7 @@ ORDERS = """
     )
 """
 
+WITHIN = "detail_seconds BETWEEN seconds - 5 AND seconds + 5"
 SAME_DAY = "seconds // 86400 = detail_seconds // 86400"
 
 
@@ -184,7 +185,8 @@ def _nulls(kind: str, *columns: str) -> str:
     return ", ".join(f"CAST(NULL AS {kind}) AS {c}" for c in columns)
 
 
-WIDE = f"""
+def wide(condition: str) -> str:
+    return f"""
     WITH {ORDERS}
     SELECT detail_id, id AS order_id, sku_id, order_price, sku_num, sku_name, province_id, order_status, user_id,
            total AS total_amount, total AS original_total_amount, order_price AS split_total_amount, split_coupon_amount,
@@ -194,8 +196,8 @@ WIDE = f"""
            {_nulls('BIGINT', 'spu_id', 'tm_id', 'category3_id')},
            {_nulls('VARCHAR', 'expire_time', 'operate_time', 'create_hour', 'province_name', 'province_area_code',
                    'province_iso_code', 'province_3166_2_code', 'user_gender', 'spu_name', 'tm_name', 'category3_name')}
-    FROM joined WHERE {SAME_DAY}
-"""
+    FROM joined WHERE {condition}
+    """
 
 
 def merge_wide(split_coupon: str) -> str:
@@ -294,14 +296,19 @@ ALL: dict[str, str] = {
         SELECT id, order_id, sku_id, order_price, sku_num, seconds * 1000 AS create_ts,
                strftime(to_timestamp(seconds) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS create_time
         FROM details""",
-    "run_order_wide": f"""
-        WITH {ORDERS} SELECT id AS order_id, detail_id, sku_id, order_price, create_time
-        FROM joined WHERE detail_seconds BETWEEN seconds - 5 AND seconds + 5""",
+    "run_order_wide": wide(WITHIN),
+    "order_quarantine": f"""
+        WITH damaged AS (
+            SELECT 'dwd_order_info' AS source, o_orderkey AS arrival FROM orders
+            UNION ALL SELECT 'dwd_order_detail', l_orderkey * 8 + l_linenumber FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+        )
+        SELECT source, arrival, CASE arrival % 50 WHEN 1 THEN 'bad_json' WHEN 2 THEN 'no_key' ELSE 'no_create_time' END AS reject_reason
+        FROM damaged WHERE arrival % 50 IN (1, 2, 3)""",
     "order_interval_join": f"""
         WITH {ORDERS}
         SELECT id AS order_id, detail_id, sku_id, seconds * 1000 AS order_ts, detail_seconds * 1000 AS detail_ts
         FROM joined WHERE detail_seconds BETWEEN seconds - 5 AND seconds + 5""",
-    "order_wide_day": WIDE,
+    "order_wide_day": wide(SAME_DAY),
     "order_merge_wide": merge_wide("split_coupon_amount"),
     "order_merge_wide_splits": merge_wide("coalesce(split_coupon_amount, total)"),
     "stream_logs": records("late_arrival", "new_flag", "repaired", REPAIRED),
@@ -314,4 +321,18 @@ ALL: dict[str, str] = {
     "stream_changes": f"""
         {USERS} UNION ALL
         SELECT topic, CAST(o_orderkey AS VARCHAR), o_orderstatus, CAST(o_custkey AS VARCHAR) FROM ({FACTS})""",
+    "two_jobs_one_store": f"""
+        SELECT topic, arrival FROM ({records("arrival", "is_new", "logs", EVENTS)})
+        UNION ALL SELECT 'dwm_unique_visit', arrival FROM ({VISIT_EXACT.replace("late_arrival", "arrival")})
+        UNION ALL SELECT 'dwm_user_jump_detail', arrival FROM ({jumps(10_000, complete=False)})
+        UNION ALL SELECT topic, o_orderkey FROM ({FACTS})""",
+    "repair_rough_json": f"""
+        WITH {REPAIRED}
+        SELECT form, late_arrival AS arrival, mid, new_flag AS is_new, ts FROM repaired, (VALUES ('batch'), ('stream')) f(form)""",
+    "display_repeated_keys": f"""
+        WITH {EVENTS}
+        SELECT arrival, '{{"item":' || (k * 10 + i) || ',"order":' || i || ',"page_id":"' || page_id || '"}}' AS value
+        FROM logs, range(4) AS r(i) WHERE NOT is_start AND i < k % 4""",
+    "cdc_repeated_keys": """
+        SELECT o_orderkey AS arrival, '{"id":' || o_orderkey || ',"status":"' || o_orderstatus || '"}' AS data FROM orders""",
 }

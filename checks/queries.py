@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +17,10 @@ from shopstream.plans import changes as change_plan
 from shopstream.plans import logs as log_plan
 from shopstream.plans import orders as order_plan
 from shopstream.plans import visits as visit_plan
-from shopstream.session import shared_dir, stage, stream_session
+from shopstream.session import run_dir, stage, stream_session
 from shopstream.sinks.topics import land_raw_log, topic_records, write_facts, write_records, write_topic
 from shopstream.sources.rules import flatten_cdc, read_rules
-from shopstream.sources.topics import FolderTopics, read_lines, read_topic
+from shopstream.sources.topics import FolderTopics, read_lines, read_topic, read_topics
 
 HOUR_MS = 3_600_000
 STREAM_PARTITIONS = 8
@@ -33,8 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder for one run, in the cluster's shared folder if it names one."""
-    local = tempfile.gettempdir() if spark.sparkContext.master.startswith("local") else None
-    return f"{shared_dir(spark, local)}/run-{uuid.uuid4().hex}"
+    unset = spark.conf.get("spark.checkpoint.dir", None) is None
+    return run_dir(spark, tempfile.gettempdir() if unset and spark.sparkContext.master.startswith("local[") else None)
 
 
 # -- logs --------------------------------------------------------------------
@@ -118,8 +117,8 @@ def run_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark)
     source, target = FolderTopics(f"{path}/in"), FolderTopics(f"{path}/out")
     write_topic(inputs.app_logs(spark, sf_dir, disordered=True), source, names.ODS_LOG)
-    log_plan.run_logs(spark, source, target, "logs", f"{path}/stage")
-    return record_columns(spark.read.schema(schemas.TOPIC + ", topic STRING").parquet(target.root))
+    log_plan.run_logs(spark, source, target, scratch=f"{path}/stage")
+    return record_columns(read_topics(spark, target))
 
 
 def topic_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,8 +143,8 @@ def run_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = FolderTopics(f"{path}/in"), FolderTopics(f"{path}/out")
     pages = logs.split_logs(good_logs(spark, sf_dir, disordered=True)).page
     write_topic(pages, source, names.PAGE_LOG)
-    visit_plan.run_visits(spark, source, target, "visits", scratch=f"{path}/stage")
-    return spark.read.schema(schemas.TOPIC + ", topic STRING").parquet(target.root).select("topic", "arrival")
+    visit_plan.run_visits(spark, source, target, scratch=f"{path}/stage")
+    return read_topics(spark, target).select("topic", "arrival")
 
 
 def visit_columns(seen: DataFrame) -> DataFrame:
@@ -225,7 +224,7 @@ def fact_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = FolderTopics(f"{work_dir(spark)}/facts")
     routed = cdc.route_cdc(clean_changes(spark, sf_dir), inputs.rules(spark))
     write_facts(routed.fact, store, batch_id=0)
-    return fact_columns(spark.read.schema(schemas.TOPIC + ", topic STRING").parquet(store.root))
+    return fact_columns(read_topics(spark, store))
 
 
 def fact_columns(records: DataFrame) -> DataFrame:
@@ -301,8 +300,17 @@ def run_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = FolderTopics(f"{work_dir(spark)}/in")
     write_topic(inputs.order_records(spark, sf_dir), store, names.ORDER_INFO)
     write_topic(inputs.detail_records(spark, sf_dir), store, names.ORDER_DETAIL)
-    wide = order_plan.run_order_wide(spark, store, "second")
-    return wide.select("order_id", "detail_id", "sku_id", "order_price", "create_time")
+    return order_plan.run_order_wide(spark, store, "second", work_dir(spark))[0]
+
+
+def order_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the order job rejects of two topics, damaged by key."""
+    store = FolderTopics(f"{work_dir(spark)}/in")
+    write_topic(inputs.damaged(inputs.order_records(spark, sf_dir), "id"), store, names.ORDER_INFO)
+    write_topic(inputs.damaged(inputs.detail_records(spark, sf_dir), "order_id"), store, names.ORDER_DETAIL)
+    rejected = order_plan.run_order_wide(spark, store, "second", work_dir(spark))[1]
+    fields = F.from_json("value", "source STRING, reject_reason STRING, value STRING")
+    return rejected.withColumn("r", fields).select("r.source", "arrival", "r.reject_reason")
 
 
 def order_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +376,7 @@ def stream_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = FolderTopics(f"{path}/in", STREAM_FILES), FolderTopics(f"{path}/out")
     feed_topic(session, inputs.app_logs(session, sf_dir, disordered=True), source, names.ODS_LOG)
     log_plan.start_logs(session, source, target, f"{path}/state", once=True).awaitTermination()
-    return record_columns(spark.read.schema(schemas.TOPIC + ", topic STRING").parquet(target.root))
+    return record_columns(read_topics(spark, target))
 
 
 def page_topic(session: SparkSession, sf_dir: str, path: str, disordered: bool) -> FolderTopics:
@@ -386,7 +394,7 @@ def _stream_visits(mode: str) -> Query:
             session, source, target, f"{path}/state", mode, ttl=False, delay="7 days", once=True
         )
         stream.awaitTermination()
-        seen = accepted(logs.parse_log(spark.read.parquet(target.root)))
+        seen = accepted(logs.parse_log(read_topics(spark, target)))
         day = F.to_date(F.timestamp_millis("ts")).alias("visit_date")
         if mode == "daily":
             return seen.select("mid", day)
@@ -399,7 +407,7 @@ def stream_jump_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, path = _stream(spark)
     source, target = page_topic(session, sf_dir, path, disordered=False), FolderTopics(f"{path}/out")
     visit_plan.start_jump_detail(session, source, target, f"{path}/state", once=True).awaitTermination()
-    return page_columns(accepted(logs.parse_log(spark.read.parquet(target.root)))).drop("last_page_id")
+    return page_columns(accepted(logs.parse_log(read_topics(spark, target)))).drop("last_page_id")
 
 
 def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,6 +423,49 @@ def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("order_id", "detail_id", "sku_id", "order_price", "create_time")
 
 
+def two_jobs_one_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log stream, both visit streams and the fact writer, all reading from and writing to one root."""
+    session, path = _stream(spark)
+    store, whole = (FolderTopics(f"{path}/topics", files) for files in (STREAM_FILES, 1000))
+    feed_topic(session, inputs.app_logs(session, sf_dir), store, names.ODS_LOG)
+    log_plan.start_logs(session, store, store, f"{path}/logs", once=True).awaitTermination()
+    # Micro-batches that take whole batches of the log stream, whose files have no order among them.
+    visit_plan.start_unique_visit(session, whole, store, f"{path}/visits", ttl=False, once=True).awaitTermination()
+    write_facts(cdc.route_cdc(clean_changes(spark, sf_dir), inputs.rules(spark)).fact, store, batch_id=0)
+    visit_plan.start_jump_detail(session, whole, store, f"{path}/jumps", once=True).awaitTermination()
+    return read_topics(spark, store).where(F.col("topic") != names.ODS_LOG).select("topic", "arrival")
+
+
+def repair_rough_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flag repaired in texts that are no strict JSON, by the batch and by the stream."""
+    session, path = _stream(spark)
+    rough = inputs.rough_logs(session, sf_dir)
+    source, target = FolderTopics(f"{path}/in", STREAM_FILES), FolderTopics(f"{path}/out")
+    feed_topic(session, rough, source, names.ODS_LOG)
+    log_plan.start_logs(session, source, target, f"{path}/state", once=True).awaitTermination()
+    streamed = read_topics(spark, target).where(F.col("topic").isin(names.START_LOG, names.PAGE_LOG))
+    batch = logs.repair_is_new(accepted(logs.parse_log(inputs.rough_logs(spark, sf_dir))))
+
+    def flags(form: str, texts: DataFrame) -> DataFrame:
+        read = accepted(logs.parse_log(texts.select("value", "arrival")))
+        return read.select(F.lit(form).alias("form"), "arrival", "mid", F.col("common.is_new").alias("is_new"), "ts")
+
+    return flags("batch", batch).unionByName(flags("stream", streamed))
+
+
+def display_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Displays that name a key twice: the last counts, and the page's id is added."""
+    pages = accepted(logs.parse_log(inputs.repeated_displays(spark, sf_dir)))
+    shown = logs.log_records(pages).where(F.col("topic") == names.DISPLAY_LOG)
+    return shown.select("arrival", F.col("value"))
+
+
+def cdc_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records that name a column twice: the last counts."""
+    changes = cdc.clean_cdc(accepted(cdc.parse_cdc(inputs.repeated_changes(spark, sf_dir))))
+    return changes.select("arrival", F.to_json("data").alias("data"))
+
+
 def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change job over a stream: the user dimension it leaves."""
     session, path = _stream(spark)
@@ -425,7 +476,7 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stream.awaitTermination()
     users = dims.read_dim(spark, f"{path}/dims/dim_user_info")
-    facts = fact_columns(spark.read.schema(schemas.TOPIC + ", topic STRING").parquet(target.root))
+    facts = fact_columns(read_topics(spark, target))
     return (
         users.select(F.lit("dim_user_info").alias("target"), "c_custkey", "c_name", "c_nationkey")
         .unionByName(facts.select(
@@ -472,6 +523,7 @@ ALL: dict[str, Query] = {
     "order_parse_info": _parsed_orders(False, "day"),
     "order_parse_detail": _parsed_orders(True, "second"),
     "run_order_wide": run_order_wide,
+    "order_quarantine": order_quarantine,
     "order_interval_join": order_interval_join,
     "order_wide_day": order_wide_day,
     "order_merge_wide": _merge_wide(True),
@@ -482,4 +534,8 @@ ALL: dict[str, Query] = {
     "stream_jump_detail": stream_jump_detail,
     "stream_order_wide": stream_order_wide,
     "stream_changes": stream_changes,
+    "two_jobs_one_store": two_jobs_one_store,
+    "repair_rough_json": repair_rough_json,
+    "display_repeated_keys": display_repeated_keys,
+    "cdc_repeated_keys": cdc_repeated_keys,
 }

@@ -63,8 +63,33 @@ def to_json_line(record: Column, kind: str = "struct") -> Column:
     return F.to_json(non_null_entries(record) if kind == "map" else record)
 
 
+# ``common`` in either kind of quotes up to the value of its ``is_new``, past strings and one level of nested objects.
+_STRING = r"""(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+')"""
+_FLAG = (
+    r"""((?:"common"|'common')\s*:\s*\{(?:[^{}"']|""" + _STRING + r"""|\{(?:[^{}"']++|""" + _STRING + r""")*+\})*?"""
+    r"""(?:"is_new"|'is_new')\s*:\s*)(?:"1"|'1'|1(?![0-9.eE]))"""
+)
+
+
+def last_of_repeated(entries: Column) -> Column:
+    """A map without the earlier entries of keys that occur more than once."""
+    keys = F.map_keys(entries)
+    count = F.size(keys)
+    last = F.filter(F.map_entries(entries), lambda e, i: F.array_position(F.reverse(keys), e["key"]) == count - i)
+    return F.when(F.size(F.array_distinct(keys)) == count, entries).otherwise(F.map_from_entries(last))
+
+
 def with_flag(value: Column, flag: Column) -> Column:
-    """The record text with ``common.is_new`` replaced; everything else is kept."""
+    """The record text with ``common.is_new`` replaced; everything else is kept.
+
+    Text that is no strict JSON (repeated keys, single quotes) keeps its form:
+    only the flag in it is replaced, where it can be told. Never null for a value.
+    """
+    plain = F.regexp_replace(value, F.lit(_FLAG), F.concat(F.lit('$1"'), flag, F.lit('"')))
+    return F.coalesce(_rewritten(value, flag), plain, value)
+
+
+def _rewritten(value: Column, flag: Column) -> Column:
     record = F.try_parse_json(value).cast("map<string, variant>")
     common = F.map_filter(record["common"].cast("map<string, variant>"), lambda k, _: k != "is_new")
     new_flag = F.create_map(F.lit("is_new"), flag.cast("variant"))

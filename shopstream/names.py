@@ -10,6 +10,8 @@ ORDER_DETAIL = "dwd_order_detail"
 UNIQUE_VISIT = "dwm_unique_visit"
 USER_JUMP = "dwm_user_jump_detail"
 DEFAULT_TOPIC = "DEFAULT_DATA"
+# Our own: raw records that a job could not use, with the reason.
+REJECTED = "rejected_records"
 
 SINK_DIMENSION = "hbase"
 SINK_FACT = "kafka"

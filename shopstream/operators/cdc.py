@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream import names, schemas
-from shopstream.functions.fields import has_content, is_blank, normalize_op, project_columns
+from shopstream.functions.fields import has_content, is_blank, last_of_repeated, normalize_op, project_columns
 from shopstream.operators.rejects import REASON, first_reason
 from shopstream.operators.skew import lookup_small
 
@@ -27,7 +27,7 @@ def parse_cdc(raw: DataFrame) -> DataFrame:
     Text that is no JSON object gets a ``reject_reason``.
     """
     change = F.from_json("value", schemas.CHANGE + ", _bad STRING", {"columnNameOfCorruptRecord": "_bad"})
-    parsed = raw.select("*", F.inline(F.array(change)))
+    parsed = raw.select("*", F.inline(F.array(change))).withColumn("data", last_of_repeated(F.col("data")))
     # A ``data`` that is no object only leaves ``data`` null; cleaning drops the row.
     unread = F.col("_bad").isNotNull() & F.col("table").isNull() & F.col("type").isNull()
     bad = ("bad_json", F.col("value").isNull() | unread)

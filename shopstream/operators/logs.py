@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream import names, schemas
-from shopstream.functions.fields import to_json_line, with_flag
+from shopstream.functions.fields import last_of_repeated, to_json_line, with_flag
 from shopstream.functions.times import day_of
 from shopstream.operators.rejects import REASON, first_reason
 from shopstream.operators.skew import Skew, lookup_by_key, order_value
@@ -36,7 +36,10 @@ def parse_log(raw: DataFrame) -> DataFrame:
     log = F.from_json("value", schemas.APP_LOG + ", _bad STRING", {"columnNameOfCorruptRecord": "_bad"})
     # Through a generator, so that filters on the fields do not parse the text again.
     parsed = raw.select("*", F.inline(F.array(log)))
-    parsed = parsed.withColumn("ts", F.col("ts").try_cast("bigint")).withColumn("mid", F.col("common.mid"))
+    parsed = parsed.withColumns({
+        "ts": F.col("ts").try_cast("bigint"), "mid": F.col("common.mid"), "start": last_of_repeated(F.col("start")),
+        "displays": F.transform("displays", last_of_repeated),
+    })
     on_page = ~is_start(F.col("start"))
     reason = first_reason(
         ("bad_json", F.col("value").isNull() | F.col("_bad").isNotNull()),

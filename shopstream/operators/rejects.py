@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopstream import names
+
 REASON = "reject_reason"
 
 
@@ -21,3 +23,9 @@ def quarantined(df: DataFrame) -> DataFrame:
     """The raw text of the rejected records and why."""
     keep = [c for c in ("value", "arrival", REASON) if c in df.columns]
     return df.where(F.col(REASON).isNotNull()).select(*keep)
+
+
+def rejected_records(df: DataFrame, source: str) -> DataFrame:
+    """The rejected records as (topic, value, arrival) rows: source, text and reason as JSON."""
+    record = F.struct(F.lit(source).alias("source"), F.col(REASON), F.col("value"))
+    return quarantined(df).select(F.lit(names.REJECTED).alias("topic"), F.to_json(record).alias("value"), "arrival")

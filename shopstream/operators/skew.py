@@ -1,9 +1,10 @@
 """Ordered and keyed work on tables where one key may hold much of the data.
 
-A key counts as hot when it holds more than 1/``HOT_SHARE`` of all rows and more
-than ``HOT_ROWS`` rows. So there are fewer than ``HOT_SHARE`` hot keys whatever
-the data, which is what makes broadcasting them safe. Hot keys are only spread
-over more tasks; which keys are hot never changes a result.
+A key counts as hot when it holds more rows than one task should take
+(``Skew.rows``), whatever the size of the table, and is cut into as many slices
+as it holds times that number. So neither a slice nor the share of a key in a
+task grows with the data. Summaries of hot keys are joined by key, not sent to
+all tasks. Which keys are hot never changes a result.
 """
 
 from __future__ import annotations
@@ -14,18 +15,15 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1000
-HOT_ROWS = 1_000_000
-SLICES = 128
+TASK_ROWS = 1_000_000
+SALTS = 128
 BROADCAST_ROWS = 100_000
 
 
 class Skew(NamedTuple):
-    """What counts as hot, and into how many slices a hot key is cut."""
+    """How many rows of one key a task may take."""
 
-    share: int = HOT_SHARE
-    rows: int = HOT_ROWS
-    slices: int = SLICES
+    rows: int = TASK_ROWS
 
 
 def order_value(order: Sequence[str]) -> Column:
@@ -33,15 +31,19 @@ def order_value(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
+def _counts(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def hot_keys(df: DataFrame, key: str, skew: Skew = Skew()) -> DataFrame:
-    """The hot keys of ``df``: at most ``skew.share`` rows, from a map-side combined count."""
-    counts = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where((F.col("_n") > skew.rows) & (F.col("_n") * skew.share > total)).select(key)
+    """The hot keys of ``df`` and into how many ``_parts`` each is cut, from a map-side combined count."""
+    hot = _counts(df, key).where(F.col("_n") > skew.rows)
+    return hot.select(key, F.ceil(F.col("_n") / max(1, skew.rows)).cast("int").alias("_parts"))
+
+
+def most_parts(df: DataFrame, key: str, skew: Skew = Skew()) -> int:
+    """The parts of the hottest key; 1 if no key is hot."""
+    return hot_keys(df, key, skew).agg(F.max("_parts")).first()[0] or 1
 
 
 def slice_hot_keys(df: DataFrame, key: str, order: Sequence[str], skew: Skew = Skew()) -> DataFrame:
@@ -52,27 +54,39 @@ def slice_hot_keys(df: DataFrame, key: str, order: Sequence[str], skew: Skew = S
     Slices follow the order, so a row's neighbours are in its own slice or at
     the edge of the next one. Rows of other keys all get slice 0.
     """
-    steps = [i / skew.slices for i in range(1, skew.slices)]
+    most = most_parts(df, key, skew)
+    if most == 1:
+        return df.withColumns({"_hot": F.lit(False), "_slice": F.lit(0)})
+    steps = [i / most for i in range(1, most)]
     hot = hot_keys(df, key, skew)
-    # Rows of hot keys only; with no hot key, AQE drops this branch unread.
+
+    def thinned(cuts: Column) -> Column:
+        """As many of the cuts as the key's own number of parts asks for, evenly spread."""
+        return F.filter(cuts, lambda _, i: F.floor((i + 1) * F.col("_parts") / most) > F.floor(i * F.col("_parts") / most))
+
+    # Rows of hot keys only.
     cuts = (
-        df.join(F.broadcast(hot), key)
+        df.join(hot, key)
         .groupBy(key)
-        .agg(*[F.percentile_approx(c, steps, 20 * skew.slices).alias(f"_cuts{i}") for i, c in enumerate(order[:2])])
+        .agg(
+            F.first("_parts").alias("_parts"),
+            *[F.percentile_approx(c, steps, 20 * most).alias(f"_cuts{i}") for i, c in enumerate(order[:2])],
+        )
     )
+    cuts = cuts.withColumns({f"_cuts{i}": thinned(F.col(f"_cuts{i}")) for i in range(len(order[:2]))})
     first = F.col(order[0])
     below = F.size(F.filter("_cuts0", lambda c: c < first))
     if len(order) > 1:
         second = F.col(order[1])
         ties = F.size(F.filter("_cuts0", lambda c: c == first))
         rank = F.size(F.filter("_cuts1", lambda c: c <= second))
-        below = below + F.floor(ties * rank / skew.slices).cast("int")
+        below = below + F.floor(ties * rank / F.col("_parts")).cast("int")
     hot_row = F.col("_cuts0").isNotNull()
     return (
-        df.join(F.broadcast(cuts), key, "left")
+        df.join(cuts, key, "left")
         .withColumn("_hot", hot_row)
         .withColumn("_slice", F.when(hot_row, below).otherwise(0))
-        .drop("_cuts0", "_cuts1")
+        .drop("_cuts0", "_cuts1", "_parts")
     )
 
 
@@ -82,12 +96,13 @@ def with_neighbour(
     """Add ``value`` of the key's row just before (or after) in ``order``; null if none.
 
     A plain ``lag``/``lead``, except that hot keys run slice by slice and the
-    rows at slice edges take their neighbour from a summary of at most
-    ``share * slices`` rows.
+    rows at slice edges take their neighbour from a summary of one row a slice.
     """
-    sliced = slice_hot_keys(df.withColumn("_value", value), key, order, skew)
+    valued = df.withColumn("_value", value)
     boxed = F.struct(F.col("_value"))
     shift = F.lead if after else F.lag
+    sliced = slice_hot_keys(valued, key, order, skew)
+    near = sliced.withColumn("_near", shift(boxed).over(Window.partitionBy(key, "_slice").orderBy(*order)))
     edge_row = F.min_by if after else F.max_by
     edges = (
         sliced.where("_hot")
@@ -97,10 +112,8 @@ def with_neighbour(
     edges = edges.select(
         key, "_slice", shift("_edge").over(Window.partitionBy(key).orderBy("_slice")).alias("_edge")
     )
-    in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
-    near = sliced.withColumn("_near", shift(boxed).over(in_slice))
     return (
-        near.join(F.broadcast(edges), [key, "_slice"], "left")
+        near.join(edges, [key, "_slice"], "left")
         .withColumn(name, F.coalesce("_near", "_edge")["_value"])
         .drop("_value", "_near", "_edge", "_hot", "_slice")
     )
@@ -111,28 +124,25 @@ def lookup_by_key(
 ) -> DataFrame:
     """Left join ``df`` with ``facts`` (one row per key, any number of keys).
 
-    Facts of hot keys travel by broadcast (at most ``share`` rows); rows of hot
-    keys are spread by ``spread`` through the shuffle, as they need no partner there.
+    Rows of hot keys are spread by ``spread`` over the key's parts, and their
+    facts are repeated once for each part.
     """
     names = [c for c in facts.columns if c != key]
     hot = hot_keys(df, key, skew)
-    hot_facts = facts.join(F.broadcast(hot), key).select(key, F.struct(*names).alias("_hot_facts"))
-    cold_facts = facts.select(key, F.lit(0).alias("_salt"), F.struct(*names).alias("_facts"))
-    salt = F.when(F.col("_hot_facts").isNull(), 0).otherwise(
-        1 + F.pmod(F.xxhash64(*spread), F.lit(skew.slices)).cast("int")
+    parts = F.coalesce("_parts", F.lit(1))
+    repeated = facts.join(hot, key, "left").select(
+        key, F.explode(F.sequence(F.lit(0), parts - 1)).alias("_salt"), F.struct(*names).alias("_facts"),
     )
+    salted = df.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), parts).cast("int"))
     return (
-        df.join(F.broadcast(hot_facts), key, "left")
-        .withColumn("_salt", salt)
-        .join(cold_facts, [key, "_salt"], "left")
-        .withColumn("_facts", F.coalesce("_hot_facts", "_facts"))
+        salted.join(repeated, [key, "_salt"], "left")
         .select(*df.columns, *[F.col("_facts")[n].alias(n) for n in names])
     )
 
 
 def lookup_small(
     df: DataFrame, small: DataFrame, on: Sequence[str], spread: Column,
-    max_rows: int = BROADCAST_ROWS, salts: int = SLICES,
+    max_rows: int = BROADCAST_ROWS, salts: int = SALTS,
 ) -> DataFrame:
     """Left join with a side expected to be small, e.g. rules.
 

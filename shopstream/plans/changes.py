@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shopstream import names
 from shopstream.operators import cdc, dims
 from shopstream.operators.rejects import REASON, accepted
-from shopstream.session import shared_dir
+from shopstream.session import run_dir
 from shopstream.sinks.topics import TRIGGER, write_facts
 from shopstream.sources.topics import FolderTopics, KafkaTopics, read_topic
 
@@ -24,14 +24,16 @@ def process_changes(
 ) -> None:
     """Route one batch of change records into facts, dimensions and quarantine.
 
-    The routed rows are staged once, then each output reads its own part. Every
-    write is keyed by ``batch_id``, so repeating a batch leaves the same result.
+    The routed rows are staged once, in a new folder of this run, then each
+    output reads its own part. Every write to folders is keyed by ``batch_id``, so
+    repeating a batch with the same rules leaves the same result; in Kafka the
+    facts of a repeated batch are there twice.
     """
     spark = raw.sparkSession
     parsed = cdc.parse_cdc(raw)
     routed = cdc.annotate_cdc(cdc.clean_cdc(accepted(parsed)), rules)
     routed = routed.withColumn("sink", F.coalesce("sink_table", F.lit("")))
-    folder = f"{shared_dir(spark, scratch)}/changes/batch={int(batch_id)}"
+    folder = f"{run_dir(spark, scratch)}/changes"
     routed.write.mode("overwrite").partitionBy("route", "sink").parquet(folder)
     staged = spark.read.schema(routed.schema).parquet(folder)
 

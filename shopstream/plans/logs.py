@@ -7,8 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopstream import names
 from shopstream.operators import logs
-from shopstream.operators.rejects import accepted, quarantined
-from shopstream.session import shared_dir, stage
+from shopstream.operators.rejects import accepted, quarantined, rejected_records
+from shopstream.session import run_dir, stage
 from shopstream.sinks.topics import stream_records, write_records
 from shopstream.sources.topics import FolderTopics, KafkaTopics, read_topic
 from shopstream.streaming import devices
@@ -17,16 +17,16 @@ QUARANTINE = "quarantine"
 
 
 def run_logs(
-    spark: SparkSession, source: FolderTopics | KafkaTopics, target: FolderTopics | KafkaTopics, run: str,
+    spark: SparkSession, source: FolderTopics | KafkaTopics, target: FolderTopics | KafkaTopics, run: str = "logs",
     scratch: str | None = None,
 ) -> DataFrame:
     """One batch over all raw logs; returns the rejected ones.
 
-    The parsed logs are staged as a table first: repairing the flag reads them
-    more than once, and text is slow to read. ``run`` names the staged table.
+    The parsed logs are staged as a table first, in a new folder of this run:
+    repairing the flag reads them more than once, and text is slow to read.
     """
     raw = read_topic(spark, source, names.ODS_LOG)
-    parsed = stage(logs.parse_log(raw), f"{shared_dir(spark, scratch)}/{run}/parsed_logs")
+    parsed = stage(logs.parse_log(raw), f"{run_dir(spark, scratch)}/{run}")
     write_records(logs.log_records(logs.repair_is_new(accepted(parsed))), target)
     return quarantined(parsed)
 
@@ -35,9 +35,10 @@ def start_logs(
     spark: SparkSession, source: FolderTopics | KafkaTopics, target: FolderTopics | KafkaTopics,
     checkpoint: str, once: bool = False,
 ) -> StreamingQuery:
-    """The log job as one stream: repair, then every output from one pass."""
-    parsed = accepted(logs.parse_log(read_topic(spark, source, names.ODS_LOG, streaming=True)))
-    records = logs.log_records(devices.repair_is_new(parsed))
+    """The log job as one stream: repair, then every output, the rejected logs among them."""
+    parsed = logs.parse_log(read_topic(spark, source, names.ODS_LOG, streaming=True))
+    records = logs.log_records(devices.repair_is_new(accepted(parsed)))
+    records = records.unionByName(rejected_records(parsed, names.ODS_LOG))
     return stream_records(records, target, checkpoint, once, "logs")
 
 

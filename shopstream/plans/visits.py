@@ -8,8 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from shopstream import names
 from shopstream.operators import visits
 from shopstream.operators.logs import parse_log
-from shopstream.operators.rejects import accepted
-from shopstream.session import shared_dir, stage
+from shopstream.operators.rejects import accepted, quarantined, rejected_records
+from shopstream.session import run_dir, stage
 from shopstream.sinks.topics import stream_records, topic_records, write_topic
 from shopstream.sources.topics import FolderTopics, KafkaTopics, read_topic
 from shopstream.streaming import devices
@@ -18,21 +18,24 @@ Store = FolderTopics | KafkaTopics
 
 
 def page_logs(spark: SparkSession, source: Store, streaming: bool = False) -> DataFrame:
-    return accepted(parse_log(read_topic(spark, source, names.PAGE_LOG, streaming)))
+    """Parsed page logs; unusable ones carry a ``reject_reason``."""
+    return parse_log(read_topic(spark, source, names.PAGE_LOG, streaming))
 
 
 def run_visits(
-    spark: SparkSession, source: Store, target: Store, run: str, mode: str = "exact", complete: bool = True,
+    spark: SparkSession, source: Store, target: Store, run: str = "visits", mode: str = "exact", complete: bool = True,
     scratch: str | None = None,
-) -> None:
-    """Unique visits and bounces of all page logs, in one batch.
+) -> DataFrame:
+    """Unique visits and bounces of all page logs, in one batch; returns the rejected ones.
 
     Both look at the pages more than once, so the parsed pages are staged as a
-    table first. ``run`` names the staged table.
+    table first, in a new folder of this run.
     """
-    pages = stage(page_logs(spark, source), f"{shared_dir(spark, scratch)}/{run}/pages")
+    parsed = stage(page_logs(spark, source), f"{run_dir(spark, scratch)}/{run}")
+    pages = accepted(parsed)
     write_topic(visits.unique_visit(pages, mode), target, names.UNIQUE_VISIT)
     write_topic(visits.jump_detail(pages, complete=complete), target, names.USER_JUMP)
+    return quarantined(parsed)
 
 
 def start_unique_visit(
@@ -42,12 +45,15 @@ def start_unique_visit(
     """``once`` needs ``ttl=False``: a stream with wall-clock expiry runs on by design."""
     if once and ttl and mode == "exact":
         raise ValueError("a stream with wall-clock expiry does not end; pass ttl=False")
-    seen = devices.unique_visit(page_logs(spark, source, streaming=True), mode, ttl, delay)
-    return stream_records(topic_records(seen, names.UNIQUE_VISIT), target, checkpoint, once, "unique_visit")
+    parsed = page_logs(spark, source, streaming=True)
+    seen = devices.unique_visit(accepted(parsed), mode, ttl, delay)
+    records = topic_records(seen, names.UNIQUE_VISIT).unionByName(rejected_records(parsed, names.PAGE_LOG))
+    return stream_records(records, target, checkpoint, once, "unique_visit")
 
 
 def start_jump_detail(
     spark: SparkSession, source: Store, target: Store, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    jumps = devices.jump_detail(page_logs(spark, source, streaming=True))
+    """Pages it cannot use are those of the visit stream, which keeps them."""
+    jumps = devices.jump_detail(accepted(page_logs(spark, source, streaming=True)))
     return stream_records(topic_records(jumps, names.USER_JUMP), target, checkpoint, once, "jump_detail")

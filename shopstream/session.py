@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,17 +41,17 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
     return session
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder all executors can reach, as the cluster names it.
-
-    ``fallback`` is for single-machine runs, where the setting is absent.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if fallback is None:
+def shared_dir(spark: SparkSession, given: str | None = None) -> str:
+    """A folder all executors can reach: the one given, or else the one the cluster names."""
+    folder = given or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
         raise ValueError("spark.checkpoint.dir is not set and no folder was given")
-    return fallback.rstrip("/")
+    return folder.rstrip("/")
+
+
+def run_dir(spark: SparkSession, given: str | None = None) -> str:
+    """A new folder below the shared one, so that no two runs ever meet."""
+    return f"{shared_dir(spark, given)}/run-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

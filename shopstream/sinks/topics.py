@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,22 +40,28 @@ def fact_records(facts: DataFrame) -> DataFrame:
     )
 
 
-def write_records(records: DataFrame, store: FolderTopics | KafkaTopics, batch_id: int | None = None) -> None:
+def write_records(
+    records: DataFrame, store: FolderTopics | KafkaTopics, batch_id: int | None = None, writer: str | None = None,
+) -> None:
     """Write (topic, value, arrival) rows of a batch, each to its own topic.
 
-    With a ``batch_id`` a folder store keeps the batch apart, and writing the
-    batch again replaces it.
+    In a folder store, what a ``writer`` writes again under the same ``batch_id``
+    replaces the batch in every topic it had rows in. Without a batch id the rows
+    are added. In Kafka a batch written again is there twice: at least once.
     """
     if isinstance(store, KafkaTopics):
         records.select("topic", "value").write.format("kafka").options(**kafka_write_options(store)).save()
-    elif batch_id is None:
-        records.write.mode("append").partitionBy("topic").parquet(store.root)
-    else:
-        (
-            records.withColumn("batch", F.lit(int(batch_id)))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("topic", "batch").parquet(store.root)
-        )
+        return
+    again = batch_id is not None
+    folder = f"{store.root}/writer={writer or 'batch'}" if again else f"{store.root}/writer={uuid.uuid4().hex}"
+    # One task per topic and share of its rows, not a file for each task and topic.
+    spread = records.hint("rebalance", "topic").withColumn("batch", F.lit(int(batch_id) if again else 0))
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch").parquet(folder)
+
+
+def writer_of(name: str, checkpoint: str) -> str:
+    """A stream's own folder: its batch numbers belong to its checkpoint, so the checkpoint is part of the name."""
+    return f"{name}-{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()[:12]}"
 
 
 def stream_records(
@@ -60,7 +69,8 @@ def stream_records(
 ) -> StreamingQuery:
     """Start a stream that writes (topic, value, arrival) rows, each to its own topic.
 
-    ``once`` takes what is there and ends; otherwise the stream runs on.
+    ``once`` takes what is there and ends; otherwise the stream runs on. In a
+    folder store a batch that is run again replaces itself, whatever else writes there.
     """
     writer = records.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
@@ -68,7 +78,12 @@ def stream_records(
         writer = writer.queryName(name)
     if isinstance(store, KafkaTopics):
         return writer.format("kafka").options(**kafka_write_options(store)).start()
-    return writer.format("parquet").partitionBy("topic").start(store.root)
+    own = writer_of(name or "stream", checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_records(batch, store, batch_id, own)
+
+    return writer.foreachBatch(write).start()
 
 
 def write_topic(
@@ -83,12 +98,12 @@ def write_topic(
 
 def write_facts(
     facts: DataFrame, store: FolderTopics | KafkaTopics, batch_id: int | None = None,
-    checkpoint: str | None = None, once: bool = False,
+    checkpoint: str | None = None, once: bool = False, writer: str = "facts",
 ) -> StreamingQuery | None:
     """Write routed fact rows, each to the topic its rule names."""
     if facts.isStreaming:
-        return stream_records(fact_records(facts), store, checkpoint, once)
-    return write_records(fact_records(facts), store, batch_id)
+        return stream_records(fact_records(facts), store, checkpoint, once, writer)
+    return write_records(fact_records(facts), store, batch_id, writer)
 
 
 def land_raw_log(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,13 @@ from shopstream import schemas
 
 @dataclass(frozen=True)
 class FolderTopics:
-    """Topics as Parquet folders ``<root>/topic=<name>``; for stores without a broker."""
+    """Topics as Parquet folders ``<root>/writer=<w>/topic=<name>/batch=<b>``; for stores without a broker.
+
+    Every writer has a folder of its own, so any number of jobs and streams can
+    share a root. Readers open the folders of their own topic only. Files of one
+    batch have no order among them: a stream that depends on the order of arrival
+    must take whole batches, so set its files per trigger above those of a batch.
+    """
 
     root: str
     # Files taken per micro-batch; bounds what a stateful task sees at once.
@@ -55,8 +62,18 @@ def read_topic(spark: SparkSession, store: FolderTopics | KafkaTopics, topic: st
         return records.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("arrival"))
     if streaming:
         reader = reader.option("maxFilesPerTrigger", store.max_files_per_trigger)
-    records = reader.schema(schemas.TOPIC + ", topic STRING").parquet(store.root)
-    return records.where(F.col("topic") == topic).select("value", "arrival")
+    records = reader.schema(schemas.TOPIC).option("basePath", store.root)
+    try:
+        return records.parquet(f"{store.root}/writer=*/topic={topic}").select("value", "arrival")
+    except AnalysisException as error:
+        if streaming or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schemas.TOPIC)  # nobody has written to it yet
+
+
+def read_topics(spark: SparkSession, store: FolderTopics) -> DataFrame:
+    """The records of all topics of a folder store: ``topic STRING, value STRING, arrival BIGINT``."""
+    return spark.read.schema(schemas.TOPIC + ", topic STRING").parquet(store.root).select("topic", "value", "arrival")
 
 
 def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from shopstream.functions.fields import is_entry_page, with_flag
 from shopstream.functions.times import DAY_MS, NO_DELAY, day_text, with_event_time
 from shopstream.operators.logs import parse_log
-from shopstream.operators.rejects import accepted
 from shopstream.operators.visits import BOUNCE_GAP_MS, timed_pages
 from shopstream.streaming.processors import Bounce, DayChange, FirstDay
 
@@ -31,10 +30,14 @@ def repair_is_new(logs: DataFrame) -> DataFrame:
         statefulProcessor=FirstDay(), outputStructType=DEVICE_ROW + ", first_day STRING",
         outputMode="append", timeMode="None",
     )
-    value = F.when(F.col("day") != F.col("first_day"), with_flag(F.col("value"), F.lit("0"))).otherwise(F.col("value"))
-    repaired = accepted(parse_log(seen.select(value.alias("value"), "arrival")))
-    columns = repaired.columns
-    return repaired.union(logs.where(~flagged).select(*columns))
+    # The text as it came was accepted once, and reads the same again; only then is the flag replaced.
+    stale, zero = F.col("day") != F.col("first_day"), F.lit("0")
+    read = parse_log(seen.select("value", "arrival", "day", "first_day"))
+    repaired = read.withColumns({
+        "value": F.when(stale, with_flag(F.col("value"), zero)).otherwise(F.col("value")),
+        "common": F.when(stale, F.col("common").withField("is_new", zero)).otherwise(F.col("common")),
+    }).select(*logs.columns)
+    return repaired.union(logs.where(~flagged))
 
 
 def unique_visit(pages: DataFrame, mode: str = "exact", ttl: bool = True, delay: str = "1 day") -> DataFrame:

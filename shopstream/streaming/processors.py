@@ -98,7 +98,7 @@ class DayChange(StatefulProcessor):
             if day != last:
                 opening.add(at)
                 last = day
-        if last != before:
+        if opening:  # written on each opening, even if the days end where they began: that renews the expiry
             self._last.update((last,))
         for at, (value, arrival, day) in enumerate(self._spool.drain()):
             if at in opening:

@@ -52,7 +52,7 @@ def test_repaired_text_keeps_all_other_fields(topic):
 def test_repair_with_hot_keys_gives_the_same(topic):
     raw = topic(*[log("ab"[i % 2], (i * 7 % 5) * DAY_MS, is_new="01"[i % 3 > 0]) for i in range(60)])
     logs = accepted(parse_log(raw))
-    assert flags(repair_is_new(logs, skew=Skew(rows=3, slices=4))) == flags(repair_is_new(logs))
+    assert flags(repair_is_new(logs, skew=Skew(3))) == flags(repair_is_new(logs))
 
 
 def test_split_into_start_page_and_display(topic):

@@ -9,10 +9,10 @@ from shopstream.functions.times import day_start_millis
 from shopstream.operators import dims
 from shopstream.operators.logs import parse_log
 from shopstream.plans.changes import process_changes, start_changes
-from shopstream.session import shared_dir, stage, stream_session
-from shopstream.sinks.topics import kafka_write_options, land_raw_log, topic_records, write_records, write_topic
+from shopstream.session import run_dir, shared_dir, stage, stream_session
+from shopstream.sinks.topics import kafka_write_options, land_raw_log, stream_records, topic_records, write_records, write_topic
 from shopstream.sources.rules import read_rules
-from shopstream.sources.topics import FolderTopics, KafkaTopics, kafka_read_options, read_lines, read_topic
+from shopstream.sources.topics import FolderTopics, KafkaTopics, kafka_read_options, read_lines, read_topic, read_topics
 
 RULES = [
     ("t", "insert", "hbase", "dim_t", "id,name", None, None),
@@ -53,6 +53,32 @@ def test_a_batch_of_changes_can_be_repeated(spark, topic, tmp_path):
         assert results(spark, facts, root) == WANT
 
 
+def test_jobs_that_share_the_checkpoint_folder_keep_apart(spark, topic, tmp_path):
+    rules = spark.createDataFrame(RULES, schemas.RULE)
+    for name, records in (("a", CHANGES), ("b", [change("f", "insert", id=8)]), ("a", CHANGES)):
+        process_changes(topic(*records), rules, FolderTopics(str(tmp_path / name)), str(tmp_path / f"dims-{name}"), 0)
+    assert results(spark, FolderTopics(str(tmp_path / "a")), str(tmp_path / "dims-a")) == WANT
+    assert [json.loads(r.value) for r in read_topic(spark, FolderTopics(str(tmp_path / "b")), "fact_f").collect()] == [{"id": 8}]
+
+
+def test_writers_share_a_root(spark, topic, tmp_path):
+    store = FolderTopics(str(tmp_path / "topics"))
+    assert read_topic(spark, store, "one").count() == 0
+    write_topic(topic("a", "b"), store, "source")
+    for name in ("first", "second"):
+        stream = topic_records(read_topic(spark, store, "source", streaming=True), "one")
+        stream_records(stream, store, str(tmp_path / name), once=True, name=name).awaitTermination()
+    write_records(topic_records(topic("c"), "one"), store, 3, "third")
+    write_records(topic_records(topic("d"), "one"), store, 3, "third")
+    write_records(topic_records(topic("e"), "two"), store, 4, "third")
+    assert sorted(r.value for r in read_topic(spark, store, "one").collect()) == ["a", "a", "b", "b", "d"]
+    assert sorted(r.topic for r in read_topics(spark, store).collect()) == ["one"] * 5 + ["source"] * 2 + ["two"]
+    # A new checkpoint numbers its batches anew, and must not replace those of the old one.
+    again = topic_records(read_topic(spark, store, "source", streaming=True), "one")
+    stream_records(again, store, str(tmp_path / "new"), once=True, name="first").awaitTermination()
+    assert read_topic(spark, store, "one").count() == 7
+
+
 def test_change_stream_reads_the_rules_for_every_batch(spark, topic, tmp_path):
     session = stream_session(spark, 2)
     source, facts, root = FolderTopics(str(tmp_path / "in"), 1), FolderTopics(str(tmp_path / "facts")), str(tmp_path / "dims")
@@ -109,7 +135,8 @@ def test_kafka_options():
 
 
 def test_shared_folder_is_the_clusters(spark, tmp_path):
-    assert shared_dir(spark, "/elsewhere") == spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir") and shared_dir(spark, "/given/") == "/given"
+    assert run_dir(spark) != run_dir(spark)
     staged = stage(spark.range(3), f"{shared_dir(spark)}/numbers")
     assert staged.count() == 3 and "Parquet" in staged._jdf.queryExecution().executedPlan().toString().title()
 

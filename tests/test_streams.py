@@ -4,6 +4,7 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import log
@@ -16,7 +17,7 @@ from shopstream.plans import orders as order_plan
 from shopstream.plans import visits as visit_plan
 from shopstream.session import stream_session
 from shopstream.sinks.topics import topic_records, write_records
-from shopstream.sources.topics import FolderTopics, read_topic
+from shopstream.sources.topics import FolderTopics, read_topic, read_topics
 from shopstream.streaming import processors
 
 
@@ -43,8 +44,7 @@ def streams(spark):
 
 
 def written(spark, store):
-    marks = Path(store.root, "_spark_metadata")
-    return spark.read.parquet(store.root).collect() if marks.is_dir() and any(marks.glob("[0-9]*")) and list(Path(store.root).glob("topic=*")) else []
+    return read_topics(spark, store).collect() if list(Path(store.root).glob("writer=*/_SUCCESS")) else []
 
 
 def out(spark, store, topic):
@@ -67,8 +67,10 @@ def test_log_stream_equals_batch(spark, streams, feed, tmp_path, monkeypatch):
     target = FolderTopics(str(tmp_path / "out"))
     log_plan.start_logs(streams, source, target, str(tmp_path / "state"), once=True).awaitTermination()
     batch = FolderTopics(str(tmp_path / "batch"))
-    rejected = log_plan.run_logs(spark, source, batch, "run")
+    rejected = log_plan.run_logs(spark, source, batch)
     assert [r.reject_reason for r in rejected.collect()] == ["bad_json"]
+    kept = [json.loads(r.value) for r in out(spark, target, names.REJECTED)]
+    assert kept == [{"source": names.ODS_LOG, "reject_reason": "bad_json", "value": "no json"}]
     for topic in (names.START_LOG, names.PAGE_LOG, names.DISPLAY_LOG):
         got = [sorted((r.arrival, json.dumps(json.loads(r.value), sort_keys=True)) for r in out(spark, s, topic)) for s in (target, batch)]
         assert got[0] == got[1]
@@ -83,7 +85,7 @@ def test_visit_stream_equals_batch(spark, streams, feed, tmp_path):
     target = FolderTopics(str(tmp_path / "out"))
     visit_plan.start_unique_visit(streams, source, target, str(tmp_path / "state"), ttl=False, once=True).awaitTermination()
     batch = FolderTopics(str(tmp_path / "batch"))
-    visit_plan.run_visits(spark, source, batch, "visits")
+    assert visit_plan.run_visits(spark, source, batch).count() == 0
     got = [sorted(r.arrival for r in out(spark, s, names.UNIQUE_VISIT)) for s in (target, batch)]
     assert got[0] == got[1] and got[0]
     with pytest.raises(ValueError):
@@ -150,5 +152,64 @@ def test_order_stream_equals_batch(spark, streams, feed, tmp_path):
         writer = wide.writeStream.option("checkpointLocation", str(tmp_path / f"state-{grain}")).trigger(availableNow=True)
         writer.format("parquet").start(str(tmp_path / grain)).awaitTermination()
         got = sorted((r.order_id, r.detail_id) for r in spark.read.parquet(str(tmp_path / grain)).collect())
-        want = sorted((r.order_id, r.detail_id) for r in order_plan.run_order_wide(spark, source, grain).collect())
+        want = sorted((r.order_id, r.detail_id) for r in order_plan.run_order_wide(spark, source, grain)[0].collect())
         assert got == want and got
+
+
+def test_rejected_orders_are_kept(spark, streams, feed, tmp_path):
+    source = feed(names.ORDER_INFO, [{"id": 1, "create_time": "2021-01-01 00:00:00"}, "bad", {"id": 2}])
+    feed(names.ORDER_DETAIL, [{"id": 5, "order_id": 1, "create_time": "2021-01-01 00:00:01"}, {"id": 6}])
+    wide, rejected = order_plan.run_order_wide(spark, source)
+    want = [("bad_json", names.ORDER_INFO), ("no_create_time", names.ORDER_INFO), ("no_key", names.ORDER_DETAIL)]
+    assert wide.count() == 1
+    assert sorted((r["reject_reason"], r["source"]) for r in (json.loads(r.value) for r in rejected.collect())) == want
+    query = order_plan.stream_rejected_orders(streams, source).writeStream.format("memory").queryName("rejected_orders")
+    query.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    assert streams.table("rejected_orders").count() == 3
+
+
+def test_rough_records_pass_the_log_stream(spark, streams, feed, tmp_path):
+    rough = [
+        '{"common":{"mid":"a","is_new":"1"},"page":{"page_id":"p","x":1,"x":2},"ts":%d}' % ts for ts in (0, DAY_MS)
+    ] + ["{'common':{'mid':'a','is_new':'1'},'page':{'page_id':'q'},'ts':%d}" % (2 * DAY_MS)]
+    rough += [json.dumps(log("a", 3 * DAY_MS, displays=[])).replace('"displays": []', '"displays":[{"i":1,"i":2}]')]
+    source, target = feed(names.ODS_LOG, rough), FolderTopics(str(tmp_path / "out"))
+    log_plan.start_logs(streams, source, target, str(tmp_path / "state"), once=True).awaitTermination()
+    batch = logs.repair_is_new(accepted(logs.parse_log(read_topic(spark, source, names.ODS_LOG))))
+    for rows in (out(spark, target, names.PAGE_LOG), batch.collect()):
+        flags = {r.arrival: r.value for r in rows}
+        assert sorted(flags) == [0, 1, 2, 3] and None not in flags.values()
+        assert '"1"' in flags[0] and '"0"' in flags[1] and "\'1\'" not in flags[2]
+    assert [json.loads(r.value) for r in out(spark, target, names.DISPLAY_LOG)] == [{"i": 2, "page_id": "home"}]
+
+
+class Store:
+    """What a day-change processor asks of its state."""
+
+    def __init__(self):
+        self.value, self.writes = None, 0
+
+    def getValueState(self, *_):
+        return self
+
+    def getListState(self, *_):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+
+def test_expiry_is_renewed_by_each_opening():
+    store = Store()
+    change = processors.DayChange(DAY_MS)
+    change.init(store)
+    rows = [Row(value="v", arrival=i, day=d) for i, d in enumerate(["d1", "d2", "d1"])]
+    assert len(list(change.handleInputRows(("a",), iter(rows[:1]), None))) == 1
+    assert len(list(change.handleInputRows(("a",), iter(rows[1:]), None))) == 2
+    assert store.value == ("d1",) and store.writes == 2

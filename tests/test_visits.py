@@ -9,7 +9,7 @@ from shopstream.operators.rejects import accepted
 from shopstream.operators.skew import Skew
 from shopstream.operators.visits import jump_detail, unique_visit
 
-SPREAD = Skew(rows=3, slices=5)
+SPREAD = Skew(3)
 
 
 @pytest.fixture

@@ -76,21 +76,33 @@ OPERATION = """CASE WHEN {key} % 10 <= 5 THEN 'insert' WHEN {key} % 10 = 6 THEN
                     WHEN {key} % 10 <= 8 THEN 'update' ELSE 'delete' END"""
 
 
-def _changed(source: str, table: str, key: str, columns: str) -> str:
+INEXACT = ("o_totalprice", "o_orderdate", "c_acctbal", "p_retailprice")
+
+
+def _content(columns: str, only: str | None = None) -> str:
+    names = [c for c in columns.split(",") if c not in INEXACT and (only is None or c in only.split(","))]
+    return "concat_ws('|', " + ", ".join(names) + ")"
+
+
+def _changed(source: str, table: str, key: str, columns: str, kept: dict[str, str] = {}) -> str:
     op = OPERATION.format(key=key)
-    return f"SELECT '{source}' AS source, {op} AS op, CAST({key} AS BIGINT) AS arrival, '{columns}' AS columns FROM {table}"
+    cases = " ".join(f"WHEN '{k}' THEN {_content(columns, v)}" for k, v in kept.items())
+    content = f"CASE replace({op}, 'bootstrap-', '') {cases} ELSE {_content(columns)} END" if kept else _content(columns)
+    return f"""SELECT '{source}' AS source, {op} AS op, CAST({key} AS BIGINT) AS arrival, '{columns}' AS columns,
+                      {content} AS content FROM {table}"""
 
 
 CHANGES = f"""
     changes AS (
         {_changed('order_info', 'orders', 'o_orderkey',
-                  'o_custkey,o_orderdate,o_orderkey,o_orderpriority,o_orderstatus,o_totalprice')}
-        UNION ALL {_changed('user_info', 'customer', 'c_custkey', 'c_acctbal,c_custkey,c_mktsegment,c_name,c_nationkey')}
-        UNION ALL {_changed('base_province', 'nation', 'n_nationkey', 'n_name,n_nationkey,n_regionkey')}
+                  'o_custkey,o_orderdate,o_orderkey,o_orderpriority,o_orderstatus,o_totalprice', {'update': 'o_orderkey,o_orderstatus'})}
+        UNION ALL {_changed('user_info', 'customer', 'c_custkey', 'c_acctbal,c_custkey,c_mktsegment,c_name,c_nationkey',
+                           {'insert': 'c_custkey,c_name,c_nationkey', 'update': 'c_custkey,c_nationkey'})}
+        UNION ALL {_changed('base_province', 'nation', 'n_nationkey', 'n_name,n_nationkey,n_regionkey', {'insert': 'n_nationkey'})}
         UNION ALL {_changed('sku_info', 'part', 'p_partkey', 'p_brand,p_name,p_partkey,p_retailprice,p_size,p_type')}
-        UNION ALL SELECT 'user_info', NULL, s_suppkey, 'c_custkey' FROM supplier WHERE s_suppkey % 6 = 4
+        UNION ALL SELECT 'user_info', NULL, s_suppkey, 'c_custkey', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey % 6 = 4
     ),
-    normal AS (SELECT source, CASE WHEN op = 'bootstrap-insert' THEN 'insert' ELSE op END AS op, arrival, columns FROM changes),
+    normal AS (SELECT source, CASE WHEN op = 'bootstrap-insert' THEN 'insert' ELSE op END AS op, arrival, columns, content FROM changes),
     rules(source, op, sink_type, sink_table, kept) AS (
         VALUES ('order_info', 'insert', 'kafka', 'dwd_order_info', NULL),
                ('order_info', 'update', 'kafka', 'dwd_order_info_update', 'o_orderkey,o_orderstatus'),
@@ -100,12 +112,12 @@ CHANGES = f"""
                ('sku_info', 'insert', 'clickhouse', 'any', NULL)
     ),
     routed AS (
-        SELECT n.source AS "table", n.op AS type, arrival, r.sink_type, r.sink_table, coalesce(r.kept, n.columns) AS columns
+        SELECT n.source AS "table", n.op AS type, arrival, r.sink_type, r.sink_table, coalesce(r.kept, n.columns) AS columns, n.content
         FROM normal n LEFT JOIN rules r ON n.source = r.source AND n.op = r.op
     )
 """
 
-ROUTED = 'SELECT "table", type, arrival, sink_table, columns FROM routed'
+ROUTED = 'SELECT "table", type, arrival, sink_table, columns, content FROM routed'
 
 RULE_HISTORY = """
     history AS (
@@ -200,13 +212,19 @@ def wide(condition: str) -> str:
     """
 
 
-def merge_wide(split_coupon: str) -> str:
+def merge_wide(split_coupon: str, split_activity: str) -> str:
     def merged(name: str, mine: str, other: str) -> str:
         return f"CASE WHEN detail_id % 2 = 0 THEN {mine} ELSE {other} END AS {name}"
 
     return f"""
         WITH {ORDERS}
-        SELECT id AS order_id, detail_id, order_status, create_time, total AS total_amount, user_id,
+        SELECT id AS order_id, detail_id, order_status, create_time, total AS total_amount, user_id, province_id,
+               total AS original_total_amount, strftime(day, '%Y-%m-%d') AS create_date, CAST(NULL AS INTEGER) AS user_age,
+               {_nulls('DECIMAL(16, 2)', 'activity_reduce_amount', 'coupon_reduce_amount', 'feight_fee', 'split_feight_fee')},
+               {split_activity} AS split_activity_amount,
+               {_nulls('BIGINT', 'spu_id', 'tm_id', 'category3_id')},
+               {_nulls('VARCHAR', 'expire_time', 'operate_time', 'create_hour', 'province_name', 'province_area_code',
+                       'province_iso_code', 'province_3166_2_code', 'user_gender', 'spu_name', 'tm_name', 'category3_name')},
                {merged('sku_id', 'sku_id', 'province_id')},
                {merged('sku_name', 'sku_name', "'order-' || id")},
                {merged('order_price', 'order_price', 'total')},
@@ -249,9 +267,14 @@ ALL: dict[str, str] = {
         WITH {EVENTS} SELECT arrival, mid, 'icon' AS entry, k AS loading_time, ts FROM logs WHERE is_start""",
     "run_logs": records("late_arrival", "new_flag", "repaired", REPAIRED),
     "run_visits": f"""
-        SELECT 'dwm_unique_visit' AS topic, arrival FROM ({VISIT_EXACT})
-        UNION ALL
-        SELECT 'dwm_user_jump_detail', arrival FROM ({jumps(10_000, arrival="late_arrival")})""",
+        WITH {EVENTS},
+        seen AS (
+            SELECT 'dwm_unique_visit' AS topic, arrival FROM ({VISIT_EXACT})
+            UNION ALL
+            SELECT 'dwm_user_jump_detail', arrival FROM ({jumps(10_000, arrival="late_arrival")})
+        )
+        SELECT topic, late_arrival AS arrival, mid, page_id, last_page_id, is_new, k % 4 AS n_displays, ts
+        FROM seen JOIN logs ON late_arrival = seen.arrival""",
     "page_predicates": f"""
         WITH {EVENTS} SELECT arrival, last_page_id IS NULL AS is_entry, page_id <> '' AS is_page FROM logs WHERE NOT is_start""",
     "cdc_clean": f"""
@@ -309,15 +332,14 @@ ALL: dict[str, str] = {
         SELECT id AS order_id, detail_id, sku_id, seconds * 1000 AS order_ts, detail_seconds * 1000 AS detail_ts
         FROM joined WHERE detail_seconds BETWEEN seconds - 5 AND seconds + 5""",
     "order_wide_day": wide(SAME_DAY),
-    "order_merge_wide": merge_wide("split_coupon_amount"),
-    "order_merge_wide_splits": merge_wide("coalesce(split_coupon_amount, total)"),
+    "order_merge_wide": merge_wide("split_coupon_amount", "CAST(NULL AS DECIMAL(16, 2))"),
+    "order_merge_wide_splits": merge_wide("coalesce(split_coupon_amount, total)", "total"),
     "stream_logs": records("late_arrival", "new_flag", "repaired", REPAIRED),
     "stream_unique_visit_exact": VISIT_EXACT,
-    "stream_unique_visit_daily": f"SELECT DISTINCT mid, visit_date FROM ({VISIT_DAILY})",
+    "stream_unique_visit_daily": f"SELECT DISTINCT mid, visit_date, true AS is_entry FROM ({VISIT_DAILY})",
     "stream_jump_detail": jumps(10_000, complete=False),
-    "stream_order_wide": f"""
-        WITH {ORDERS} SELECT id AS order_id, detail_id, sku_id, order_price, create_time
-        FROM joined WHERE detail_seconds BETWEEN seconds - 5 AND seconds + 5""",
+    "stream_order_wide": wide(WITHIN),
+    "stream_order_wide_day": wide(SAME_DAY),
     "stream_changes": f"""
         {USERS} UNION ALL
         SELECT topic, CAST(o_orderkey AS VARCHAR), o_orderstatus, CAST(o_custkey AS VARCHAR) FROM ({FACTS})""",

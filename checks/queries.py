@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -144,7 +144,11 @@ def run_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = logs.split_logs(good_logs(spark, sf_dir, disordered=True)).page
     write_topic(pages, source, names.PAGE_LOG)
     visit_plan.run_visits(spark, source, target, scratch=f"{path}/stage")
-    return read_topics(spark, target).select("topic", "arrival")
+    seen = accepted(logs.parse_log(read_topics(spark, target)))
+    return seen.select(
+        "topic", "arrival", "mid", F.col("page.page_id").alias("page_id"), F.col("page.last_page_id").alias("last_page_id"),
+        F.col("common.is_new").alias("is_new"), F.size("displays").alias("n_displays"), "ts",
+    )
 
 
 def visit_columns(seen: DataFrame) -> DataFrame:
@@ -177,8 +181,12 @@ def clean_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def routed_columns(routed: DataFrame) -> DataFrame:
+    """Target, column names, and the values of the columns that are no floating-point numbers, in order of the names."""
+    entries = F.array_sort(F.map_entries(F.transform_values("data", lambda _, v: v.cast("string"))))
+    exact = F.filter(entries, lambda e: ~e["key"].isin("o_totalprice", "o_orderdate", "c_acctbal", "p_retailprice"))
     return routed.select(
-        "table", "type", "arrival", "sink_table", F.array_join(F.array_sort(F.map_keys("data")), ",").alias("columns")
+        "table", "type", "arrival", "sink_table", F.array_join(F.transform(entries, lambda e: e["key"]), ",").alias("columns"),
+        F.array_join(F.transform(exact, lambda e: e["value"]), "|").alias("content"),
     )
 
 
@@ -345,11 +353,7 @@ def wide_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 def _merge_wide(strict: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        merged = orders.merge_wide(*wide_halves(spark, sf_dir), strict=strict)
-        return merged.select(
-            "order_id", "detail_id", "order_status", "create_time", "total_amount", "user_id", "sku_id", "sku_name",
-            "order_price", "sku_num", "split_coupon_amount", "split_total_amount",
-        )
+        return orders.merge_wide(*wide_halves(spark, sf_dir), strict=strict)
 
     return query
 
@@ -357,13 +361,17 @@ def _merge_wide(strict: bool) -> Query:
 # -- streams -----------------------------------------------------------------
 
 
-def feed_topic(spark: SparkSession, records: DataFrame, store: FolderTopics, topic: str) -> None:
-    """Write records as a topic, in ``STREAM_STEPS`` sets of files in arrival order."""
-    records = stage(topic_records(records, topic), f"{store.root}-{topic}")
-    low, high = records.agg(F.min("arrival"), F.max("arrival") + 1).first()
+def feed_topic(
+    spark: SparkSession, records: DataFrame, store: FolderTopics, topic: str, by: Column | None = None,
+    span: tuple[int, int] | None = None,
+) -> None:
+    """Write records as a topic, in ``STREAM_STEPS`` sets of files in order of arrival, or of ``by`` over ``span``."""
+    records = stage(topic_records(records, topic).withColumn("_by", F.col("arrival") if by is None else by), f"{store.root}-{topic}")
+    low, high = span or records.agg(F.min("_by"), F.max("_by") + 1).first()
     cuts = [low + (high - low) * i // STREAM_STEPS for i in range(STREAM_STEPS + 1)]
-    for start, end in zip(cuts, cuts[1:]):
-        part = records.where((F.col("arrival") >= start) & (F.col("arrival") < end))
+    for i, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        after = F.lit(True) if i == 0 else F.col("_by") >= start
+        part = records.where(after & (F.lit(True) if i == STREAM_STEPS - 1 else F.col("_by") < end)).drop("_by")
         write_records(part.repartition(store.max_files_per_trigger, "arrival"), store)
 
 
@@ -397,7 +405,8 @@ def _stream_visits(mode: str) -> Query:
         seen = accepted(logs.parse_log(read_topics(spark, target)))
         day = F.to_date(F.timestamp_millis("ts")).alias("visit_date")
         if mode == "daily":
-            return seen.select("mid", day)
+            # Which entry page of the day is kept is open; it must be one of them.
+            return seen.select("mid", day, F.col("page.page_id").isin("signup", "view").alias("is_entry"))
         return visit_columns(seen.withColumn("visit_date", F.to_date(F.timestamp_millis("ts"))))
 
     return query
@@ -410,17 +419,22 @@ def stream_jump_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_columns(accepted(logs.parse_log(read_topics(spark, target)))).drop("last_page_id")
 
 
-def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders and lines as two streams; lateness is allowed for, as both arrive by key, not by time."""
-    session, path = _stream(spark)
-    source = FolderTopics(f"{path}/in", STREAM_FILES)
-    feed_topic(session, inputs.order_records(session, sf_dir), source, names.ORDER_INFO)
-    feed_topic(session, inputs.detail_records(session, sf_dir), source, names.ORDER_DETAIL)
-    wide = order_plan.stream_order_wide(session, source, "second", delay="10000 days")
-    writer = wide.writeStream.option("checkpointLocation", f"{path}/state").trigger(availableNow=True)
-    writer.format("parquet").start(f"{path}/out").awaitTermination()
-    wide = spark.read.parquet(f"{path}/out")
-    return wide.select("order_id", "detail_id", "sku_id", "order_price", "create_time")
+def _stream_orders(grain: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Orders and lines as two streams in order of time, so that state older than minutes goes."""
+        session, path = _stream(spark)
+        source = FolderTopics(f"{path}/in", STREAM_FILES)
+        created = F.unix_timestamp(F.get_json_object("value", "$.create_time"))
+        infos, details = inputs.order_records(session, sf_dir), inputs.detail_records(session, sf_dir)
+        span = infos.agg(F.min(created), F.max(created) + 1).first()
+        feed_topic(session, infos, source, names.ORDER_INFO, created, span)
+        feed_topic(session, details, source, names.ORDER_DETAIL, created, span)
+        wide = order_plan.stream_order_wide(session, source, grain, delay="10 minutes")
+        writer = wide.writeStream.option("checkpointLocation", f"{path}/state").trigger(availableNow=True)
+        writer.format("parquet").start(f"{path}/out").awaitTermination()
+        return spark.read.parquet(f"{path}/out")
+
+    return query
 
 
 def two_jobs_one_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -532,7 +546,8 @@ ALL: dict[str, Query] = {
     "stream_unique_visit_exact": _stream_visits("exact"),
     "stream_unique_visit_daily": _stream_visits("daily"),
     "stream_jump_detail": stream_jump_detail,
-    "stream_order_wide": stream_order_wide,
+    "stream_order_wide": _stream_orders("second"),
+    "stream_order_wide_day": _stream_orders("day"),
     "stream_changes": stream_changes,
     "two_jobs_one_store": two_jobs_one_store,
     "repair_rough_json": repair_rough_json,

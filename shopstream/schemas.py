@@ -1,7 +1,9 @@
 """Record shapes, as Spark DDL strings."""
 
-# Money has no declared precision at the source; two decimals is our choice.
+# Money has no declared precision at the source; two decimals is our choice. It is
+# read as wide as it can be, and an amount that does not fit is no amount.
 MONEY = "DECIMAL(16,2)"
+MONEY_READ = "DECIMAL(38,10)"
 
 # What a topic gives: the text of one record and its position in the topic.
 TOPIC = "value STRING, arrival BIGINT"

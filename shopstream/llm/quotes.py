@@ -76,18 +76,19 @@ def threads(parents: DataFrame) -> DataFrame:
     """``(conv, turn, parent, root, depth)`` from ``(conv, turn, parent)``, one row per message; parents are earlier turns."""
     state = checkpointed(parents.select(
         "conv", "turn", "parent", F.coalesce("parent", "turn").alias("root"), F.col("parent").isNotNull().cast("int").alias("depth"),
+        F.col("parent").isNull().alias("done"),
     ))
-    while True:
-        above = state.select("conv", F.col("turn").alias("root"), F.col("root").alias("top"), F.col("depth").alias("more"))
-        ahead = checkpointed(
-            state.join(above, ["conv", "root"], "left").select(
-                "conv", "turn", "parent", F.coalesce("top", "root").alias("root"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("more") > 0).alias("moved"),
-            )
+    while state.where("NOT done").limit(1).count():
+        above = state.select(
+            "conv", F.col("turn").alias("root"), F.col("root").alias("top"), F.col("depth").alias("more"), F.col("done").alias("settled"),
         )
-        state = ahead.drop("moved")
-        if not ahead.where("moved").limit(1).count():
-            return state
+        # Only messages whose root is not known yet are looked up again: each round, those twice as deep as before.
+        moved = state.where("NOT done").join(above, ["conv", "root"], "left").select(
+            "conv", "turn", "parent", F.coalesce("top", "root").alias("root"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("settled", F.lit(True)).alias("done"),
+        )
+        state = checkpointed(state.where("done").unionByName(moved))
+    return state.drop("done")
 
 
 def reply_conversations(

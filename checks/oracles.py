@@ -342,6 +342,8 @@ ALL: dict[str, str] = {
     "stream_order_wide_day": wide(SAME_DAY),
     "stream_changes": f"""
         {USERS} UNION ALL
+        SELECT 'dim_base_province', CAST(n_nationkey AS VARCHAR), NULL, NULL FROM nation WHERE n_nationkey % 10 <= 6
+        UNION ALL
         SELECT topic, CAST(o_orderkey AS VARCHAR), o_orderstatus, CAST(o_custkey AS VARCHAR) FROM ({FACTS})""",
     "two_jobs_one_store": f"""
         SELECT topic, arrival FROM ({records("arrival", "is_new", "logs", EVENTS)})

@@ -281,7 +281,7 @@ def dim_table_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         part = changes.where((F.col("arrival") >= low) & (F.col("arrival") < high))
         dims.upsert_dim(spark, part, f"{root}/dim_status", batch)
         if batch == 1:
-            dims.compact_dim(spark, f"{root}/dim_status")
+            dims.compact(spark, root)
     return dims.read_dim(spark, f"{root}/dim_status")
 
 
@@ -490,9 +490,14 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stream.awaitTermination()
     users = dims.read_dim(spark, f"{path}/dims/dim_user_info")
+    provinces = dims.read_dim(spark, f"{path}/dims/dim_base_province")
     facts = fact_columns(read_topics(spark, target))
     return (
         users.select(F.lit("dim_user_info").alias("target"), "c_custkey", "c_name", "c_nationkey")
+        .unionByName(provinces.select(
+            F.lit("dim_base_province").alias("target"), F.col("n_nationkey").alias("c_custkey"),
+            F.col(" n_name").alias("c_name"), F.lit(None).cast("string").alias("c_nationkey"),
+        ))
         .unionByName(facts.select(
             F.col("topic").alias("target"), F.col("o_orderkey").cast("string").alias("c_custkey"),
             F.col("o_orderstatus").alias("c_name"), F.col("o_custkey").cast("string").alias("c_nationkey"),

@@ -1,10 +1,11 @@
 """Dimension tables: created by rule, upserted from routed changes.
 
-A table is a folder of Parquet files. ``base/v=<n>`` holds the table as of batch
-``n``; ``delta/batch=<n>`` holds, for each key changed in batch ``n``, the values
-written and which columns they belong to. An upsert writes one delta, whose size
-is that of the batch, not of the table; writing a batch again replaces it.
-Readers see finished writes only.
+All tables of a job live below one root, and every step is one job whatever their
+number. ``tables`` holds the definitions. ``changes=<v>/batch=<n>`` holds, for each
+key changed in batch ``n``, the values written since base ``v``; ``base=<v>`` holds
+the tables as of batch ``v``. A batch costs its own size, not that of the tables,
+and writing it again replaces it. ``compact`` folds the changes into a new base and
+empties what it folded.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shopstream import names
 from shopstream.functions.fields import is_blank, text_map
@@ -23,7 +24,8 @@ from shopstream.operators.skew import order_value
 
 SET = "_set"
 DELETED = "_deleted"
-MAX_TABLES = 10_000
+DEFINITION = "sink_table STRING, pk STRING, columns ARRAY<STRING>, extend STRING"
+ROW = "table STRING, key STRING, values MAP<STRING, STRING>, reset BOOLEAN, deleted BOOLEAN"
 
 
 class DimTable(NamedTuple):
@@ -32,6 +34,16 @@ class DimTable(NamedTuple):
     columns: list[str]
 
 
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet folder; empty if nobody has written it yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 # -- definitions -------------------------------------------------------------
 
 
@@ -51,45 +63,91 @@ def dim_rules(rules: DataFrame) -> DataFrame:
     )
 
 
-def ensure_dim_table(spark: SparkSession, rules: DataFrame, root: str) -> list[str]:
-    """Create the missing tables of the given rules; returns the names created.
+def definitions(spark: SparkSession, root: str) -> DataFrame:
+    """``sink_table, pk, columns, extend`` of the tables made so far; the first definition of a table stands."""
+    made = _read(spark, f"{root}/tables", DEFINITION + ", made BIGINT")
+    return made.groupBy("sink_table").agg(F.min(F.struct("made", "pk", "columns", "extend")).alias("d")).select(
+        "sink_table", "d.pk", "d.columns", "d.extend",
+    )
+
+
+def ensure_dim_table(spark: SparkSession, rules: DataFrame, root: str) -> None:
+    """Create the missing tables of the given rules.
 
     All columns are strings. A changed rule never alters a table. Unusable rules
-    are left to ``dim_rules``. The rules are few; more than ``MAX_TABLES`` is an error.
+    are left to ``dim_rules``.
     """
-    wanted = dim_rules(rules).where(F.col(REASON).isNull()).limit(MAX_TABLES + 1).collect()
-    if len(wanted) > MAX_TABLES:
-        raise ValueError(f"more than {MAX_TABLES} dimension tables")
-    created = []
-    for rule in wanted:
-        path = f"{root}/{rule.sink_table}"
-        if _versions(spark, f"{path}/base"):
-            continue
-        fields = [
-            T.StructField(c, T.StringType(), True, {"primary_key": c == rule.pk, "extend": rule.extend})
-            for c in rule.columns
-        ]
-        spark.createDataFrame([], T.StructType(fields)).write.mode("overwrite").parquet(f"{path}/base/v=-1")
-        created.append(rule.sink_table)
-    return created
+    wanted = dim_rules(rules).where(F.col(REASON).isNull()).drop(REASON)
+    new = wanted.join(definitions(spark, root).select("sink_table"), "sink_table", "left_anti")
+    if new.limit(1).count():
+        made = F.unix_millis(F.current_timestamp()).alias("made")
+        new.select("sink_table", "pk", "columns", "extend", made).write.mode("append").parquet(f"{root}/tables")
+
+
+def _definition(spark: SparkSession, path: str) -> tuple[str, str, DimTable, str]:
+    root, _, name = path.rstrip("/").rpartition("/")
+    found = definitions(spark, root).where(F.col("sink_table") == name).first()
+    if found is None:
+        raise ValueError(f"no dimension table at {path}")
+    return root, name, DimTable(path, found.pk, found.columns), found.extend
 
 
 def dim_table(spark: SparkSession, path: str) -> DimTable:
-    schema = _base(spark, path)[1].schema
-    pk = next(f.name for f in schema.fields if f.metadata.get("primary_key"))
-    return DimTable(path, pk, schema.names)
+    return _definition(spark, path)[2]
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    root, _, name = path.rstrip("/").rpartition("/")
+    return definitions(spark, root).where(F.col("sink_table") == name).limit(1).count() > 0
 
 
 # -- merging -----------------------------------------------------------------
 
 
-def check_dim_rows(changes: DataFrame, pk: str, columns: Sequence[str]) -> DataFrame:
+def check_dim_rows(changes: DataFrame, pk: str | Column, columns: Sequence[str] | Column) -> DataFrame:
     """Mark routed changes the table cannot take."""
+    pk = F.lit(pk) if isinstance(pk, str) else pk
+    columns = columns if isinstance(columns, Column) else F.array(*[F.lit(c) for c in columns])
     data = F.col("data")
-    unknown = F.array_except(F.map_keys(data), F.array(*[F.lit(c) for c in columns]))
-    key = F.try_element_at(data, F.lit(pk)).cast("string")
-    return changes.withColumn(
-        REASON, first_reason(("no_key", is_blank(key)), ("unknown_column", F.size(unknown) > 0))
+    key = F.try_element_at(data, pk).cast("string")
+    return changes.withColumn(REASON, first_reason(
+        ("no_table", pk.isNull()), ("no_key", is_blank(key)),
+        ("unknown_column", F.size(F.array_except(F.map_keys(data), columns)) > 0),
+    ))
+
+
+def merge(rows: DataFrame) -> DataFrame:
+    """One row per table and key: for each column the last value written.
+
+    ``rows`` are ``table, key, order, values, writes, clears``. A row that clears
+    makes all before it forgotten; its own values, if it writes, count. ``reset``
+    tells that something was cleared, ``deleted`` that nothing was written since.
+    Both steps are aggregates, so keys with very many changes are reduced before the shuffle.
+    """
+    written = F.struct("order", "value")
+    cells = rows.select("table", "key", "order", "writes", "clears", F.explode_outer("values").alias("column", "value"))
+    cells = cells.groupBy("table", "key", "column").agg(
+        F.max(F.when(F.col("writes"), written)).alias("last"),
+        F.max(F.when(F.col("writes"), F.col("order"))).alias("wrote"), F.max(F.when(F.col("clears"), F.col("order"))).alias("cleared"),
+    )
+    merged = cells.groupBy("table", "key").agg(
+        F.max("wrote").alias("wrote"), F.max("cleared").alias("cleared"),
+        F.collect_list(F.struct("column", "last")).alias("cells"),  # one for each column of the table
+    )
+    cleared = F.col("cleared")
+    kept = F.filter("cells", lambda c: c["last"].isNotNull() & (cleared.isNull() | (c["last"]["order"] >= cleared)))
+    values = F.map_from_entries(F.transform(kept, lambda c: F.struct(c["column"], c["last"]["value"])))
+    gone = cleared.isNotNull() & (F.col("wrote").isNull() | (F.col("wrote") < cleared))
+    return merged.select("table", "key", values.alias("values"), cleared.isNotNull().alias("reset"), gone.alias("deleted"))
+
+
+def _as_rows(changes: DataFrame, table: Column, pk: Column, order: Sequence[str], apply_deletes: bool) -> DataFrame:
+    """Routed changes as rows for ``merge``. A delete counts as one more write of its row unless applied."""
+    deletes = F.col("type").eqNullSafe("delete") if apply_deletes else F.lit(False)
+    texts = text_map(F.col("data"))
+    return changes.select(
+        table.alias("table"), F.element_at(texts, pk).alias("key"), order_value(order).alias("order"), texts.alias("values"),
+        (~deletes).alias("writes"), deletes.alias("clears"),
     )
 
 
@@ -100,114 +158,98 @@ def merge_changes(
 
     Columns absent from a change keep what earlier changes wrote; a null that is
     present overwrites. ``_set`` lists the columns written. A delete counts as
-    one more write of its row, or with ``apply_deletes`` clears it. The merge
-    is an aggregate, so a key with very many changes is reduced before the shuffle.
+    one more write of its row, or with ``apply_deletes`` clears it.
     """
-    rows = changes.withColumn("data", text_map(F.col("data")))
-    order_by = order_value(order)
-    rows = rows.withColumn("_order", order_by).withColumn(pk, F.col("data")[pk])
-    others = [c for c in columns if c != pk]
-    deleted = F.col("type").eqNullSafe("delete") if apply_deletes else F.lit(False)
-
-    def last_write(name: str) -> Column:
-        written = F.map_contains_key("data", name) & ~deleted
-        return F.max(F.when(written, F.struct("_order", F.col("data")[name].alias("v")))).alias(f"_w_{name}")
-
-    merged = rows.groupBy(pk).agg(
-        F.max(F.when(~deleted, F.col("_order"))).alias("_last_write"),
-        F.max(F.when(deleted, F.col("_order"))).alias("_last_delete"),
-        *[last_write(c) for c in others],
+    merged = merge(_as_rows(changes, F.lit(""), F.lit(pk), order, apply_deletes))
+    every = F.array(*[F.lit(c) for c in columns])
+    return merged.select(
+        F.col("key").alias(pk), *[F.try_element_at("values", F.lit(c)).alias(c) for c in columns if c != pk],
+        F.when(F.col("reset"), every).otherwise(F.map_keys("values")).alias(SET), F.col("deleted").alias(DELETED),
     )
-    cleared = F.col("_last_delete")
-    gone = cleared.isNotNull() & (F.col("_last_write").isNull() | (F.col("_last_write") < cleared))
 
-    def value(name: str) -> Column:
-        write = F.col(f"_w_{name}")
-        return F.when(cleared.isNull() | (write["_order"] > cleared), write["v"]).alias(name)
 
-    touched = [
-        F.when(cleared.isNotNull() | F.col(f"_w_{c}").isNotNull(), F.lit(c)) for c in others
-    ]
-    return merged.select(
-        pk, *[value(c) for c in others],
-        F.array_compact(F.array(F.lit(pk), *touched)).alias(SET), gone.alias(DELETED),
-    )
+# -- storage -----------------------------------------------------------------
 
 
-def apply_deltas(base: DataFrame, deltas: DataFrame, pk: str, columns: Sequence[str]) -> DataFrame:
-    """The table after the deltas (rows of ``merge_changes`` with a ``batch`` number)."""
-    others = [c for c in columns if c != pk]
-    everything = F.array(*[F.lit(c) for c in columns])
-    old = base.select(
-        *columns, everything.alias(SET), F.lit(False).alias(DELETED), F.lit(-2).cast("bigint").alias("batch")
-    )
-    new = deltas.select(*columns, SET, DELETED, F.col("batch").cast("bigint").alias("batch"))
-    latest = old.unionByName(new).groupBy(pk).agg(
-        F.max_by(DELETED, "batch").alias(DELETED),
-        *[F.max_by(c, F.when(F.array_contains(SET, c), F.col("batch"))).alias(c) for c in others],
-    )
-    return latest.where(~F.col(DELETED)).select(*columns)
+def _version(spark: SparkSession, root: str) -> int:
+    """The batch the current base stands for; -1 for none."""
+    return _read(spark, f"{root}/versions", "version BIGINT").agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
 
 
-# -- storage -----------------------------------------------------------------
+def mark_dim_rows(spark: SparkSession, changes: DataFrame, root: str) -> DataFrame:
+    """Routed changes with their table's ``pk`` and ``columns``, and a ``reject_reason`` where it cannot take them."""
+    known = definitions(spark, root).drop("extend")
+    return check_dim_rows(changes.drop("pk", "columns").join(known, "sink_table", "left"), F.col("pk"), F.col("columns"))
+
+
+def _batch_rows(fit: DataFrame, order: Sequence[str], apply_deletes: bool) -> DataFrame:
+    return merge(_as_rows(fit, F.col("sink_table"), F.col("pk"), order, apply_deletes))
+
+
+def upsert_dims(
+    spark: SparkSession, changes: DataFrame, root: str, batch_id: int, order: Sequence[str] = ("arrival",),
+    apply_deletes: bool = False,
+) -> None:
+    """Write a batch of routed changes into the tables that ``sink_table`` names, all in one job.
+
+    Rows a table cannot take (see ``mark_dim_rows``) are skipped; callers keep
+    them in quarantine. Repeating a batch id replaces what it wrote to any table;
+    a batch the base already holds changes nothing.
+    """
+    version = _version(spark, root)
+    if batch_id > version:
+        fit = mark_dim_rows(spark, changes, root).where(F.col(REASON).isNull())
+        rows = _batch_rows(fit, order, apply_deletes)
+        rows.write.mode("overwrite").partitionBy("table").parquet(f"{root}/changes={version}/batch={int(batch_id)}")
 
 
 def upsert_dim(
     spark: SparkSession, changes: DataFrame, path: str, batch_id: int,
     order: Sequence[str] = ("arrival",), apply_deletes: bool = False,
 ) -> None:
-    """Write a batch of routed changes into the table at ``path``.
-
-    Rows the table cannot take (see ``check_dim_rows``) are skipped; callers
-    keep them in quarantine. Repeating a batch id changes nothing.
-    """
-    table = dim_table(spark, path)
-    fit = check_dim_rows(changes, table.pk, table.columns).where(F.col(REASON).isNull())
-    merged = merge_changes(fit, table.pk, table.columns, order, apply_deletes)
-    merged.write.mode("overwrite").parquet(f"{path}/delta/batch={int(batch_id)}")
+    """``upsert_dims`` for a single table: all changes are its own, other tables' share of the batch stays."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    version = _version(spark, root)
+    if batch_id > version:
+        marked = mark_dim_rows(spark, changes.withColumn("sink_table", F.lit(name)), root)
+        rows = _batch_rows(marked.where(F.col(REASON).isNull()), order, apply_deletes).withColumn("batch", F.lit(int(batch_id)))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch", "table").parquet(f"{root}/changes={version}")
+
+
+def _current(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The rows of all tables: the base and the changes since, merged by batch."""
+    base = _read(spark, f"{root}/base={version}", ROW).withColumn("batch", F.lit(-2).cast("bigint"))
+    since = _read(spark, f"{root}/changes={version}", ROW + ", batch BIGINT")
+    rows = base.unionByName(since)
+    return rows.select(
+        "table", "key", F.col("batch").alias("order"), "values", (~F.col("deleted")).alias("writes"), F.col("reset").alias("clears"),
+    )
 
 
 def read_dim(spark: SparkSession, path: str) -> DataFrame:
     """The table as of its last finished batch."""
-    table = dim_table(spark, path)
-    version, base = _base(spark, path)
-    batches = [b for b in _versions(spark, f"{path}/delta") if b > version]
-    if not batches:
-        return base
-    folder = f"{path}/delta"
-    deltas = spark.read.option("basePath", folder).parquet(*[f"{folder}/batch={b}" for b in batches])
-    return apply_deltas(base, deltas, table.pk, table.columns)
-
-
-def compact_dim(spark: SparkSession, path: str) -> int:
-    """Fold all finished batches into a new base; returns the batch it stands for."""
-    version, _ = _base(spark, path)
-    last = max([version, *_versions(spark, f"{path}/delta")])
-    if last > version:
-        schema = spark.read.parquet(f"{path}/base/v={version}").schema
-        whole = read_dim(spark, path)
-        whole = whole.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields])
-        whole.write.mode("overwrite").parquet(f"{path}/base/v={last}")
+    root, name, table, extend = _definition(spark, path)
+    rows = _current(spark, root, _version(spark, root)).where(F.col("table") == name)
+    merged = merge(rows).where(~F.col("deleted"))
+    return merged.select(*[
+        (F.col("key") if c == table.pk else F.try_element_at("values", F.lit(c)))
+        .alias(c, metadata={"primary_key": c == table.pk, "extend": extend})
+        for c in table.columns
+    ])
+
+
+def compact(spark: SparkSession, root: str) -> int:
+    """Fold all finished batches of all tables into a new base; returns the batch it stands for."""
+    version = _version(spark, root)
+    folder = f"{root}/changes={version}"
+    last = _read(spark, folder, ROW + ", batch BIGINT").agg(F.max("batch")).first()[0]
+    if last is None or last <= version:
+        return version
+    whole = merge(_current(spark, root, version)).where(~F.col("deleted")).withColumn("reset", F.lit(False))
+    whole.write.mode("overwrite").partitionBy("table").parquet(f"{root}/base={last}")
+    spark.createDataFrame([(last,)], "version BIGINT").write.mode("append").parquet(f"{root}/versions")
+    # Only now is the old base out of use, and what it and its changes held can go.
+    for old in (folder, f"{root}/base={version}"):
+        spark.createDataFrame([], ROW).write.mode("overwrite").parquet(old)
     return last
-
-
-def _base(spark: SparkSession, path: str) -> tuple[int, DataFrame]:
-    versions = _versions(spark, f"{path}/base")
-    if not versions:
-        raise ValueError(f"no dimension table at {path}")
-    return max(versions), spark.read.parquet(f"{path}/base/v={max(versions)}")
-
-
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the finished writes below ``folder`` (``name=<number>`` with a success mark)."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(at):
-        return []
-    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/*=*/_SUCCESS"))
-    return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in marks)
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_versions(spark, f"{path}/base"))

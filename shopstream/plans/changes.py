@@ -16,6 +16,7 @@ from shopstream.sinks.topics import TRIGGER, write_facts
 from shopstream.sources.topics import FolderTopics, KafkaTopics, read_topic
 
 QUARANTINE = "quarantine"
+FOLD_EVERY = 500
 
 
 def process_changes(
@@ -32,43 +33,35 @@ def process_changes(
     spark = raw.sparkSession
     parsed = cdc.parse_cdc(raw)
     routed = cdc.annotate_cdc(cdc.clean_cdc(accepted(parsed)), rules)
-    routed = routed.withColumn("sink", F.coalesce("sink_table", F.lit("")))
     folder = f"{run_dir(spark, scratch)}/changes"
-    routed.write.mode("overwrite").partitionBy("route", "sink").parquet(folder)
+    routed.write.mode("overwrite").partitionBy("route").parquet(folder)
     staged = spark.read.schema(routed.schema).parquet(folder)
 
     write_facts(staged.where(F.col("route") == "fact"), target, batch_id)
 
     dims.ensure_dim_table(spark, rules, dim_root)
     changed = staged.where(F.col("route") == "dim")
-    tables = [r.sink for r in changed.select("sink").distinct().limit(dims.MAX_TABLES + 1).collect()]
-    if len(tables) > dims.MAX_TABLES:
-        raise ValueError(f"more than {dims.MAX_TABLES} dimension tables")
+    dims.upsert_dims(spark, changed, dim_root, batch_id)
+    refused = dims.mark_dim_rows(spark, changed, dim_root).where(F.col(REASON).isNotNull()).select("value", REASON)
     unfit = staged.where(F.col("route") == "rejected").select("value", F.lit("no_type").alias(REASON))
     unread = parsed.where(F.col(REASON).isNotNull()).select("value", REASON)
-    unfit = unfit.unionByName(unread)
-    for name in tables:
-        rows, path = changed.where(F.col("sink") == name), f"{dim_root}/{name}"
-        if not dims.table_exists(spark, path):
-            unfit = unfit.unionByName(rows.select("value", F.lit("no_table").alias(REASON)))
-            continue
-        table = dims.dim_table(spark, path)
-        dims.upsert_dim(spark, rows, path, batch_id)
-        checked = dims.check_dim_rows(rows, table.pk, table.columns)
-        unfit = unfit.unionByName(checked.where(F.col(REASON).isNotNull()).select("value", REASON))
+    unfit = unfit.unionByName(unread).unionByName(refused)
     unfit.write.mode("overwrite").parquet(f"{dim_root}/_{QUARANTINE}/batch={int(batch_id)}")
 
 
 def start_changes(
     spark: SparkSession, source: FolderTopics | KafkaTopics, target: FolderTopics | KafkaTopics, dim_root: str,
     load_rules: Callable[[SparkSession], DataFrame], checkpoint: str, once: bool = False,
-    scratch: str | None = None,
+    scratch: str | None = None, fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """The change job. ``load_rules`` is called for every batch, so each batch
-    sees the rules written before it."""
+    sees the rules written before it. Every ``fold_every`` batches the dimension
+    tables are compacted."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         process_changes(batch, load_rules(batch.sparkSession), target, dim_root, batch_id, scratch)
+        if batch_id % fold_every == fold_every - 1:
+            dims.compact(batch.sparkSession, dim_root)
 
     changes = read_topic(spark, source, names.ODS_CHANGES, streaming=True)
     writer = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName("changes")

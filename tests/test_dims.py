@@ -24,10 +24,14 @@ def rules(spark, *rows):
 def table(spark, tmp_path):
     root = str(tmp_path / "dims")
     rule = ("t", "insert", "hbase", "dim_t", "id,name,phone", None, "SALT_BUCKETS = 4")
-    assert dims.ensure_dim_table(spark, rules(spark, rule), root) == ["dim_t"]
+    dims.ensure_dim_table(spark, rules(spark, rule), root)
     return f"{root}/dim_t"
 
 
+def root_of(table):
+    return table.rpartition("/")[0]
+
+
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
@@ -48,7 +52,7 @@ def test_upserts_touch_only_the_columns_present(spark, changes, table):
 def test_steps_in_one_batch_and_compaction_give_the_same(spark, changes, table):
     dims.upsert_dim(spark, changes(*[("update", d) for d in STEPS]), table, 0)
     assert rows(dims.read_dim(spark, table)) == AFTER[-1]
-    assert dims.compact_dim(spark, table) == 0
+    assert dims.compact(spark, root_of(table)) == 0
     assert rows(dims.read_dim(spark, table)) == AFTER[-1]
     assert dims.dim_table(spark, table) == (table, "id", ["id", "name", "phone"])
     # A batch already in the base changes nothing when repeated.
@@ -88,8 +92,10 @@ def test_tables_are_made_only_for_inserting_dimension_rules(spark, tmp_path):
     )
     reasons = {r.sink_table: r.reject_reason for r in dims.dim_rules(table).collect()}
     assert reasons == {"dim_a": None, "dim_d": "no_columns", "dim_e": "pk_not_a_column", "dim_f": None}
-    assert sorted(dims.ensure_dim_table(spark, table, root)) == ["dim_a", "dim_f"]
-    assert dims.ensure_dim_table(spark, table, root) == []
+    for _ in range(2):
+        dims.ensure_dim_table(spark, table, root)
+        assert sorted(r.sink_table for r in spark.read.parquet(f"{root}/tables").collect()) == ["dim_a", "dim_f"]
+    assert dims.table_exists(spark, f"{root}/dim_a") and not dims.table_exists(spark, f"{root}/dim_b")
     assert dims.dim_table(spark, f"{root}/dim_f").pk == "y"
     schema = dims.read_dim(spark, f"{root}/dim_f").schema
     assert [(f.name, f.dataType.simpleString()) for f in schema] == [("x", "string"), ("y", "string")]
@@ -97,3 +103,32 @@ def test_tables_are_made_only_for_inserting_dimension_rules(spark, tmp_path):
     # A changed rule never alters its table.
     dims.ensure_dim_table(spark, rules(spark, ("a", "insert", "hbase", "dim_a", "id,n,more")), root)
     assert dims.dim_table(spark, f"{root}/dim_a").columns == ["id", "n"]
+
+
+def test_many_tables_take_one_batch_in_one_job(spark, changes, tmp_path):
+    root, jobs = str(tmp_path / "dims"), []
+    tracker = spark.sparkContext.statusTracker()
+    for n in (2, 12):
+        made = rules(spark, *[(f"s{i}", "insert", "hbase", f"dim_{i}", "id,name") for i in range(n)])
+        dims.ensure_dim_table(spark, made, f"{root}/{n}")
+        rows_ = changes(*[("insert", {"id": i, "name": f"n{i}"}) for i in range(n + 1)])
+        routed = rows_.withColumn("sink_table", F.concat(F.lit("dim_"), F.col("arrival").cast("string")))
+        spark.sparkContext.setJobGroup(f"upsert {n}", "")
+        dims.upsert_dims(spark, routed, f"{root}/{n}", 0)
+        jobs.append(len(tracker.getJobIdsForGroup(f"upsert {n}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert [rows(dims.read_dim(spark, f"{root}/{n}/dim_{i}")) for i in range(n)] == [[(str(i), f"n{i}")] for i in range(n)]
+        refused = dims.mark_dim_rows(spark, routed, f"{root}/{n}").where("reject_reason IS NOT NULL").collect()
+        assert [(r.arrival, r.reject_reason) for r in refused] == [(n, "no_table")]
+    assert jobs[0] == jobs[1]
+
+
+def test_a_batch_written_again_leaves_nothing_of_the_first_attempt(spark, changes, tmp_path):
+    root = str(tmp_path / "dims")
+    dims.ensure_dim_table(spark, rules(spark, *[(t, "insert", "hbase", t, "id,name") for t in "ab"]), root)
+    row = changes(("insert", {"id": 1, "name": "x"}))
+    for name in "ab":
+        dims.upsert_dims(spark, row.withColumn("sink_table", F.lit(name)), root, 7)
+    assert rows(dims.read_dim(spark, f"{root}/a")) == [] and rows(dims.read_dim(spark, f"{root}/b")) == [("1", "x")]
+    assert dims.compact(spark, root) == 7 and rows(dims.read_dim(spark, f"{root}/b")) == [("1", "x")]
+    assert spark.read.schema(dims.ROW).parquet(f"{root}/changes=-1").count() == 0

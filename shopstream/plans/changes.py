@@ -13,12 +13,32 @@ from shopstream.operators import cdc, dims
 from shopstream.operators.rejects import REASON, accepted
 from shopstream.session import run_dir
 from shopstream.sinks.topics import TRIGGER, write_facts
+from shopstream.sources.rules import read_rules
 from shopstream.sources.topics import FolderTopics, KafkaTopics, read_topic
 
 QUARANTINE = "quarantine"
 FOLD_EVERY = 500
 
 
+def rules_loader(
+    path: str, jdbc: dict[str, str] | None = None, honor_deletes: bool = False,
+) -> Callable[[SparkSession], DataFrame]:
+    """For ``start_changes``: the rules in force by the envelope files below ``path``.
+
+    With ``jdbc`` they start from a snapshot, which any change of a rule overrides.
+    Texts that are no envelope are ``sources.rules.malformed_envelopes``.
+    """
+
+    def load(spark: SparkSession) -> DataFrame:
+        history = cdc.rule_changes(read_rules(spark, path))
+        if jdbc is not None:
+            snapshot = read_rules(spark, jdbc=jdbc).withColumns({"type": F.lit("read"), "version": F.lit(-1).cast("bigint")})
+            history = history.unionByName(snapshot)
+        return cdc.current_rules(history, honor_deletes)
+
+    return load
+
+
 def process_changes(
     raw: DataFrame, rules: DataFrame, target: FolderTopics | KafkaTopics, dim_root: str, batch_id: int,
     scratch: str | None = None,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream import schemas
+from shopstream.operators.rejects import REASON, first_reason, quarantined
 
 ENVELOPE = (
     "topic STRING, op STRING, ts_ms BIGINT, "
@@ -34,6 +35,18 @@ def flatten_cdc(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def malformed_envelopes(envelopes: DataFrame) -> DataFrame:
+    """The texts that are no capture envelope, with why; flattened, they are changes of no table."""
+    read = envelopes.select("value", F.from_json("value", ENVELOPE).alias("e"))
+    reason = first_reason(
+        ("bad_json", F.coalesce("e.topic", "e.op").isNull()),
+        ("no_table", F.get(F.split("e.topic", r"\."), 2).isNull()),
+        ("no_op", F.col("e.op").isNull()),
+        ("no_image", F.col("e.before").isNull() & F.col("e.after").isNull()),
+    )
+    return quarantined(read.withColumn(REASON, reason))
+
+
 def read_rules(
     spark: SparkSession, path: str | None = None, jdbc: dict[str, str] | None = None, streaming: bool = False
 ) -> DataFrame:

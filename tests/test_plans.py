@@ -8,10 +8,10 @@ from shopstream.functions.fields import is_entry_page, is_page, to_json_line
 from shopstream.functions.times import day_start_millis
 from shopstream.operators import dims
 from shopstream.operators.logs import parse_log
-from shopstream.plans.changes import process_changes, start_changes
+from shopstream.plans.changes import process_changes, rules_loader, start_changes
 from shopstream.session import run_dir, shared_dir, stage, stream_session
 from shopstream.sinks.topics import kafka_write_options, land_raw_log, stream_records, topic_records, write_records, write_topic
-from shopstream.sources.rules import read_rules
+from shopstream.sources.rules import malformed_envelopes, read_rules
 from shopstream.sources.topics import FolderTopics, KafkaTopics, kafka_read_options, read_lines, read_topic, read_topics
 
 RULES = [
@@ -125,6 +125,21 @@ def test_rules_from_envelope_files(spark, tmp_path):
     assert read_rules(spark, str(folder), streaming=True).isStreaming
 
 
+def test_the_change_job_takes_its_rules_from_envelope_files(spark, topic, tmp_path):
+    names_ = [f.split()[0] for f in schemas.RULE.split(", ")]
+    rows = [{"topic": "s.db.tp", "op": "READ", "ts_ms": i, "after": {k: v for k, v in zip(names_, r) if v}} for i, r in enumerate(RULES)]
+    old = {"topic": "s.db.tp", "op": "CREATE", "ts_ms": -1, "after": {**rows[3]["after"], "sink_table": "elsewhere"}}
+    texts = [json.dumps(r) for r in [old, *rows]] + ["no json", '{"topic":"s.db.tp"}', '{"topic":"x","op":"READ","after":{}}']
+    (tmp_path / "rules").mkdir()
+    (tmp_path / "rules" / "a.json").write_text("\n".join(texts))
+    facts, root = FolderTopics(str(tmp_path / "facts")), str(tmp_path / "dims")
+    load = rules_loader(str(tmp_path / "rules"))
+    process_changes(topic(*CHANGES), load(spark), facts, root, 0, str(tmp_path / "stage"))
+    assert results(spark, facts, root) == WANT
+    bad = malformed_envelopes(spark.read.text(str(tmp_path / "rules"))).collect()
+    assert sorted(r.reject_reason for r in bad) == ["bad_json", "no_op", "no_table"]
+
+
 def test_kafka_options():
     store = KafkaTopics("host:9092", "group", max_offsets_per_trigger=5)
     assert kafka_read_options(store, "t", streaming=False) == {

@@ -313,13 +313,18 @@ def similar_components(
     text = F.coalesce(F.col(text_col), F.lit(""))
     node = F.md5(text.cast("binary"))
     prints = staged(docs.select(F.col(id_col).alias("id"), node.alias("node"), wide_print_of(text, size).alias("print")))
-    classes = staged(prints.groupBy("node").agg(F.min(F.col("print")[0]).alias("p0"), F.min(F.col("print")[1]).alias("p1")))
+    classes = staged(prints.groupBy("node").agg(
+        F.min(F.col("print")[0]).alias("p0"), F.min(F.col("print")[1]).alias("p1"), F.min("id").alias("id"),
+    ))
     bits = shard_bits(classes.count(), aim)
     candidates = _links_in_shards(classes, [_sampled_key(w, bits, 2) for w in range(ways)], 2, radius, shard_rows)
     groups = staged(connected_components(candidates).toDF("node", "candidates"))
     sizes = groups.groupBy("candidates").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("chunks"))
-    members = staged(groups.join(staged(sizes), "candidates"))
-    texts = docs.select(node.alias("node"), text.alias("text")).join(members, "node").dropDuplicates(["node"])
+    members = staged(groups.join(staged(sizes), "candidates").join(classes.select("node", "id"), "node")).alias("members")
+    # One copy of each text comes along, told by its id, so that many copies of a text are not brought together.
+    copies = docs.select(F.col(id_col).alias("id"), node.alias("node"), text.alias("text")).alias("copies")
+    first = (F.col("copies.node") == F.col("members.node")) & F.col("copies.id").eqNullSafe(F.col("members.id"))
+    texts = copies.join(members, first).select("members.candidates", "members.chunks", "members.node", "text").dropDuplicates(["node"])
     own = texts.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     meeting = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "candidates", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "own", "node", "text",

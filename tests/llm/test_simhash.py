@@ -110,3 +110,35 @@ def test_query(spark):
     want = plain_groups([r["doc_id"] for r in docs], lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
     found = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in queries.op3_simhash(spark, sf_dir).collect()}
     assert found == {r["doc_id"]: (f"{p:016x}", w) for r, p, w in zip(docs, prints, want)}
+
+
+def edges_of_similarity():
+    """Texts that share just enough five-word shingles: short ones with a word more, longer ones with one word changed."""
+    pick = random.Random(8)
+    out = []
+    for n in range(8, 13):
+        for _ in range(120):
+            words = [f"w{pick.randrange(10**6)}" for _ in range(n)]
+            out += [" ".join(words), " ".join([*words, f"w{pick.randrange(10**6)}"])]
+    for _ in range(60):
+        words = [f"w{pick.randrange(10**6)}" for _ in range(60)]
+        place = pick.randrange(60)
+        out += [" ".join(words), " ".join([*words[:place], "changed", *words[place + 1:]])]
+    return out
+
+
+@pytest.mark.parametrize("shard_rows", [4096, 7])
+def test_no_similar_pair_is_left_out(spark, shard_rows):
+    texts = edges_of_similarity() + [f"same five words here now {i} " + prose(4, 40) for i in range(40)]
+    texts += [" " * i for i in range(30)] + [prose(i, 3) for i in range(70, 80)]
+    sets = [simhash.shingle_set(t, 5) for t in texts]
+    near = {i: [j for j in range(len(texts)) if simhash.is_similar(sets[i], sets[j], 0.8)] for i in range(len(texts))}
+    low = list(range(len(texts)))
+    while low != (new := [min(low[j] for j in near[i]) for i in range(len(texts))]):
+        low = new
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    found = simhash.similar_components(docs, shard_rows=shard_rows).collect()
+    first = {}
+    for row in sorted(found):
+        first.setdefault(row["component"], row["doc_id"])
+    assert {r["doc_id"]: first[r["component"]] for r in found} == dict(enumerate(low))

@@ -142,3 +142,15 @@ def test_no_similar_pair_is_left_out(spark, shard_rows):
     for row in sorted(found):
         first.setdefault(row["component"], row["doc_id"])
     assert {r["doc_id"]: first[r["component"]] for r in found} == dict(enumerate(low))
+
+
+def test_short_similar_texts_always_meet():
+    none = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+    pick = random.Random(3)
+    for _ in range(3000):
+        words = [f"w{pick.randrange(10**6)}" for _ in range(pick.randrange(8, 13))]
+        texts = " ".join(words), " ".join([*words, "more"])
+        a, b = (simhash.shingle_set(t, 5) for t in texts)
+        assert simhash.is_similar(a, b, 0.8)
+        assert set(simhash.rarest(a, 0.8, none).tolist()) & set(simhash.rarest(b, 0.8, none).tolist())
+        assert simhash.Parities([simhash.parity(a), simhash.parity(b)]).apart(np.array([0]), np.array([1]))[0] <= 1

@@ -1,7 +1,8 @@
 """Near duplicates of embeddings by sorted projection passes.
 
 Each pass signs every vector's dot products with random directions and orders
-the vectors of a label by those bits, taken as one long key. Every vector is
+the vectors of a label by those bits, taken as one long key. A label with more
+vectors has more passes, so that a pair is missed no more often. Every vector is
 compared with a bounded number of neighbours before it in that order, in blocks
 that overlap by the window, so that no block boundary hides a pair. Pairs at or
 above the similarity are verified in double precision, and the groups of all
@@ -15,6 +16,8 @@ Blocks hand on spanning forests, chunks hand on counts, and nobody all pairs.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -27,6 +30,8 @@ from shopstream.llm.components import connected_components, join_labels
 
 SIMILARITY = 0.93
 PASSES = 12
+MISSED = 0.001
+SPARE_BITS = 1
 BITS = 48
 WINDOW = 64
 BLOCK_ROWS = 1024
@@ -54,23 +59,39 @@ def _directions(number: int, size: int, bits: int) -> np.ndarray:
     return np.random.default_rng([SEED, number, size]).standard_normal((size, bits))
 
 
-def keys_of(vector: Column, passes: int = PASSES, bits: int = BITS) -> Column:
+def passes_for(count: int, similarity: float, window: int, missed: float = MISSED) -> int:
+    """How many passes miss a pair at ``similarity`` among ``count`` vectors with at most the probability ``missed``.
+
+    A pair lands in one window if its first bits agree, as many as leave about
+    half a window of vectors with equal bits; each does so with the probability
+    that a random plane does not part the two. The bits count as even, so labels
+    whose unlinked vectors crowd together are missed more often.
+    """
+    same = 1 - math.acos(max(-1.0, min(1.0, similarity))) / math.pi
+    meet = same ** (max(0.0, math.log2(max(1, count) / window)) + SPARE_BITS)
+    if meet >= 1:
+        return 1
+    return math.ceil(math.log(missed) / math.log1p(-meet))
+
+
+def keys_of(vector: Column, passes: Column, bits: int = BITS) -> Column:
     """One key per pass: the signs of the vector's projections, the first direction's as the highest bit."""
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
-    def keys(batch: pa.Array) -> pa.Array:
-        vectors = [np.asarray(v) for v in batch.to_pylist()]
-        out = np.zeros((len(vectors), passes), dtype=np.int64)
+    def keys(batch: pa.Array, wanted: pa.Array) -> pa.Array:
+        vectors, numbers = [np.asarray(v) for v in batch.to_pylist()], np.array(wanted.to_pylist(), dtype=np.int64)
+        out = np.zeros((len(vectors), int(numbers.max(initial=0))), dtype=np.int64)
         sizes = np.array([len(v) for v in vectors])
         weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
             units = unit_rows([vectors[r] for r in rows])
-            for number in range(passes):
-                out[rows, number] = (units @ _directions(number, int(size), bits) > 0) @ weights
-        return pa.array(list(out), pa.list_(pa.int64()))
+            for number in range(int(numbers[rows].max())):
+                still = numbers[rows] > number
+                out[rows[still], number] = (units[still] @ _directions(number, int(size), bits) > 0) @ weights
+        return pa.array([o[:n] for o, n in zip(out, numbers)], pa.list_(pa.int64()))
 
-    return keys(vector)
+    return keys(vector, passes)
 
 
 # -- passes ------------------------------------------------------------------
@@ -92,10 +113,14 @@ def _links_in(rows: pd.DataFrame, similarity: float, window: int) -> pd.DataFram
 
 
 def close_links(nodes: DataFrame, similarity: float, passes: int, bits: int, window: int, block_rows: int) -> DataFrame:
-    """Links ``(a, b)`` between nodes ``(node, label, vector)`` that the passes find."""
-    keyed = nodes.select(
-        "node", "label", F.size("vector").alias("size"), "vector",
-        F.posexplode(keys_of(F.col("vector"), passes, bits)).alias("pass", "key"),
+    """Links ``(a, b)`` between nodes ``(node, label, vector)`` that the passes find, ``passes`` or more of a label."""
+    sized = nodes.withColumn("size", F.size("vector"))
+    counts = staged(sized.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")))
+    # The number of passes depends on the count's power of two alone, so that a label needs no function in Python.
+    steps = F.array(*[F.lit(max(passes, passes_for(2 ** i, similarity, window))) for i in range(64)])
+    wanted = counts.select("label", "size", F.element_at(steps, F.ceil(F.log2("n")).cast("int") + 1).alias("passes"))
+    keyed = sized.join(wanted, ["label", "size"]).select(
+        "node", "label", "size", "vector", F.posexplode(keys_of(F.col("vector"), F.col("passes"), bits)).alias("pass", "key"),
     )
     order = ["pass", "label", "size", "key", "node"]
     parts = max(passes, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))

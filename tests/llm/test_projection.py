@@ -119,3 +119,35 @@ def test_recall_of_the_query(spark):
     want = plain_nearest(rows, [r for r in rows if r[0] % 50 == 0], 5)
     found = [(r["query_id"], r["vec_id"]) for r in queries.op9_hnsw(spark, sf_dir).collect()]
     assert sum(i in want[q] for q, i in found) >= 0.9 * sum(map(len, want.values()))
+
+
+# -- passes ------------------------------------------------------------------
+
+
+def pairs_at(similarity, count, size=32):
+    """Twice ``count`` vectors, each of the first half with one at this cosine in the second."""
+    pick = np.random.default_rng(11)
+    left = projection.unit_rows(list(pick.normal(size=(count, size))))
+    other = pick.normal(size=(count, size))
+    other -= (other * left).sum(1, keepdims=True) * left
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    return np.concatenate([left, similarity * left + math.sqrt(1 - similarity**2) * other])
+
+
+def test_passes_grow_with_the_label(spark):
+    units = pairs_at(0.9301, 1500)
+    rows = [(i, u.tolist(), 1, "") for i, u in enumerate(units)]
+    table = spark.createDataFrame(rows, ROWS.replace("FLOAT", "DOUBLE"))
+    found = projection.near_duplicates(table, window=4, block_rows=64).where("n_links = 0").count()
+    assert found <= 2 * 5
+
+
+def test_passes_of_a_label_of_a_hundred_thousand():
+    units = pairs_at(0.9301, 50_000)
+    missed = np.ones(50_000, dtype=bool)
+    weights = 1 << np.arange(projection.BITS - 1, -1, -1, dtype=np.int64)
+    for number in range(projection.passes_for(len(units), 0.93, projection.WINDOW)):
+        keys = (units @ projection._directions(number, 32, projection.BITS) > 0) @ weights
+        place = np.argsort(np.argsort(keys, kind="stable"))
+        missed &= np.abs(place[:50_000] - place[50_000:]) > projection.WINDOW
+    assert missed.mean() <= projection.MISSED

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopstream.llm import packing, reputation
+from shopstream.llm import gnat, packing, reputation
 
 WORDS = r"len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))"
 
@@ -182,9 +182,71 @@ QUOTES = r"""
 """
 
 
+EXACT = r"""
+    WITH plain AS (
+        SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain
+        FROM documents
+    )
+    , kept AS (SELECT *, first_value(doc_id) OVER (PARTITION BY plain ORDER BY points DESC, doc_id) AS keep_id FROM plain)
+    SELECT doc_id, keep_id, count(*) OVER (PARTITION BY plain) AS group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256
+    FROM kept
+"""
+
+
+def codes_sql(parts: int = gnat.PARTS, entries: int = gnat.ENTRIES, rounds: int = gnat.ROUNDS) -> str:
+    """Every part is compared with every entry of its codebook."""
+    def nearest(i: int) -> str:
+        return f"""
+        , near{i} AS (
+            SELECT r.vec_id, r.label, r.part, r.xs, b.entry, {squared} AS error
+            FROM cut r JOIN book{i} b USING (part)
+            QUALIFY row_number() OVER (PARTITION BY r.vec_id, r.part ORDER BY error, b.entry) = 1
+        )"""
+
+    squared = "list_sum(list_transform(list_zip(r.xs, b.xs), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = "".join(
+        nearest(i) + f"""
+        , sums{i} AS (
+            SELECT part, entry, place, CAST(sum(x) AS BIGINT) AS total, count(*) AS n
+            FROM (SELECT part, entry, unnest(xs) AS x, unnest(range(1, len(xs) + 1)) AS place FROM near{i}) GROUP BY ALL
+        )
+        , means{i} AS (
+            SELECT part, entry, list((total - ((total % n) + n) % n) // n ORDER BY place) AS xs FROM sums{i} GROUP BY part, entry
+        )
+        , book{i + 1} AS (SELECT part, entry, coalesce(m.xs, b.xs) AS xs FROM book{i} b LEFT JOIN means{i} m USING (part, entry))"""
+        for i in range(rounds)
+    )
+    return f"""
+        WITH whole AS (
+            SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding, lambda c: c IS NULL OR NOT isfinite(c)))
+        )
+        , cut AS (
+            SELECT vec_id, label, part, list_slice(x, part * len(x) // {parts} + 1, (part + 1) * len(x) // {parts}) AS xs
+            FROM whole, range({parts}) parts(part)
+        )
+        , first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM whole ORDER BY vec_id LIMIT {entries})
+        , book0 AS (SELECT part, entry, xs FROM cut JOIN first USING (vec_id))
+        {steps}
+        {nearest(rounds)}
+        , coded AS (
+            SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(error) AS BIGINT) AS error
+            FROM near{rounds} GROUP BY vec_id, label
+        )
+        , books AS (
+            SELECT sha256(string_agg(array_to_string(xs, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM coded, books
+    """
+
+
 ALL: dict[str, str] = {
     "op2_quotes": QUOTES,
     "op5_packing": packing_sql(),
     "op7_warc": WARC,
     "op10_reputation": reputation_sql(),
+    "op11_grace": EXACT,
+    "op13_gnat": codes_sql(),
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import bpe, hnsw, packing, projection, quality, quotes, reputation, secrets, simhash, warc
+from shopstream.llm import bpe, gnat, grace, hnsw, packing, projection, quality, quotes, reputation, secrets, simhash, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,18 @@ def op10_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict", F.col("n").alias("n_labelled"), F.col("k").alias("n_bad"))
 
 
+def op11_grace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grace.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_gnat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.compress(table(spark, sf_dir, "embeddings"))
+
+
 ALL: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_quotes": op2_quotes,
@@ -95,4 +107,7 @@ ALL: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_hnsw": op9_hnsw,
     "op10_reputation": op10_reputation,
+    "op11_grace": op11_grace,
+    "op12_whitening": op12_whitening,
+    "op13_gnat": op13_gnat,
 }

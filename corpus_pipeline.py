@@ -14,22 +14,31 @@ from shopstream.llm.common import staged
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go. Null and empty texts are scored as such; all columns stay as they are."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose five-word shingles are similar (0.8 or more), directly or through others, that with the smallest id stays."""
-    return simhash.keep_one_of_each(docs)
+    """Of documents whose SimHash fingerprints link, directly or through others, that with the smallest id stays.
+
+    Null and blank texts link with one another; all columns stay as they are.
+    """
+    return simhash.keep_one_of_each(docs, size=simhash.SHINGLE, radius=simhash.RADIUS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; its secrets are masked and its length is counted again."""
+    """Every document stays; its secrets are masked and its length is counted again.
+
+    A null text stays null, and has no length; further columns stay as they are.
+    """
     return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each training sequence: its document, bucket, batch and slot."""
+    """A row for each training sequence: its document, bucket, batch and slot.
+
+    Null and empty texts give one row of length zero, in no bucket; further columns are left out.
+    """
     return packing.pack_documents(docs, packing.word_count(F.col("text")))
 
 

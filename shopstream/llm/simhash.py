@@ -11,25 +11,18 @@ and every tree goes to the tasks that search its own shard, by shuffle: sent to
 all executors at once, the trees would bring every fingerprint to the driver.
 
 A task hands on a spanning forest of the links it finds, never all pairs.
-
-Texts that are similar by their shingles, rather than by 64 bits, are found by an
-exact join: ordered alike, rarest first, the shingles of two similar texts have one
-in common among the first few of each (a prefix filter), whatever the number of
-texts and however short they are. The shingles themselves confirm them.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,13 +36,6 @@ SEED = 42
 AIM_ROWS = 512
 SHARD_ROWS = 4096
 SEARCH_ROWS = 256
-CHUNK_ROWS = 128
-SAMPLE_ROWS = 10_000
-SAMPLE_SHARE = 0.01
-COMMON_SHINGLES = 200_000
-PARITY_WORDS = 128
-PAIRS_AT_ONCE = 1 << 18
-WORDS_AT_ONCE = 1 << 21
 
 
 # -- fingerprints ------------------------------------------------------------
@@ -225,6 +211,12 @@ def close_links(prints: DataFrame, radius: int = RADIUS, aim: int = AIM_ROWS, sh
     return _links_in_shards(points, [_shard_key(c, bits) for c in combinations], 1, radius, shard_rows)
 
 
+def _placed(classes: DataFrame, radius: int, aim: int, shard_rows: int) -> DataFrame:
+    """``classes``, one row for each fingerprint ``fp``, with the smallest fingerprint it reaches as ``component``."""
+    parts = connected_components(close_links(classes.select("fp"), radius, aim, shard_rows)).withColumnRenamed("id", "fp")
+    return classes.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def simhash_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS,
     aim: int = AIM_ROWS, shard_rows: int = SHARD_ROWS,
@@ -238,277 +230,30 @@ def simhash_components(
     each keep their own fingerprint.
     """
     prints = staged(docs.select(F.col(id_col).alias("id"), fingerprint_of(F.col(text_col), size).alias("fp")))
-    classes = staged(prints.groupBy("fp").agg(F.min("id").alias("first_id")))
-    parts = connected_components(close_links(classes.select("fp"), radius, aim, shard_rows)).withColumnRenamed("id", "fp")
-    placed = staged(classes.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp")))
-    names = staged(placed.groupBy("component").agg(F.min("first_id").alias("component_id")))
+    classes = staged(prints.groupBy("fp").agg(F.min("id").alias("first")))
+    placed = staged(_placed(classes, radius, aim, shard_rows))
+    names = staged(placed.groupBy("component").agg(F.min("first").alias("component_id")))
     placed = staged(placed.join(names, "component").select("fp", "component", "component_id"))
     return prints.join(placed, "fp").select(F.col("id").alias(id_col), "fp", "component", "component_id")
 
 
-# -- similar texts -----------------------------------------------------------
-
-
-def shingle_set(text: str, size: int) -> np.ndarray:
-    """The distinct shingles of a text, hashed, in order."""
-    return _hashed(text.encode(), size)
-
-
-def _hashed(text: bytes, size: int) -> np.ndarray:
-    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, size)], dtype=np.uint64))
-
-
-def shingles_of(text: Column, size: int) -> Column:
-    @F.arrow_udf(T.ArrayType(T.LongType()))
-    def sets(texts: pa.Array) -> pa.Array:
-        return pa.array([_hashed(t.as_py() or b"", size).view(np.int64) for t in texts], pa.list_(pa.int64()))
-
-    return sets(text.cast("binary"))
-
-
-def common_shingles(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles met often in a sample of ``texts`` (node, text), in order, and how often.
-
-    They only say which shingles are looked at first, so they change the work and never what is found.
-    """
-    share = min(1.0, max(SAMPLE_ROWS / max(1, texts.count()), SAMPLE_SHARE))
-    sample = texts.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(share * 1_000_000)).dropDuplicates(["node"])
-    found = (
-        sample.select(F.explode(shingles_of(F.col("text"), size)).alias("shingle"))
-        .groupBy("shingle").agg(F.count(F.lit(1)).alias("rows")).where("rows > 2")
-        .orderBy(F.desc("rows"), "shingle").limit(COMMON_SHINGLES).toArrow()
-    )
-    hashes = found["shingle"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], found["rows"].to_numpy()[order]
-
-
-def rarest(found: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles of a set, rare ones first: so many that similar sets have one of them in common.
-
-    A set of n shares at least ``similarity`` * n with a similar one, so it can
-    miss all but that many of its own, and one more than it can miss are taken.
-    Sets without shingles share a zero.
-    """
-    if not len(found):
-        return np.zeros(1, dtype=np.uint64)
-    hashes, counts = common
-    often = np.zeros(len(found), dtype=np.int64)
-    if len(hashes):
-        at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-        often = np.where(hashes[at] == found, counts[at], 0)
-    return found[np.lexsort((found, often))[:len(found) - math.ceil(similarity * len(found) - 1e-9) + 1]]
-
-
-def parity(found: np.ndarray) -> bytes:
-    """Whether an odd number of shingles falls on each bit, for about as many bits as shingles.
-
-    Two sets differ in at least as many shingles as their parities in bits. Half
-    as many bits come from these by the exclusive or of both halves.
-    """
-    words = min(PARITY_WORDS, 1 << max(0, math.ceil(math.log2(max(1, len(found)) / BITS))))
-    bits = np.bincount((found & np.uint64(words * BITS - 1)).astype(np.int64), minlength=words * BITS) & 1
-    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
-
-
-MARKS = T.StructType([
-    T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("shingles", T.IntegerType()), T.StructField("parity", T.BinaryType()),
-])
-
-
-def marks_of(text: Column, size: int, similarity: float, common: Broadcast) -> Column:
-    """What candidates are found by: the rarest shingles, the number of all and their parity."""
-
-    @F.arrow_udf(MARKS)
-    def marks(texts: pa.Array) -> pa.Array:
-        sets = [_hashed(t.as_py() or b"", size) for t in texts]
-        return pa.StructArray.from_arrays([
-            pa.array([rarest(s, similarity, common.value).view(np.int64) for s in sets], pa.list_(pa.int64())),
-            pa.array([len(s) for s in sets], pa.int32()), pa.array([parity(s) for s in sets], pa.binary()),
-        ], ["rare", "shingles", "parity"])
-
-    return marks(text.cast("binary"))
-
-
-class Parities:
-    """Parities of several widths; two of them are compared at the smaller width."""
-
-    def __init__(self, parities: list[bytes]):
-        self.parities = parities
-        self.words = np.array([len(p) for p in parities]) // 8
-        self.cut: dict[int, np.ndarray] = {}
-
-    def at(self, words: int) -> np.ndarray:
-        if words not in self.cut:
-            cut = np.zeros((len(self.parities), words), dtype=np.uint64)
-            for width in np.unique(self.words[self.words >= words]).tolist():
-                rows = np.flatnonzero(self.words == width)
-                whole = np.frombuffer(b"".join(self.parities[r] for r in rows), dtype=np.uint64)
-                cut[rows] = np.bitwise_xor.reduce(whole.reshape(len(rows), -1, words), axis=1)
-            self.cut[words] = cut
-        return self.cut[words]
-
-    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """At most the number of shingles by which the sets of each pair differ."""
-        far = np.zeros(len(left), dtype=np.int64)
-        common = np.minimum(self.words[left], self.words[right])
-        for words in np.unique(common).tolist():
-            cut, pairs = self.at(words), np.flatnonzero(common == words)
-            for part in np.array_split(pairs, len(pairs) * words // WORDS_AT_ONCE + 1):
-                far[part] = distance(cut[left[part]], cut[right[part]])
-        return far
-
-
-def _candidates(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Each node with the first node of its group, where links join texts of a shard that may be similar."""
-    rows = rows.sort_values(["shingle", "first", "second", "shingles"], kind="stable")
-    shard = rows[["shingle", "first", "second"]].to_numpy()
-    group = np.cumsum(np.r_[False, (shard[1:] != shard[:-1]).any(1)])
-    sizes, own = rows["shingles"].to_numpy().astype(np.int64), rows["own"].to_numpy()
-    whole = shard[:, 1] == shard[:, 2]
-    nodes, which = np.unique(rows["node"].to_numpy().astype(str), return_inverse=True)
-    parities, labels = Parities(rows["parity"].tolist()), np.arange(len(nodes))
-    # A row meets those before it in its shard that are not too short for it.
-    low = np.searchsorted((group << 32) + sizes, (group << 32) + np.ceil(similarity * sizes - 1e-9).astype(np.int64))
-    count = np.arange(len(rows)) - low
-    slices = np.flatnonzero(np.diff(np.cumsum(count) // PAIRS_AT_ONCE)) + 1
-    for part in np.split(np.arange(len(rows)), slices):
-        right = np.repeat(part, count[part])
-        left = np.arange(len(right)) + np.repeat(low[part] - np.cumsum(count[part]) + count[part], count[part])
-        asked = (whole[right] | (own[left] != own[right])) & (labels[which[left]] != labels[which[right]])
-        left, right = left[asked], right[asked]
-        most = (1 - similarity) / (1 + similarity) * (sizes[left] + sizes[right]) + 1e-6
-        near = parities.apart(left, right) <= most
-        labels = join_labels(labels, which[left[near]], which[right[near]])
-    moved = np.flatnonzero(labels != np.arange(len(nodes)))
-    return pd.DataFrame({"a": nodes[moved], "b": nodes[labels[moved]]})
-
-
-def candidate_links(classes: DataFrame, similarity: float, shard_rows: int) -> DataFrame:
-    """Links ``(a, b)`` between nodes ``(node, marks)``, with every similar pair in one component.
-
-    Texts with one of their rarest shingles in common meet in its shard, where
-    number and parity of the shingles put off only pairs that cannot be similar.
-    Of shingles that the very same texts have (told by count and 128 bits), one is
-    enough. A shard above ``shard_rows`` is searched by pairs of its parts.
-    """
-    named = classes.select(F.xxhash64("node").alias("text"), "node", "marks")
-    entries = named.select("text", F.explode("marks.rare").alias("shingle"))
-    shared = entries.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("rows"), F.bit_xor("text").alias("x"), F.bit_xor(F.xxhash64("text", F.lit(1))).alias("y"),
-    ).where("rows > 1")
-    shards = staged(shared.groupBy("rows", "x", "y").agg(F.min("shingle").alias("shingle")).select(
-        "shingle", F.ceil(F.col("rows") / shard_rows).cast("int").alias("parts"),
-    ))
-    inside = staged(entries.join(shards, "shingle"))
-    own = inside.join(named.select("text", "node", "marks.shingles", "marks.parity"), "text").withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"),
-    )
-    meeting = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "shingle", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "own",
-        "node", "shingles", "parity",
-    )
-    shard = ["shingle", "first", "second"]
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting = None  # the last shard of a batch, which the next may go on with
-        for rows in batches:
-            if not len(rows):
-                continue
-            rows = rows if waiting is None else pd.concat([waiting, rows], ignore_index=True)
-            last = (rows[shard].to_numpy() == rows[shard].iloc[-1].to_numpy()).all(1)
-            if not last.all():
-                yield _candidates(rows[~last], similarity)
-            waiting = rows[last]
-        if waiting is not None:
-            yield _candidates(waiting, similarity)
-
-    return meeting.repartition(*shard).sortWithinPartitions(*shard).mapInPandas(search, "a STRING, b STRING")
-
-
-def is_similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether two shingle sets reach this Jaccard similarity; two empty ones do."""
-    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= similarity * (len(a) + len(b) - both)
-
-
-def _verified(rows: pd.DataFrame, first: int, second: int, size: int, similarity: float) -> pd.DataFrame:
-    """Each node with the first node of its group, where links are similar pairs of the two chunks."""
-    rows = rows.sort_values("node")
-    nodes, own = rows["node"].to_numpy(), rows["own"].to_numpy()
-    sets = [shingle_set(t, size) for t in rows["text"]]
-    labels = np.arange(len(rows))
-    for i in np.flatnonzero(own == second).tolist():
-        for j in np.flatnonzero((own == first) & (labels != labels[i])).tolist():
-            if labels[i] != labels[j] and is_similar(sets[i], sets[j], similarity):
-                labels = join_labels(labels, np.array([i]), np.array([j]))
-    moved = np.flatnonzero(labels != np.arange(len(rows)))
-    return pd.DataFrame({"a": nodes[moved], "b": nodes[labels[moved]]})
-
-
-def similar_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8,
-    shard_rows: int = SHARD_ROWS, chunk_rows: int = CHUNK_ROWS,
+def keep_one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS,
+    aim: int = AIM_ROWS, shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
-    """Groups of texts whose word shingles reach a Jaccard similarity: ``(<id_col>, node, component)``.
-
-    No similar pair is left out: candidates are found by :func:`candidate_links`,
-    which is exact. Shingle sets then decide: pairs are compared in full inside
-    each group of candidates, by pairs of bounded chunks, passing over pairs that
-    are joined already. ``node`` stands for a text (equal texts are one),
-    ``component`` is the smallest node reachable. Null texts count as empty;
-    texts without words are similar to one another.
-    """
-    if not 0 < similarity <= 1:
-        raise ValueError("similarity must be above 0 and at most 1")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    node = F.md5(text.cast("binary"))
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs.select(node.alias("node"), text.alias("text")), size))
-    prints = staged(docs.select(
-        F.col(id_col).alias("id"), node.alias("node"), marks_of(text, size, similarity, common).alias("marks"),
-    ))
-    classes = staged(prints.groupBy("node").agg(F.first("marks").alias("marks"), F.min("id").alias("id")))
-    candidates = candidate_links(classes.select("node", "marks"), similarity, shard_rows)
-    groups = staged(connected_components(candidates).toDF("node", "candidates"))
-    sizes = groups.groupBy("candidates").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("chunks"))
-    members = staged(groups.join(staged(sizes), "candidates").join(classes.select("node", "id"), "node")).alias("members")
-    # One copy of each text comes along, told by its id, so that many copies of a text are not brought together.
-    copies = docs.select(F.col(id_col).alias("id"), node.alias("node"), text.alias("text")).alias("copies")
-    first = (F.col("copies.node") == F.col("members.node")) & F.col("copies.id").eqNullSafe(F.col("members.id"))
-    texts = copies.join(members, first).select("members.candidates", "members.chunks", "members.node", "text").dropDuplicates(["node"])
-    own = texts.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    meeting = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "candidates", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "own", "node", "text",
-    )
+    """``docs`` with one row left of each component of :func:`simhash_components`: that with the smallest id.
 
-    def verify(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return _verified(rows, group[1], group[2], size, similarity)
-
-    links = meeting.groupBy("candidates", "first", "second").applyInPandas(verify, "a STRING, b STRING")
-    parts = staged(connected_components(links).toDF("node", "component"))
-    return prints.select("id", "node").join(parts, "node", "left").select(
-        F.col("id").alias(id_col), "node", F.coalesce("component", "node").alias("component"),
-    )
-
-
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: object) -> DataFrame:
-    """``docs`` with one row of each group of :func:`similar_components` left: that with the smallest id.
-
-    Rows without an id stay only where their group has no id at all, the one
-    with the smallest hash of its text. Of rows alike in id and text, one stays.
-    All columns are kept as they are.
+    A row without an id stays only where its whole component has none; of rows
+    that repeat an id, one stays. Null and blank texts are one component like any
+    other. All columns are kept as they are. Rows are numbered in the written
+    table that also holds their fingerprints, so that all is decided on numbers,
+    and the texts are looked up once.
     """
-    found = similar_components(docs, id_col, text_col, **how)
-    first = staged(found.groupBy("component").agg(F.min(F.struct(
-        F.col(id_col).isNull().alias("without"), F.col(id_col).alias("id"), F.col("node").alias("node"),
-    )).alias("first")))
-    kept = first.select("first.id", "first.node").alias("kept")
-    rows = docs.select(
-        F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"),
-        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("node"),
-    ).alias("rows")
-    same = F.col("rows.id").eqNullSafe(F.col("kept.id")) & (F.col("rows.node") == F.col("kept.node"))
-    place = F.row_number().over(Window.partitionBy("rows.id", "rows.node").orderBy(F.xxhash64(*[f"doc.{c}" for c in docs.columns])))
-    return rows.join(kept, same, "left_semi").withColumn("place", place).where("place = 1").select("doc.*")
+    rows = staged(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+        fingerprint_of(F.col(text_col), size).alias("fp"), F.struct(*docs.columns).alias("doc"),
+    ))
+    first = F.min(F.struct(F.col("id").isNull().alias("without"), F.col("id").alias("id"), F.col("row").alias("row")))
+    classes = staged(rows.groupBy("fp").agg(first.alias("first")))
+    kept = staged(_placed(classes, radius, aim, shard_rows).groupBy("component").agg(F.min("first").alias("first")).select("first.row"))
+    return rows.join(kept, "row", "left_semi").select("doc.*")

@@ -201,6 +201,38 @@ def rule_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(F.to_json(envelope).alias("value"), key.alias("arrival"))
 
 
+def versioned_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capture envelopes that change the rules of orders and users again and again, at positions among their changes."""
+    part = table(spark, sf_dir, "part")
+    key, size = F.col("p_partkey"), F.col("p_size")
+    of_orders = key % 2 == 0
+    image = F.struct(
+        F.when(of_orders, "order_info").otherwise("user_info").alias("source_table"),
+        F.when(size % 3 == 0, "insert").when(size % 3 == 1, "update").otherwise("delete").alias("operate_type"),
+        F.when(size % 4 == 0, "hbase").when(size % 4 == 1, "clickhouse").otherwise("kafka").alias("sink_type"),
+        F.concat(F.lit("sink_"), key.cast("string")).alias("sink_table"),
+        F.when((size % 5 > 0) & of_orders, "o_orderkey,o_orderstatus").when(size % 5 > 0, "c_custkey,c_name").alias("sink_columns"),
+    )
+    gone = key % 11 == 0
+    envelope = F.struct(
+        F.lit("server1.shop_rules.table_process").alias("topic"), F.when(gone, "DELETE").otherwise("UPDATE").alias("op"),
+        (key * 7).alias("ts_ms"), F.when(gone, image).alias("before"), F.when(~gone, image).alias("after"),
+    )
+    return part.select(F.to_json(envelope).alias("value"))
+
+
+def damaged_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capture envelopes, some of them cut short, without an operation or without an image, by their number."""
+    case = F.col("arrival") % 29
+    value = (
+        F.when(case == 1, F.expr("substr(value, 1, length(value) DIV 4)"))
+        .when(case == 2, F.regexp_replace("value", '"op":"[A-Z]+",', ""))
+        .when(case == 3, F.regexp_replace("value", '"(after|before)":', '"other":'))
+        .otherwise(F.col("value"))
+    )
+    return rule_envelopes(spark, sf_dir).select(value.alias("value"), "arrival")
+
+
 def status_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routed changes of a customer dimension: each order changes its customer.
 

@@ -140,6 +140,27 @@ def current_rules(kept: str, final: str) -> str:
     """
 
 
+AS_OF = f"""
+    WITH {CHANGES},
+    versions AS (
+        SELECT CASE WHEN p_partkey % 2 = 0 THEN 'order_info' ELSE 'user_info' END AS of_table,
+               CASE p_size % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'update' ELSE 'delete' END AS of_type,
+               CASE p_size % 4 WHEN 0 THEN 'dim' WHEN 1 THEN 'unrouted' ELSE 'fact' END AS route,
+               'sink_' || p_partkey AS sink_table, p_partkey % 11 = 0 AS gone, p_partkey * 7 AS since,
+               CASE WHEN p_size % 5 > 0 THEN CASE WHEN p_partkey % 2 = 0 THEN 'o_orderkey,o_orderstatus' ELSE 'c_custkey,c_name' END END AS kept
+        FROM part
+    ),
+    found AS (
+        SELECT n.*, v.route, v.sink_table, v.kept, v.since IS NOT NULL AND NOT v.gone AS held
+        FROM normal n ASOF LEFT JOIN versions v ON n.source = v.of_table AND n.op = v.of_type AND n.arrival >= v.since
+    )
+    SELECT source AS "table", op AS type, arrival,
+           CASE WHEN op IS NULL THEN 'rejected' WHEN NOT held THEN 'unmatched' ELSE route END AS route,
+           CASE WHEN op IS NOT NULL AND held THEN sink_table END AS sink_table,
+           CASE WHEN held THEN coalesce(kept, columns) ELSE columns END AS columns
+    FROM found
+"""
+
 FACTS = """
     SELECT CASE WHEN o_orderkey % 10 <= 6 THEN 'dwd_order_info' ELSE 'dwd_order_info_update' END AS topic,
            o_orderkey, CASE WHEN o_orderkey % 10 <= 6 THEN o_custkey END AS o_custkey, o_orderstatus,
@@ -286,6 +307,7 @@ ALL: dict[str, str] = {
     "cdc_unmatched": f"""
         WITH {CHANGES} SELECT "table", type, arrival FROM routed WHERE sink_type IS NULL AND type IS NOT NULL""",
     "cdc_rejected": f'WITH {CHANGES} SELECT "table", type, arrival FROM routed WHERE type IS NULL',
+    "cdc_route_as_of": AS_OF,
     "cdc_rule_flatten": f"""
         WITH {RULE_HISTORY}
         SELECT 'shop_rules' AS "database", 'table_process' AS "table", version,
@@ -345,6 +367,12 @@ ALL: dict[str, str] = {
         SELECT 'dim_base_province', CAST(n_nationkey AS VARCHAR), NULL, NULL FROM nation WHERE n_nationkey % 10 <= 6
         UNION ALL
         SELECT topic, CAST(o_orderkey AS VARCHAR), o_orderstatus, CAST(o_custkey AS VARCHAR) FROM ({FACTS})""",
+    "stream_rules": f"""
+        SELECT *, CAST(NULL AS VARCHAR) AS reject_reason, CAST(NULL AS BIGINT) AS arrival
+        FROM ({current_rules("NOT gone AND version % 29 NOT IN (1, 2, 3)", "TRUE")})
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, CASE p_partkey % 29 WHEN 1 THEN 'bad_json' WHEN 2 THEN 'no_op' ELSE 'no_image' END, p_partkey
+        FROM part WHERE p_partkey % 29 IN (1, 2, 3)""",
     "two_jobs_one_store": f"""
         SELECT topic, arrival FROM ({records("arrival", "is_new", "logs", EVENTS)})
         UNION ALL SELECT 'dwm_unique_visit', arrival FROM ({VISIT_EXACT.replace("late_arrival", "arrival")})

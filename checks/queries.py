@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,8 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder for one run, in the cluster's shared folder if it names one."""
-    unset = spark.conf.get("spark.checkpoint.dir", None) is None
-    return run_dir(spark, tempfile.gettempdir() if unset and spark.sparkContext.master.startswith("local[") else None)
+    return run_dir(spark)
 
 
 # -- logs --------------------------------------------------------------------
@@ -206,6 +204,15 @@ def _without_target(name: str) -> Query:
     return lambda spark, sf_dir: _route(name)(spark, sf_dir).select("table", "type", "arrival")
 
 
+def cdc_route_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All changes, each routed by the rules as they were at its own position."""
+    versions = cdc.rule_versions(cdc.rule_changes(flatten_cdc(inputs.versioned_rules(spark, sf_dir))), honor_deletes=True)
+    routed = cdc.annotate_cdc(clean_changes(spark, sf_dir), versions, scratch=work_dir(spark))
+    keys = F.array_sort(F.map_keys("data"))
+    target = F.when(F.col("route").isin("dim", "fact", "unrouted"), F.col("sink_table"))
+    return routed.select("table", "type", "arrival", "route", target.alias("sink_table"), F.array_join(keys, ",").alias("columns"))
+
+
 def rule_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = flatten_cdc(inputs.rule_envelopes(spark, sf_dir))
     source = F.col("data")["source_table"].alias("source_table")
@@ -270,7 +277,7 @@ def dim_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_table_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dimension table created by rule, upserted in four batches and compacted halfway."""
+    """A dimension table created by rule and upserted in four batches, one of them repeated."""
     root = f"{work_dir(spark)}/dims"
     rule = ("customer", "insert", names.SINK_DIMENSION, "dim_status", ",".join(STATUS_COLUMNS), "id", None)
     dims.ensure_dim_table(spark, spark.createDataFrame([rule], schemas.RULE), root)
@@ -279,9 +286,8 @@ def dim_table_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch in range(4):
         low, high = top * batch // 4, top * (batch + 1) // 4
         part = changes.where((F.col("arrival") >= low) & (F.col("arrival") < high))
-        dims.upsert_dim(spark, part, f"{root}/dim_status", batch)
-        if batch == 1:
-            dims.compact(spark, root)
+        for _ in range(2 if batch == 1 else 1):
+            dims.upsert_dim(spark, part, f"{root}/dim_status", batch)
     return dims.read_dim(spark, f"{root}/dim_status")
 
 
@@ -505,6 +511,19 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule job over a stream of envelopes, some of them damaged: the rules in force, and what it rejects."""
+    session, path = _stream(spark)
+    source, rejects = FolderTopics(f"{path}/in", STREAM_FILES), FolderTopics(f"{path}/rejects")
+    feed_topic(session, inputs.damaged_envelopes(session, sf_dir), source, names.ODS_RULES)
+    stream = change_plan.start_rules(session, source, names.ODS_RULES, f"{path}/rules", rejects, f"{path}/state", once=True)
+    stream.awaitTermination()
+    rules = change_plan.stored_rules(f"{path}/rules", by_position=False)(spark).drop("sink_pk", "sink_extend")
+    reason = F.get_json_object("value", "$.reject_reason")
+    rejected = read_topic(spark, rejects, names.REJECTED).select(reason.alias("reject_reason"), "arrival")
+    return rules.unionByName(rejected, allowMissingColumns=True)
+
+
 ALL: dict[str, Query] = {
     "unique_visit_exact": unique_visit_exact,
     "unique_visit_daily": unique_visit_daily,
@@ -529,6 +548,7 @@ ALL: dict[str, Query] = {
     "cdc_unrouted": _route("unrouted"),
     "cdc_unmatched": _without_target("unmatched"),
     "cdc_rejected": _without_target("rejected"),
+    "cdc_route_as_of": cdc_route_as_of,
     "cdc_rule_flatten": rule_flatten,
     "cdc_current_rules": _current_rules(False),
     "cdc_current_rules_deletes": _current_rules(True),
@@ -554,6 +574,7 @@ ALL: dict[str, Query] = {
     "stream_order_wide": _stream_orders("second"),
     "stream_order_wide_day": _stream_orders("day"),
     "stream_changes": stream_changes,
+    "stream_rules": stream_rules,
     "two_jobs_one_store": two_jobs_one_store,
     "repair_rough_json": repair_rough_json,
     "display_repeated_keys": display_repeated_keys,

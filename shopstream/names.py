@@ -9,6 +9,8 @@ ORDER_INFO = "dwd_order_info"
 ORDER_DETAIL = "dwd_order_detail"
 UNIQUE_VISIT = "dwm_unique_visit"
 USER_JUMP = "dwm_user_jump_detail"
+# Our own: changes of the rule table, as capture envelopes.
+ODS_RULES = "ods_rules"
 DEFAULT_TOPIC = "DEFAULT_DATA"
 # Our own: raw records that a job could not use, with the reason.
 REJECTED = "rejected_records"

@@ -1,11 +1,9 @@
 """Dimension tables: created by rule, upserted from routed changes.
 
 All tables of a job live below one root, and every step is one job whatever their
-number. ``tables`` holds the definitions. ``changes=<v>/batch=<n>`` holds, for each
-key changed in batch ``n``, the values written since base ``v``; ``base=<v>`` holds
-the tables as of batch ``v``. A batch costs its own size, not that of the tables,
-and writing it again replaces it. ``compact`` folds the changes into a new base and
-empties what it folded.
+number. ``tables`` holds the definitions. ``rows/table=<t>/bucket=<b>`` holds the
+rows, each key in the bucket its hash names. A batch is merged to one row per key,
+joined with the buckets it touches, and replaces those.
 """
 
 from __future__ import annotations
@@ -21,11 +19,14 @@ from shopstream import names
 from shopstream.functions.fields import is_blank, text_map
 from shopstream.operators.rejects import REASON, first_reason
 from shopstream.operators.skew import order_value
+from shopstream.session import stage
 
 SET = "_set"
 DELETED = "_deleted"
 DEFINITION = "sink_table STRING, pk STRING, columns ARRAY<STRING>, extend STRING"
-ROW = "table STRING, key STRING, values MAP<STRING, STRING>, reset BOOLEAN, deleted BOOLEAN"
+ROW = "key STRING, values MAP<STRING, STRING>, deleted BOOLEAN, table STRING, bucket INT"
+# How many buckets a table has; fixed once its first row is written.
+BUCKETS = 16
 
 
 class DimTable(NamedTuple):
@@ -47,8 +48,8 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
 # -- definitions -------------------------------------------------------------
 
 
-def dim_rules(rules: DataFrame) -> DataFrame:
-    """Rules that create a table, with a ``reject_reason`` for unusable ones."""
+def dim_rules(rules: DataFrame, since: Column | None = None) -> DataFrame:
+    """Rules that create a table, with a ``reject_reason`` for unusable ones, and ``since`` if given."""
     wanted = rules.where((F.col("sink_type") == names.SINK_DIMENSION) & (F.col("operate_type") == "insert"))
     pk = F.coalesce("sink_pk", F.lit(names.DEFAULT_PK))
     columns = F.split("sink_columns", ",")
@@ -60,6 +61,7 @@ def dim_rules(rules: DataFrame) -> DataFrame:
     return wanted.select(
         "sink_table", pk.alias("pk"), columns.alias("columns"),
         F.coalesce("sink_extend", F.lit("")).alias("extend"), reason.alias(REASON),
+        *([] if since is None else [since.alias("since")]),
     )
 
 
@@ -74,14 +76,17 @@ def definitions(spark: SparkSession, root: str) -> DataFrame:
 def ensure_dim_table(spark: SparkSession, rules: DataFrame, root: str) -> None:
     """Create the missing tables of the given rules.
 
-    All columns are strings. A changed rule never alters a table. Unusable rules
-    are left to ``dim_rules``.
+    All columns are strings. A changed rule never alters a table, so of the
+    ``rule_versions`` of a table the first makes it. Unusable rules are left to ``dim_rules``.
     """
-    wanted = dim_rules(rules).where(F.col(REASON).isNull()).drop(REASON)
-    new = wanted.join(definitions(spark, root).select("sink_table"), "sink_table", "left_anti")
+    since = F.col("valid_from") if "valid_from" in rules.columns else F.lit(0).cast("bigint")
+    rules = rules.where(~F.col("gone")) if "gone" in rules.columns else rules
+    wanted = dim_rules(rules, since).where(F.col(REASON).isNull())
+    first = wanted.groupBy("sink_table").agg(F.min(F.struct("since", "pk", "columns", "extend")).alias("d"))
+    new = first.join(definitions(spark, root).select("sink_table"), "sink_table", "left_anti")
     if new.limit(1).count():
         made = F.unix_millis(F.current_timestamp()).alias("made")
-        new.select("sink_table", "pk", "columns", "extend", made).write.mode("append").parquet(f"{root}/tables")
+        new.select("sink_table", "d.pk", "d.columns", "d.extend", made).write.mode("append").parquet(f"{root}/tables")
 
 
 def _definition(spark: SparkSession, path: str) -> tuple[str, str, DimTable, str]:
@@ -171,85 +176,67 @@ def merge_changes(
 # -- storage -----------------------------------------------------------------
 
 
-def _version(spark: SparkSession, root: str) -> int:
-    """The batch the current base stands for; -1 for none."""
-    return _read(spark, f"{root}/versions", "version BIGINT").agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
-
-
 def mark_dim_rows(spark: SparkSession, changes: DataFrame, root: str) -> DataFrame:
     """Routed changes with their table's ``pk`` and ``columns``, and a ``reject_reason`` where it cannot take them."""
     known = definitions(spark, root).drop("extend")
     return check_dim_rows(changes.drop("pk", "columns").join(known, "sink_table", "left"), F.col("pk"), F.col("columns"))
 
 
-def _batch_rows(fit: DataFrame, order: Sequence[str], apply_deletes: bool) -> DataFrame:
-    return merge(_as_rows(fit, F.col("sink_table"), F.col("pk"), order, apply_deletes))
+def _merged(current: DataFrame, changed: DataFrame) -> DataFrame:
+    """The rows of the touched buckets with the batch's changes in them.
+
+    Rows whose key is gone stay until their bucket is written again, so that it is.
+    """
+    key = ["table", "bucket", "key"]
+    old = current.where(~F.col("deleted")).select(*key, F.col("values").alias("old"))
+    both = old.join(changed, key, "full_outer")
+    kept = F.map_filter("old", lambda k, _: ~F.array_contains(F.map_keys("values"), k))
+    values = F.when(F.col("values").isNull(), F.col("old")).when(F.col("reset") | F.col("old").isNull(), F.col("values"))
+    return both.select("key", values.otherwise(F.map_concat(kept, "values")).alias("values"), F.coalesce("deleted", F.lit(False)).alias("deleted"), "table", "bucket")
 
 
 def upsert_dims(
     spark: SparkSession, changes: DataFrame, root: str, batch_id: int, order: Sequence[str] = ("arrival",),
-    apply_deletes: bool = False,
+    apply_deletes: bool = False, buckets: int = BUCKETS,
 ) -> None:
-    """Write a batch of routed changes into the tables that ``sink_table`` names, all in one job.
+    """Write a batch of routed changes into the tables that ``sink_table`` names, in one join for all of them.
 
     Rows a table cannot take (see ``mark_dim_rows``) are skipped; callers keep
-    them in quarantine. Repeating a batch id replaces what it wrote to any table;
-    a batch the base already holds changes nothing.
+    them in quarantine. Batches come in order, and only the last one may be
+    repeated. If its merged rows were written already, they are put in place
+    again, so a batch that ended while it replaced buckets is made whole.
     """
-    version = _version(spark, root)
-    if batch_id > version:
+    merged, mark = f"{root}/merged", f"{root}/merged-batch"
+    if not _read(spark, mark, "batch BIGINT").where(F.col("batch") == int(batch_id)).limit(1).count():
         fit = mark_dim_rows(spark, changes, root).where(F.col(REASON).isNull())
-        rows = _batch_rows(fit, order, apply_deletes)
-        rows.write.mode("overwrite").partitionBy("table").parquet(f"{root}/changes={version}/batch={int(batch_id)}")
+        rows = merge(_as_rows(fit, F.col("sink_table"), F.col("pk"), order, apply_deletes))
+        changed = stage(rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")), f"{root}/changed")
+        # At most the number of tables times that of buckets.
+        touched = [f"{r['table']}/{r['bucket']}" for r in changed.select("table", "bucket").distinct().collect()]
+        current = _read(spark, f"{root}/rows", ROW).where(F.concat_ws("/", "table", F.col("bucket").cast("string")).isin(touched))
+        _merged(current, changed).write.mode("overwrite").parquet(merged)
+        spark.createDataFrame([(int(batch_id),)], "batch BIGINT").write.mode("overwrite").parquet(mark)
+    # One task for each bucket, so that it is one file.
+    rows = _read(spark, merged, ROW).repartition("table", "bucket")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("table", "bucket").parquet(f"{root}/rows")
 
 
 def upsert_dim(
     spark: SparkSession, changes: DataFrame, path: str, batch_id: int,
     order: Sequence[str] = ("arrival",), apply_deletes: bool = False,
 ) -> None:
-    """``upsert_dims`` for a single table: all changes are its own, other tables' share of the batch stays."""
+    """``upsert_dims`` for a single table: all changes are its own."""
     root, _, name = path.rstrip("/").rpartition("/")
-    version = _version(spark, root)
-    if batch_id > version:
-        marked = mark_dim_rows(spark, changes.withColumn("sink_table", F.lit(name)), root)
-        rows = _batch_rows(marked.where(F.col(REASON).isNull()), order, apply_deletes).withColumn("batch", F.lit(int(batch_id)))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("batch", "table").parquet(f"{root}/changes={version}")
-
-
-def _current(spark: SparkSession, root: str, version: int) -> DataFrame:
-    """The rows of all tables: the base and the changes since, merged by batch."""
-    base = _read(spark, f"{root}/base={version}", ROW).withColumn("batch", F.lit(-2).cast("bigint"))
-    since = _read(spark, f"{root}/changes={version}", ROW + ", batch BIGINT")
-    rows = base.unionByName(since)
-    return rows.select(
-        "table", "key", F.col("batch").alias("order"), "values", (~F.col("deleted")).alias("writes"), F.col("reset").alias("clears"),
-    )
+    upsert_dims(spark, changes.withColumn("sink_table", F.lit(name)), root, batch_id, order, apply_deletes)
 
 
 def read_dim(spark: SparkSession, path: str) -> DataFrame:
     """The table as of its last finished batch."""
     root, name, table, extend = _definition(spark, path)
-    rows = _current(spark, root, _version(spark, root)).where(F.col("table") == name)
-    merged = merge(rows).where(~F.col("deleted"))
-    return merged.select(*[
+    rows = _read(spark, f"{root}/rows", ROW).where((F.col("table") == name) & ~F.col("deleted"))
+    return rows.select(*[
         (F.col("key") if c == table.pk else F.try_element_at("values", F.lit(c)))
         .alias(c, metadata={"primary_key": c == table.pk, "extend": extend})
         for c in table.columns
     ])
-
-
-def compact(spark: SparkSession, root: str) -> int:
-    """Fold all finished batches of all tables into a new base; returns the batch it stands for."""
-    version = _version(spark, root)
-    folder = f"{root}/changes={version}"
-    last = _read(spark, folder, ROW + ", batch BIGINT").agg(F.max("batch")).first()[0]
-    if last is None or last <= version:
-        return version
-    whole = merge(_current(spark, root, version)).where(~F.col("deleted")).withColumn("reset", F.lit(False))
-    whole.write.mode("overwrite").partitionBy("table").parquet(f"{root}/base={last}")
-    spark.createDataFrame([(last,)], "version BIGINT").write.mode("append").parquet(f"{root}/versions")
-    # Only now is the old base out of use, and what it and its changes held can go.
-    for old in (folder, f"{root}/base={version}"):
-        spark.createDataFrame([], ROW).write.mode("overwrite").parquet(old)
-    return last

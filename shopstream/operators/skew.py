@@ -1,10 +1,8 @@
-"""Ordered and keyed work on tables where one key may hold much of the data.
+"""Lookups into tables where one key may hold much of the data.
 
 A key counts as hot when it holds more rows than one task should take
-(``Skew.rows``), whatever the size of the table, and is cut into as many slices
-as it holds times that number. So neither a slice nor the share of a key in a
-task grows with the data. Summaries of hot keys are joined by key, not sent to
-all tasks. Which keys are hot never changes a result.
+(``Skew.rows``), whatever the size of the table, and is spread over as many parts
+as it holds times that number. Which keys are hot never changes a result.
 """
 
 from __future__ import annotations
@@ -12,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TASK_ROWS = 1_000_000
 SALTS = 128
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 
 
 class Skew(NamedTuple):
@@ -41,84 +40,6 @@ def hot_keys(df: DataFrame, key: str, skew: Skew = Skew()) -> DataFrame:
     return hot.select(key, F.ceil(F.col("_n") / max(1, skew.rows)).cast("int").alias("_parts"))
 
 
-def most_parts(df: DataFrame, key: str, skew: Skew = Skew()) -> int:
-    """The parts of the hottest key; 1 if no key is hot."""
-    return hot_keys(df, key, skew).agg(F.max("_parts")).first()[0] or 1
-
-
-def slice_hot_keys(df: DataFrame, key: str, order: Sequence[str], skew: Skew = Skew()) -> DataFrame:
-    """Add ``_hot`` and ``_slice``: each hot key cut into runs of its own order.
-
-    The cuts are quantiles of the first order column within the hot key. Where
-    one value of it fills several cuts, the second order column splits the tie.
-    Slices follow the order, so a row's neighbours are in its own slice or at
-    the edge of the next one. Rows of other keys all get slice 0.
-    """
-    most = most_parts(df, key, skew)
-    if most == 1:
-        return df.withColumns({"_hot": F.lit(False), "_slice": F.lit(0)})
-    steps = [i / most for i in range(1, most)]
-    hot = hot_keys(df, key, skew)
-
-    def thinned(cuts: Column) -> Column:
-        """As many of the cuts as the key's own number of parts asks for, evenly spread."""
-        return F.filter(cuts, lambda _, i: F.floor((i + 1) * F.col("_parts") / most) > F.floor(i * F.col("_parts") / most))
-
-    # Rows of hot keys only.
-    cuts = (
-        df.join(hot, key)
-        .groupBy(key)
-        .agg(
-            F.first("_parts").alias("_parts"),
-            *[F.percentile_approx(c, steps, 20 * most).alias(f"_cuts{i}") for i, c in enumerate(order[:2])],
-        )
-    )
-    cuts = cuts.withColumns({f"_cuts{i}": thinned(F.col(f"_cuts{i}")) for i in range(len(order[:2]))})
-    first = F.col(order[0])
-    below = F.size(F.filter("_cuts0", lambda c: c < first))
-    if len(order) > 1:
-        second = F.col(order[1])
-        ties = F.size(F.filter("_cuts0", lambda c: c == first))
-        rank = F.size(F.filter("_cuts1", lambda c: c <= second))
-        below = below + F.floor(ties * rank / F.col("_parts")).cast("int")
-    hot_row = F.col("_cuts0").isNotNull()
-    return (
-        df.join(cuts, key, "left")
-        .withColumn("_hot", hot_row)
-        .withColumn("_slice", F.when(hot_row, below).otherwise(0))
-        .drop("_cuts0", "_cuts1", "_parts")
-    )
-
-
-def with_neighbour(
-    df: DataFrame, key: str, order: Sequence[str], value: Column, name: str, after: bool, skew: Skew = Skew()
-) -> DataFrame:
-    """Add ``value`` of the key's row just before (or after) in ``order``; null if none.
-
-    A plain ``lag``/``lead``, except that hot keys run slice by slice and the
-    rows at slice edges take their neighbour from a summary of one row a slice.
-    """
-    valued = df.withColumn("_value", value)
-    boxed = F.struct(F.col("_value"))
-    shift = F.lead if after else F.lag
-    sliced = slice_hot_keys(valued, key, order, skew)
-    near = sliced.withColumn("_near", shift(boxed).over(Window.partitionBy(key, "_slice").orderBy(*order)))
-    edge_row = F.min_by if after else F.max_by
-    edges = (
-        sliced.where("_hot")
-        .groupBy(key, "_slice")
-        .agg(edge_row(boxed, order_value(order)).alias("_edge"))
-    )
-    edges = edges.select(
-        key, "_slice", shift("_edge").over(Window.partitionBy(key).orderBy("_slice")).alias("_edge")
-    )
-    return (
-        near.join(edges, [key, "_slice"], "left")
-        .withColumn(name, F.coalesce("_near", "_edge")["_value"])
-        .drop("_value", "_near", "_edge", "_hot", "_slice")
-    )
-
-
 def lookup_by_key(
     df: DataFrame, facts: DataFrame, key: str, spread: Sequence[str], skew: Skew = Skew()
 ) -> DataFrame:
@@ -140,16 +61,24 @@ def lookup_by_key(
     )
 
 
+def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table has at most so many rows and bytes of text; no more rows than that are read."""
+    size = F.octet_length(F.to_json(F.struct(*small.columns)))
+    rows, held = small.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and held <= max_bytes
+
+
 def lookup_small(
     df: DataFrame, small: DataFrame, on: Sequence[str], spread: Column,
-    max_rows: int = BROADCAST_ROWS, salts: int = SALTS,
+    max_rows: int = BROADCAST_ROWS, salts: int = SALTS, max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join with a side expected to be small, e.g. rules.
 
-    Its row count is checked first. Up to ``max_rows`` it is broadcast; beyond,
-    it is replicated over ``salts`` so that a hot key of ``df`` stays spread.
+    Its rows and bytes are checked first. Up to ``max_rows`` and ``max_bytes`` it
+    is broadcast; beyond, it is replicated over ``salts`` so that a hot key of
+    ``df`` stays spread.
     """
-    if small.limit(max_rows + 1).count() <= max_rows:
+    if fits_broadcast(small, max_rows, max_bytes):
         return df.join(F.broadcast(small), list(on), "left")
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (

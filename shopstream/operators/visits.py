@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from shopstream.functions.fields import is_entry_page
 from shopstream.functions.times import day_of
-from shopstream.operators.skew import Skew, order_value, with_neighbour
+from shopstream.operators.ordered import with_neighbour
+from shopstream.operators.skew import order_value
 
 BOUNCE_GAP_MS = 10_000
 
@@ -20,7 +21,7 @@ def timed_pages(pages: DataFrame) -> DataFrame:
 
 
 def unique_visit(
-    pages: DataFrame, mode: str = "exact", order: Sequence[str] = ("arrival",), skew: Skew = Skew()
+    pages: DataFrame, mode: str = "exact", order: Sequence[str] = ("arrival",), scratch: str | None = None,
 ) -> DataFrame:
     """Entry pages that open a visitor's day.
 
@@ -39,13 +40,13 @@ def unique_visit(
         )
     if mode != "exact":
         raise ValueError(f"unknown mode {mode!r}")
-    seen = with_neighbour(entries, "mid", order, F.col("visit_date"), "_last_date", after=False, skew=skew)
+    seen = with_neighbour(entries, "mid", order, F.col("visit_date"), "_last_date", after=False, scratch=scratch)
     return seen.where(~F.col("visit_date").eqNullSafe(F.col("_last_date"))).drop("_last_date")
 
 
 def jump_detail(
     pages: DataFrame, gap_ms: int = BOUNCE_GAP_MS, order: Sequence[str] = ("ts", "arrival"),
-    complete: bool = True, skew: Skew = Skew(),
+    complete: bool = True, scratch: str | None = None,
 ) -> DataFrame:
     """Entry pages not followed by another page of the device within ``gap_ms``.
 
@@ -58,7 +59,7 @@ def jump_detail(
     # Only entry pages can be output: the others go through the shuffle bare.
     entry = F.when(is_entry_page(F.col("page")), F.struct(*timed.columns))
     bare = timed.select("mid", *order, entry.alias("_entry"))
-    seen = with_neighbour(bare, "mid", order, F.col("ts"), "_next_ts", after=True, skew=skew)
+    seen = with_neighbour(bare, "mid", order, F.col("ts"), "_next_ts", after=True, scratch=scratch)
     alone = F.col("_next_ts").isNull() | (F.col("_next_ts") - F.col("ts") >= gap_ms)
     jumps = seen.where(F.col("_entry").isNotNull() & alone)
     if not complete:

@@ -10,35 +10,56 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopstream import names
 from shopstream.operators import cdc, dims
-from shopstream.operators.rejects import REASON, accepted
-from shopstream.session import run_dir
-from shopstream.sinks.topics import TRIGGER, write_facts
-from shopstream.sources.rules import read_rules
+from shopstream.operators.rejects import REASON, accepted, rejected_records
+from shopstream.session import run_dir, stage
+from shopstream.sinks.topics import TRIGGER, write_facts, write_records, writer_of
+from shopstream.sources.rules import flatten_cdc, parse_envelopes
 from shopstream.sources.topics import FolderTopics, KafkaTopics, read_topic
+from shopstream.streaming import rules as rule_store
 
 QUARANTINE = "quarantine"
-FOLD_EVERY = 500
 
 
-def rules_loader(
-    path: str, jdbc: dict[str, str] | None = None, honor_deletes: bool = False,
-) -> Callable[[SparkSession], DataFrame]:
-    """For ``start_changes``: the rules in force by the envelope files below ``path``.
+def stored_rules(root: str, by_position: bool = True) -> Callable[[SparkSession], DataFrame]:
+    """For ``start_changes``: the rules that ``start_rules`` keeps below ``root``.
 
-    With ``jdbc`` they start from a snapshot, which any change of a rule overrides.
-    Texts that are no envelope are ``sources.rules.malformed_envelopes``.
+    ``by_position`` gives all versions, of which each change takes that of its own
+    position, so a batch that is run again is routed as the first time; changes
+    and rules must count positions alike. Otherwise the rules now in force hold.
     """
 
     def load(spark: SparkSession) -> DataFrame:
-        history = cdc.rule_changes(read_rules(spark, path))
-        if jdbc is not None:
-            snapshot = read_rules(spark, jdbc=jdbc).withColumns({"type": F.lit("read"), "version": F.lit(-1).cast("bigint")})
-            history = history.unionByName(snapshot)
-        return cdc.current_rules(history, honor_deletes)
+        stored = rule_store.read_versions(spark, root)
+        return cdc.rule_versions(stored, honor_deletes=True) if by_position else cdc.current_rules(stored, honor_deletes=True)
 
     return load
 
 
+def start_rules(
+    spark: SparkSession, source: FolderTopics | KafkaTopics, topic: str, root: str, rejects: FolderTopics | KafkaTopics,
+    checkpoint: str, honor_deletes: bool = False, once: bool = False,
+) -> StreamingQuery:
+    """The rule job: capture envelopes to the versions of the rules below ``root``, malformed ones to the rejects topic.
+
+    Every envelope is read once. An envelope that says again what a rule says
+    already, as each new snapshot of the rule table does, leaves no version.
+    """
+    parsed = parse_envelopes(read_topic(spark, source, topic, streaming=True))
+    versions = rule_store.fold_rules(cdc.rule_changes(flatten_cdc(accepted(parsed))), honor_deletes)
+    records = versions.select(F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("arrival"), F.struct(*versions.columns).alias("rule"))
+    records = records.unionByName(rejected_records(parsed, topic), allowMissingColumns=True)
+    writer = writer_of("rules", checkpoint)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        held = stage(batch, f"{run_dir(session, root)}/rules")
+        rule_store.write_versions(held.where("rule IS NOT NULL").select("rule.*"), root, batch_id)
+        write_records(held.where("topic IS NOT NULL").select("topic", "value", "arrival"), rejects, batch_id, writer)
+
+    stream = records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName("rules")
+    return (stream.trigger(availableNow=True) if once else stream.trigger(processingTime=TRIGGER)).start()
+
+
 def process_changes(
     raw: DataFrame, rules: DataFrame, target: FolderTopics | KafkaTopics, dim_root: str, batch_id: int,
     scratch: str | None = None,
@@ -47,12 +68,13 @@ def process_changes(
 
     The routed rows are staged once, in a new folder of this run, then each
     output reads its own part. Every write to folders is keyed by ``batch_id``, so
-    repeating a batch with the same rules leaves the same result; in Kafka the
-    facts of a repeated batch are there twice.
+    repeating a batch leaves the same result, with the same rules or with versions
+    of them that came later (see ``stored_rules``); in Kafka the facts of a
+    repeated batch are there twice.
     """
     spark = raw.sparkSession
     parsed = cdc.parse_cdc(raw)
-    routed = cdc.annotate_cdc(cdc.clean_cdc(accepted(parsed)), rules)
+    routed = cdc.annotate_cdc(cdc.clean_cdc(accepted(parsed)), rules, scratch=scratch)
     folder = f"{run_dir(spark, scratch)}/changes"
     routed.write.mode("overwrite").partitionBy("route").parquet(folder)
     staged = spark.read.schema(routed.schema).parquet(folder)
@@ -72,16 +94,13 @@ def process_changes(
 def start_changes(
     spark: SparkSession, source: FolderTopics | KafkaTopics, target: FolderTopics | KafkaTopics, dim_root: str,
     load_rules: Callable[[SparkSession], DataFrame], checkpoint: str, once: bool = False,
-    scratch: str | None = None, fold_every: int = FOLD_EVERY,
+    scratch: str | None = None,
 ) -> StreamingQuery:
     """The change job. ``load_rules`` is called for every batch, so each batch
-    sees the rules written before it. Every ``fold_every`` batches the dimension
-    tables are compacted."""
+    sees the rules written before it."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         process_changes(batch, load_rules(batch.sparkSession), target, dim_root, batch_id, scratch)
-        if batch_id % fold_every == fold_every - 1:
-            dims.compact(batch.sparkSession, dim_root)
 
     changes = read_topic(spark, source, names.ODS_CHANGES, streaming=True)
     writer = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName("changes")

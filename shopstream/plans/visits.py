@@ -33,8 +33,8 @@ def run_visits(
     """
     parsed = stage(page_logs(spark, source), f"{run_dir(spark, scratch)}/{run}")
     pages = accepted(parsed)
-    write_topic(visits.unique_visit(pages, mode), target, names.UNIQUE_VISIT)
-    write_topic(visits.jump_detail(pages, complete=complete), target, names.USER_JUMP)
+    write_topic(visits.unique_visit(pages, mode, scratch=scratch), target, names.UNIQUE_VISIT)
+    write_topic(visits.jump_detail(pages, complete=complete, scratch=scratch), target, names.USER_JUMP)
     return quarantined(parsed)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +43,13 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
 
 
 def shared_dir(spark: SparkSession, given: str | None = None) -> str:
-    """A folder all executors can reach: the one given, or else the one the cluster names."""
+    """A folder all executors can reach: the one given, or else the one the cluster names.
+
+    Where neither is set, a session on this machine alone takes a temporary folder.
+    """
     folder = given or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.partition("[")[0] == "local":
+        folder = tempfile.gettempdir()
     if not folder:
         raise ValueError("spark.checkpoint.dir is not set and no folder was given")
     return folder.rstrip("/")

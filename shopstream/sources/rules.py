@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream import schemas
-from shopstream.operators.rejects import REASON, first_reason, quarantined
+from shopstream.operators.rejects import REASON, accepted, first_reason
 
 ENVELOPE = (
     "topic STRING, op STRING, ts_ms BIGINT, "
@@ -14,16 +14,27 @@ ENVELOPE = (
 )
 
 
+def parse_envelopes(raw: DataFrame) -> DataFrame:
+    """Parse ``value`` into the envelope's fields; what is no capture envelope gets a ``reject_reason``."""
+    parsed = raw.select("*", F.inline(F.array(F.from_json("value", ENVELOPE))))
+    return parsed.withColumn(REASON, first_reason(
+        ("bad_json", F.coalesce("topic", "op").isNull()),
+        ("no_table", F.get(F.split("topic", r"\."), 2).isNull()),
+        ("no_op", F.col("op").isNull()),
+        ("no_image", F.col("before").isNull() & F.col("after").isNull()),
+    ))
+
+
 def flatten_cdc(envelopes: DataFrame) -> DataFrame:
     """Capture envelopes as ``database, table, type, data, before, version``.
 
+    Takes raw texts, of which malformed ones are left out, or parsed envelopes.
     Database and table come from the envelope's topic (``server.database.table``);
     an op of create counts as insert; no after-image gives empty ``data``.
     ``version`` orders the changes: ``arrival`` where given, else ``ts_ms``.
     """
-    if "value" in envelopes.columns:
-        position = ["arrival"] if "arrival" in envelopes.columns else []
-        envelopes = envelopes.select(*position, F.inline(F.array(F.from_json("value", ENVELOPE))))
+    if "op" not in envelopes.columns:
+        envelopes = accepted(parse_envelopes(envelopes))
     path = F.split("topic", r"\.")
     op = F.lower("op")
     empty = F.create_map().cast("map<string,string>")
@@ -35,16 +46,10 @@ def flatten_cdc(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def malformed_envelopes(envelopes: DataFrame) -> DataFrame:
-    """The texts that are no capture envelope, with why; flattened, they are changes of no table."""
-    read = envelopes.select("value", F.from_json("value", ENVELOPE).alias("e"))
-    reason = first_reason(
-        ("bad_json", F.coalesce("e.topic", "e.op").isNull()),
-        ("no_table", F.get(F.split("e.topic", r"\."), 2).isNull()),
-        ("no_op", F.col("e.op").isNull()),
-        ("no_image", F.col("e.before").isNull() & F.col("e.after").isNull()),
-    )
-    return quarantined(read.withColumn(REASON, reason))
+def read_envelopes(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """The lines of the envelope files below ``path``, parsed; malformed ones carry a ``reject_reason``."""
+    reader = spark.readStream if streaming else spark.read
+    return parse_envelopes(reader.text(path).select("value"))
 
 
 def read_rules(
@@ -53,10 +58,10 @@ def read_rules(
     """Rules: capture envelopes as JSON files below ``path``, or a ``jdbc`` snapshot.
 
     Envelopes come flattened, ready for ``rule_changes`` and ``current_rules``;
-    a snapshot already holds one row per rule.
+    malformed ones are the rejected rows of ``read_envelopes``. A snapshot already
+    holds one row per rule.
     """
     if jdbc is not None:
         columns = [f.split()[0] for f in schemas.RULE.split(", ")]
         return spark.read.format("jdbc").options(**jdbc).load().select(*columns)
-    reader = spark.readStream if streaming else spark.read
-    return flatten_cdc(reader.schema(ENVELOPE).json(path))
+    return flatten_cdc(accepted(read_envelopes(spark, path, streaming)))

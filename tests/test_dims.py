@@ -42,36 +42,47 @@ AFTER = [[("1", "a", "x")], [("1", "b", "x")], [("1", "b", None)], [("1", "b", N
 
 def test_upserts_touch_only_the_columns_present(spark, changes, table):
     for batch, (data, after) in enumerate(zip(STEPS, AFTER)):
-        dims.upsert_dim(spark, changes(("insert", data)), table, batch)
-        assert rows(dims.read_dim(spark, table)) == after
-    for batch, data in enumerate(STEPS):
-        dims.upsert_dim(spark, changes(("insert", data)), table, batch)
-    assert rows(dims.read_dim(spark, table)) == AFTER[-1]
+        for _ in range(2):
+            dims.upsert_dim(spark, changes(("insert", data)), table, batch)
+            assert rows(dims.read_dim(spark, table)) == after
 
 
-def test_steps_in_one_batch_and_compaction_give_the_same(spark, changes, table):
+def test_steps_in_one_batch_give_the_same(spark, changes, table):
     dims.upsert_dim(spark, changes(*[("update", d) for d in STEPS]), table, 0)
     assert rows(dims.read_dim(spark, table)) == AFTER[-1]
-    assert dims.compact(spark, root_of(table)) == 0
-    assert rows(dims.read_dim(spark, table)) == AFTER[-1]
     assert dims.dim_table(spark, table) == (table, "id", ["id", "name", "phone"])
-    # A batch already in the base changes nothing when repeated.
-    dims.upsert_dim(spark, changes(*[("update", d) for d in STEPS]), table, 0)
-    assert rows(dims.read_dim(spark, table)) == AFTER[-1]
     dims.upsert_dim(spark, changes(("update", {"id": 2, "phone": "y"})), table, 1)
     assert rows(dims.read_dim(spark, table)) == [("1", "b", None), ("2", "O'Neil", "y")]
 
 
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, changes, table, tmp_path):
+    dims.upsert_dim(spark, changes(*[("insert", {"id": i, "name": "n"}) for i in range(200)]), table, 0)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "dims" / "rows").rglob("*.parquet")}
+    dims.upsert_dim(spark, changes(("insert", {"id": 7, "name": "m"})), table, 1)
+    after = {p for p in (tmp_path / "dims" / "rows").rglob("*.parquet")}
+    assert len(before) == len(after) == dims.BUCKETS and len(after - set(before)) == 1
+    assert dict(tuple(r)[:2] for r in dims.read_dim(spark, table).collect()) == {str(i): "m" if i == 7 else "n" for i in range(200)}
+
+
+def test_a_batch_that_ended_while_it_replaced_buckets_is_made_whole(spark, changes, table, tmp_path):
+    batch = changes(*[("insert", {"id": i, "name": "n"}) for i in range(50)])
+    dims.upsert_dim(spark, batch, table, 0)
+    spark.createDataFrame([], dims.ROW).write.mode("overwrite").partitionBy("table", "bucket").parquet(str(tmp_path / "dims" / "rows"))
+    assert dims.read_dim(spark, table).count() == 0
+    dims.upsert_dim(spark, batch, table, 0)
+    assert dims.read_dim(spark, table).count() == 50
+
+
 def test_a_routed_delete_writes_its_row_unless_applied(spark, changes, table):
     steps = [("insert", {"id": 1, "name": "a", "phone": "x"}), ("delete", {"id": 1, "name": "z"})]
     dims.upsert_dim(spark, changes(*steps), table, 0)
     assert rows(dims.read_dim(spark, table)) == [("1", "z", "x")]
-    dims.upsert_dim(spark, changes(*steps), table, 0, apply_deletes=True)
+    dims.upsert_dim(spark, changes(*steps), table, 1, apply_deletes=True)
     assert rows(dims.read_dim(spark, table)) == []
     # Written again later, the row holds nothing from before the delete.
-    dims.upsert_dim(spark, changes(("insert", {"id": 1, "name": "n"})), table, 1, apply_deletes=True)
+    dims.upsert_dim(spark, changes(("insert", {"id": 1, "name": "n"})), table, 2, apply_deletes=True)
     assert rows(dims.read_dim(spark, table)) == [("1", "n", None)]
-    dims.upsert_dim(spark, changes(*steps, ("insert", {"id": 1, "phone": "p"})), table, 2, apply_deletes=True)
+    dims.upsert_dim(spark, changes(*steps, ("insert", {"id": 1, "phone": "p"})), table, 3, apply_deletes=True)
     assert rows(dims.read_dim(spark, table)) == [("1", None, "p")]
 
 
@@ -121,14 +132,3 @@ def test_many_tables_take_one_batch_in_one_job(spark, changes, tmp_path):
         refused = dims.mark_dim_rows(spark, routed, f"{root}/{n}").where("reject_reason IS NOT NULL").collect()
         assert [(r.arrival, r.reject_reason) for r in refused] == [(n, "no_table")]
     assert jobs[0] == jobs[1]
-
-
-def test_a_batch_written_again_leaves_nothing_of_the_first_attempt(spark, changes, tmp_path):
-    root = str(tmp_path / "dims")
-    dims.ensure_dim_table(spark, rules(spark, *[(t, "insert", "hbase", t, "id,name") for t in "ab"]), root)
-    row = changes(("insert", {"id": 1, "name": "x"}))
-    for name in "ab":
-        dims.upsert_dims(spark, row.withColumn("sink_table", F.lit(name)), root, 7)
-    assert rows(dims.read_dim(spark, f"{root}/a")) == [] and rows(dims.read_dim(spark, f"{root}/b")) == [("1", "x")]
-    assert dims.compact(spark, root) == 7 and rows(dims.read_dim(spark, f"{root}/b")) == [("1", "x")]
-    assert spark.read.schema(dims.ROW).parquet(f"{root}/changes=-1").count() == 0

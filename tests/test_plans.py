@@ -8,11 +8,13 @@ from shopstream.functions.fields import is_entry_page, is_page, to_json_line
 from shopstream.functions.times import day_start_millis
 from shopstream.operators import dims
 from shopstream.operators.logs import parse_log
-from shopstream.plans.changes import process_changes, rules_loader, start_changes
+from shopstream.operators.cdc import rule_versions
+from shopstream.plans.changes import process_changes, start_changes, start_rules, stored_rules
 from shopstream.session import run_dir, shared_dir, stage, stream_session
 from shopstream.sinks.topics import kafka_write_options, land_raw_log, stream_records, topic_records, write_records, write_topic
-from shopstream.sources.rules import malformed_envelopes, read_rules
+from shopstream.sources.rules import read_envelopes, read_rules
 from shopstream.sources.topics import FolderTopics, KafkaTopics, kafka_read_options, read_lines, read_topic, read_topics
+from shopstream.streaming.rules import read_versions
 
 RULES = [
     ("t", "insert", "hbase", "dim_t", "id,name", None, None),
@@ -119,25 +121,63 @@ def test_raw_logs_land_by_day(spark, topic, tmp_path):
 def test_rules_from_envelope_files(spark, tmp_path):
     folder = tmp_path / "rules"
     folder.mkdir()
-    (folder / "a.json").write_text('{"topic":"s.db.tp","op":"CREATE","ts_ms":3,"after":{"source_table":"t"}}\n')
+    (folder / "a.json").write_text('{"topic":"s.db.tp","op":"CREATE","ts_ms":3,"after":{"source_table":"t"}}\n{"topic":"s.db.tp","op":"CRE\n')
+    assert [r.reject_reason for r in read_envelopes(spark, str(folder)).collect()] == [None, "bad_json"] and read_rules(spark, str(folder)).count() == 1
     row = read_rules(spark, str(folder)).first()
     assert (row.database, row.table, row.type, row.version, row.data) == ("db", "tp", "insert", 3, {"source_table": "t"})
     assert read_rules(spark, str(folder), streaming=True).isStreaming
 
 
-def test_the_change_job_takes_its_rules_from_envelope_files(spark, topic, tmp_path):
-    names_ = [f.split()[0] for f in schemas.RULE.split(", ")]
-    rows = [{"topic": "s.db.tp", "op": "READ", "ts_ms": i, "after": {k: v for k, v in zip(names_, r) if v}} for i, r in enumerate(RULES)]
-    old = {"topic": "s.db.tp", "op": "CREATE", "ts_ms": -1, "after": {**rows[3]["after"], "sink_table": "elsewhere"}}
-    texts = [json.dumps(r) for r in [old, *rows]] + ["no json", '{"topic":"s.db.tp"}', '{"topic":"x","op":"READ","after":{}}']
-    (tmp_path / "rules").mkdir()
-    (tmp_path / "rules" / "a.json").write_text("\n".join(texts))
+RULE_FIELDS = [f.split()[0] for f in schemas.RULE.split(", ")]
+
+
+def envelopes(rows, at=0, op="READ"):
+    return [
+        json.dumps({"topic": "s.db.tp", "op": op, "ts_ms": at + i, ("before" if op == "DELETE" else "after"): {k: v for k, v in zip(RULE_FIELDS, r) if v}})
+        for i, r in enumerate(rows)
+    ]
+
+
+def keep_rules(spark, tmp_path, *steps, **how):
+    """The rule job run over batches of envelope texts, each at its (position, texts)."""
+    session, source, rejects = stream_session(spark, 2), FolderTopics(str(tmp_path / "rule-in")), FolderTopics(str(tmp_path / "rejects"))
+    for at, texts in steps:
+        rows = spark.createDataFrame([(t, at + i) for i, t in enumerate(texts)], schemas.TOPIC)
+        write_records(topic_records(rows, names.ODS_RULES), source)
+        start_rules(session, source, names.ODS_RULES, str(tmp_path / "rules"), rejects, str(tmp_path / "rule-state"), once=True, **how).awaitTermination()
+    return rejects
+
+
+def test_the_change_job_takes_its_rules_from_the_rule_job(spark, topic, tmp_path):
+    rejects = keep_rules(spark, tmp_path, (-10, [*envelopes(RULES), "no json", '{"topic":"s.db.tp"}', '{"topic":"x","op":"READ","after":{}}']))
     facts, root = FolderTopics(str(tmp_path / "facts")), str(tmp_path / "dims")
-    load = rules_loader(str(tmp_path / "rules"))
-    process_changes(topic(*CHANGES), load(spark), facts, root, 0, str(tmp_path / "stage"))
+    process_changes(topic(*CHANGES), stored_rules(str(tmp_path / "rules"))(spark), facts, root, 0, str(tmp_path / "stage"))
     assert results(spark, facts, root) == WANT
-    bad = malformed_envelopes(spark.read.text(str(tmp_path / "rules"))).collect()
-    assert sorted(r.reject_reason for r in bad) == ["bad_json", "no_op", "no_table"]
+    bad = read_topic(spark, rejects, names.REJECTED).collect()
+    assert sorted(json.loads(r.value)["reject_reason"] for r in bad) == ["bad_json", "no_op", "no_table"]
+
+
+def test_a_replay_is_routed_as_the_first_time(spark, topic, tmp_path):
+    facts, root, load = FolderTopics(str(tmp_path / "facts")), str(tmp_path / "dims"), stored_rules(str(tmp_path / "rules"))
+    keep_rules(spark, tmp_path, (-10, envelopes(RULES)))
+    process_changes(topic(*CHANGES), load(spark), facts, root, 0, str(tmp_path / "stage"))
+    moved = [("f", "insert", "kafka", "elsewhere", None, None, None), ("t", "update", "kafka", "elsewhere", None, None, None)]
+    keep_rules(spark, tmp_path, (1000, envelopes(moved)))
+    process_changes(topic(*CHANGES), load(spark), facts, root, 0, str(tmp_path / "stage"))
+    assert results(spark, facts, root) == WANT and read_topic(spark, facts, "elsewhere").count() == 0
+    now = {(r.source_table, r.operate_type): r.sink_table for r in stored_rules(str(tmp_path / "rules"), by_position=False)(spark).collect()}
+    assert now[("f", "insert")] == "elsewhere"
+
+
+def test_versions_are_kept_only_where_a_rule_changes(spark, tmp_path):
+    one = [("t", "insert", "kafka", "a", None, None, None)]
+    other = [("t", "insert", "kafka", "b", None, None, None)]
+    steps = [(0, envelopes(one)), (5, envelopes(one)), (9, envelopes(other) + envelopes(one, op="DELETE")), (20, envelopes(one) * 2), (3, envelopes(other))]
+    keep_rules(spark, tmp_path, *steps, honor_deletes=True)
+    versions = rule_versions(read_versions(spark, str(tmp_path / "rules")), honor_deletes=True).orderBy("valid_from").collect()
+    assert [(r.valid_from, r.valid_until, r.sink_table, r.gone) for r in versions] == [
+        (0, 3, "a", False), (3, 9, "b", False), (9, 10, "b", False), (10, 20, "a", True), (20, None, "a", False),
+    ]
 
 
 def test_kafka_options():

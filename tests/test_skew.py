@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from shopstream.operators.skew import Skew, hot_keys, lookup_by_key, lookup_small, most_parts, slice_hot_keys, with_neighbour
+from shopstream.operators.skew import Skew, hot_keys, lookup_by_key, lookup_small
 
 
 def table(spark, n=2000, tie=0.0):
@@ -14,30 +14,8 @@ def table(spark, n=2000, tie=0.0):
 def test_hot_keys_are_those_above_the_limit_whatever_their_share(spark):
     df = table(spark)
     assert [tuple(r) for r in hot_keys(df, "k", Skew(100)).collect()] == [("hot", 7)]
-    assert hot_keys(df, "k").collect() == [] and most_parts(df, "k") == 1
-    assert hot_keys(df, "k", Skew(10)).count() == 51 and most_parts(df, "k", Skew(10)) == 67
-
-
-def test_slices_of_a_hot_key_are_small_and_in_order(spark):
-    for tie in (0.0, 0.5, 1.0):
-        sliced = slice_hot_keys(table(spark, tie=tie), "k", ["ts", "arrival"], Skew(83))
-        rows = sorted((r.ts, r.arrival, r._slice) for r in sliced.where("k = 'hot'").collect())
-        slices = [r[2] for r in rows]
-        assert slices == sorted(slices)
-        assert max(slices.count(s) for s in set(slices)) <= 4 * len(rows) / 8
-        assert {r._slice for r in sliced.where("k <> 'hot'").collect()} == {0}
-
-
-def test_neighbours_cross_slices(spark):
-    df = table(spark, 600, tie=0.3)
-    for after in (True, False):
-        got = {}
-        for skew in (Skew(10), Skew(25), Skew()):
-            out = with_neighbour(df, "k", ["ts", "arrival"], F.col("arrival"), "n", after, skew)
-            got[skew.rows] = sorted((r.arrival, -1 if r.n is None else r.n) for r in out.collect())
-            assert out.columns == ["k", "ts", "arrival", "n"]
-        first, *others = got.values()
-        assert others == [first, first]
+    assert hot_keys(df, "k").collect() == []
+    assert hot_keys(df, "k", Skew(10)).count() == 51
 
 
 def test_lookup_by_key_finds_hot_and_cold(spark):

@@ -256,4 +256,5 @@ def keep_one_of_each(
     first = F.min(F.struct(F.col("id").isNull().alias("without"), F.col("id").alias("id"), F.col("row").alias("row")))
     classes = staged(rows.groupBy("fp").agg(first.alias("first")))
     kept = staged(_placed(classes, radius, aim, shard_rows).groupBy("component").agg(F.min("first").alias("first")).select("first.row"))
-    return rows.join(kept, "row", "left_semi").select("doc.*")
+    # As many numbers as texts: sending them to all tasks would only do for few.
+    return rows.join(kept.hint("merge"), "row", "left_semi").select("doc.*")

@@ -67,14 +67,32 @@ def test_a_split_character_keeps_its_bytes(spark, definition, known):
 
 def test_every_token_decodes_to_its_bytes(ranks, definition):
     decoder = bpe.Decoder(definition)
-    assert all(decoder.decode(np.array([rank])) == token for token, rank in ranks.items())
+    assert all(decoder.decode(np.array([rank])) == [token] for token, rank in ranks.items())
 
 
 def test_empty_table(spark, docs, definition):
     assert bpe.encode_documents(docs.where("false"), definition).count() == 0
 
 
-def test_query(spark, known):
+def test_every_character_is_cut_as_by_the_library(definition, known):
+    pieces = bpe.Pieces(definition)
+    for start in range(0, 0x110000, 1 << 12):
+        characters = [chr(c) for c in range(start, start + (1 << 12)) if not 0xD800 <= c < 0xE000]
+        text = "".join(f"a{c} 1{c}{c}  {c}" for c in characters)
+        assert pieces.encode([text]).ids.tolist() == known.encode_ordinary(text)
+
+
+def test_pieces_that_are_forgotten_are_learnt_again(definition, known, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECES", 50)
+    pieces = bpe.Pieces(definition)
+    for i in range(40):
+        texts = [f"word{j} {i} again and again" for j in range(i)] + TEXTS[1:] * (i % 3)
+        found = pieces.encode(texts)
+        assert [x.tolist() for x in np.split(found.ids, found.ends)[:-1]] == [known.encode_ordinary(t) for t in texts]
+        assert found.digits == [",".join(map(str, known.encode_ordinary(t))).encode() for t in texts]
+
+
+def test_query(spark, known, definition):
     sf_dir = "/root/testdata/sf0.001"
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
     found = queries.op1_bpe(spark, sf_dir).collect()
@@ -84,3 +102,6 @@ def test_query(spark, known):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+    tokens = bpe.encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), definition).collect()
+    places = {r["doc_id"]: np.array([*r["starts"], *r["ends"]], dtype="<i4").tobytes() for r in tokens}
+    assert {r["doc_id"]: r["places_sha256"] for r in found} == {i: hashlib.sha256(p).hexdigest() for i, p in places.items()}

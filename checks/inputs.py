@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream.functions.times import position
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
     """A table; with ``key``, spread over the cluster if its files are too few for that."""
@@ -79,6 +81,18 @@ def damaged_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.select(value.alias("value"), "arrival")
 
 
+PARTITIONS = 4
+
+
+def partitioned_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The app logs dealt to partitions with offsets of their own, in order of their time."""
+    number, ts = F.col("arrival"), F.get_json_object("value", "$.ts").cast("bigint")
+    # The offset of the last partition is ahead of the others, which tells nothing.
+    ahead = F.when(number % PARTITIONS == PARTITIONS - 1, 1_000_000).otherwise(0)
+    place = position(ts, number % PARTITIONS, F.floor(number / PARTITIONS) + ahead)
+    return app_logs(spark, sf_dir).select("value", place.alias("arrival"))
+
+
 def rough_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The disordered app logs in texts that are no strict JSON, or odd, by their number; the fields say the same."""
     logs = app_logs(spark, sf_dir, disordered=True)
@@ -296,3 +310,18 @@ def detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         F.to_json(record).alias("value"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("arrival")
     )
+
+
+def rough_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose amounts are written with many decimals, or as cents with an exponent, by their number."""
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey")
+    number = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    price = F.col("l_extendedprice").cast("decimal(16,2)").cast("string")
+    case = number % 4
+    text = (
+        F.when(case == 0, F.concat(price, F.lit("0000000000"))).when(case == 1, F.concat(price, F.lit("0000000001")))
+        .when(case == 2, F.concat(F.translate(price, ".", ""), F.lit("e-2"))).otherwise(price)
+    )
+    template = '{"id":%d,"order_id":%d,"order_price":%s,"split_total_amount":%s,"create_time":"2024-01-01 00:00:00"}'
+    value = F.format_string(template, number, F.col("l_orderkey"), text, price)
+    return lines.select(value.alias("value"), number.alias("arrival"))

@@ -264,6 +264,10 @@ USERS = """
 ALL: dict[str, str] = {
     "unique_visit_exact": VISIT_EXACT,
     "unique_visit_daily": VISIT_DAILY,
+    "unique_visit_positions": f"""
+        WITH {ENTRIES},
+        seen AS (SELECT *, lag(day) OVER (PARTITION BY mid ORDER BY ts, arrival % 4, arrival // 4) AS last_day FROM entries)
+        SELECT arrival, mid, page_id, ts, day AS visit_date FROM seen WHERE last_day IS NULL OR last_day <> day""",
     "jump_detail_10s": jumps(10_000),
     "jump_detail_1h": jumps(HOUR_MS),
     "jump_detail_6h": jumps(6 * HOUR_MS),
@@ -349,6 +353,13 @@ ALL: dict[str, str] = {
         )
         SELECT source, arrival, CASE arrival % 50 WHEN 1 THEN 'bad_json' WHEN 2 THEN 'no_key' ELSE 'no_create_time' END AS reject_reason
         FROM damaged WHERE arrival % 50 IN (1, 2, 3)""",
+    "order_amounts": """
+        WITH lines AS (
+            SELECT l_orderkey * 8 + l_linenumber AS arrival, CAST(l_extendedprice AS DECIMAL(16, 2)) AS price FROM lineitem
+        )
+        SELECT arrival, CASE WHEN arrival % 4 <> 1 THEN price END AS order_price, price AS split_total_amount,
+               CASE WHEN arrival % 4 = 1 THEN 'unfit_amount' END AS reject_reason
+        FROM lines""",
     "order_interval_join": f"""
         WITH {ORDERS}
         SELECT id AS order_id, detail_id, sku_id, seconds * 1000 AS order_ts, detail_seconds * 1000 AS detail_ts
@@ -358,7 +369,19 @@ ALL: dict[str, str] = {
     "order_merge_wide_splits": merge_wide("coalesce(split_coupon_amount, total)", "total"),
     "stream_logs": records("late_arrival", "new_flag", "repaired", REPAIRED),
     "stream_unique_visit_exact": VISIT_EXACT,
-    "stream_unique_visit_daily": f"SELECT DISTINCT mid, visit_date, true AS is_entry FROM ({VISIT_DAILY})",
+    "stream_unique_visit_daily": VISIT_DAILY,
+    "stream_unique_visit_ttl": VISIT_EXACT,
+    "stream_late_rows": f"""
+        WITH {EVENTS},
+        pages AS (SELECT * FROM logs WHERE NOT is_start),
+        cuts AS (SELECT min(ts) + (max(ts) + 1 - min(ts)) * 2 // 3 AS last_step FROM pages),
+        second AS (SELECT max(ts) AS newest FROM pages, cuts WHERE ts < last_step AND arrival % 50 <> 0),
+        told AS (SELECT pages.*, arrival % 50 = 0 AND ts < newest AS late FROM pages, second),
+        followed AS (SELECT *, lead(ts) OVER (PARTITION BY mid ORDER BY ts, arrival) AS next_ts FROM told WHERE NOT late)
+        SELECT 'rejected_records' AS topic, arrival, 'late' AS reject_reason FROM told WHERE late
+        UNION ALL
+        SELECT 'dwm_user_jump_detail', arrival, NULL FROM followed
+        WHERE last_page_id IS NULL AND (next_ts IS NULL OR next_ts - ts >= 10000) AND ts + 10000 < (SELECT max(ts) FROM pages)""",
     "stream_jump_detail": jumps(10_000, complete=False),
     "stream_order_wide": wide(WITHIN),
     "stream_order_wide_day": wide(SAME_DAY),

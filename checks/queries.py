@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -163,6 +163,13 @@ def unique_visit_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visit_columns(visits.unique_visit(pages, "daily"))
 
 
+def unique_visit_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits of logs that come over several partitions."""
+    pages = logs.split_logs(accepted(logs.parse_log(inputs.partitioned_logs(spark, sf_dir)))).page
+    number = (F.col("arrival.offset") % 1_000_000) * inputs.PARTITIONS + F.col("arrival.partition")
+    return visit_columns(visits.unique_visit(pages).withColumn("arrival", number))
+
+
 def _jumps(gap_ms: int, complete: bool = True) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages = logs.split_logs(good_logs(spark, sf_dir)).page
@@ -327,6 +334,12 @@ def order_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.withColumn("r", fields).select("r.source", "arrival", "r.reject_reason")
 
 
+def order_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with amounts of many decimals or by an exponent: exact ones are kept, others rejected."""
+    read = orders.parse_order_detail(inputs.rough_amounts(spark, sf_dir), "second")
+    return read.select("arrival", "order_price", "split_total_amount", "reject_reason")
+
+
 def order_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     infos, details = order_sides(spark, sf_dir, "second")
     joined = orders.interval_join(infos, details, "id", "order_id")
@@ -367,18 +380,25 @@ def _merge_wide(strict: bool) -> Query:
 # -- streams -----------------------------------------------------------------
 
 
-def feed_topic(
+def fed_steps(
     spark: SparkSession, records: DataFrame, store: FolderTopics, topic: str, by: Column | None = None,
     span: tuple[int, int] | None = None,
-) -> None:
-    """Write records as a topic, in ``STREAM_STEPS`` sets of files in order of arrival, or of ``by`` over ``span``."""
+) -> Iterator[None]:
+    """Write records as a topic, in ``STREAM_STEPS`` sets of files in order of arrival, or of ``by`` over ``span``; stops after each."""
     records = stage(topic_records(records, topic).withColumn("_by", F.col("arrival") if by is None else by), f"{store.root}-{topic}")
     low, high = span or records.agg(F.min("_by"), F.max("_by") + 1).first()
     cuts = [low + (high - low) * i // STREAM_STEPS for i in range(STREAM_STEPS + 1)]
     for i, (start, end) in enumerate(zip(cuts, cuts[1:])):
         after = F.lit(True) if i == 0 else F.col("_by") >= start
         part = records.where(after & (F.lit(True) if i == STREAM_STEPS - 1 else F.col("_by") < end)).drop("_by")
-        write_records(part.repartition(store.max_files_per_trigger, "arrival"), store)
+        write_records(part.repartition(STREAM_FILES, "arrival"), store)
+        yield
+
+
+def feed_topic(spark: SparkSession, records: DataFrame, store: FolderTopics, topic: str, *how: object) -> None:
+    """All the steps of a topic at once; see :func:`fed_steps`."""
+    for _ in fed_steps(spark, records, store, topic, *how):
+        pass
 
 
 def _stream(spark: SparkSession) -> tuple[SparkSession, str]:
@@ -409,15 +429,36 @@ def _stream_visits(mode: str) -> Query:
         )
         stream.awaitTermination()
         seen = accepted(logs.parse_log(read_topics(spark, target)))
-        day = F.to_date(F.timestamp_millis("ts")).alias("visit_date")
-        if mode == "daily":
-            # Which entry page of the day is kept is open; it must be one of them.
-            return seen.select("mid", day, F.col("page.page_id").isin("signup", "view").alias("is_entry"))
         return visit_columns(seen.withColumn("visit_date", F.to_date(F.timestamp_millis("ts"))))
 
     return query
 
 
+def stream_unique_visit_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits by a stream whose state expires by the wall clock, run until it has taken all pages."""
+    session, path = _stream(spark)
+    source, target = page_topic(session, sf_dir, path, disordered=True), FolderTopics(f"{path}/out")
+    visit_plan.run_until_idle(visit_plan.start_unique_visit(session, source, target, f"{path}/state"))
+    seen = accepted(logs.parse_log(read_topic(spark, target, names.UNIQUE_VISIT)))
+    return visit_columns(seen.withColumn("visit_date", F.to_date(F.timestamp_millis("ts"))))
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounces of a stream to which every fiftieth page comes last, and the pages that were late by then.
+
+    The stream is run after each step, so a step is one batch however many files it has.
+    """
+    session, path = _stream(spark)
+    source, target = FolderTopics(f"{path}/in"), FolderTopics(f"{path}/out")
+    pages = logs.split_logs(good_logs(session, sf_dir)).page
+    span = pages.agg(F.min("ts"), F.max("ts") + 1).first()
+    comes = F.when(F.col("arrival") % 50 == 0, span[1]).otherwise(F.get_json_object("value", "$.ts").cast("bigint"))
+    for _ in fed_steps(session, pages.select("value", "arrival"), source, names.PAGE_LOG, comes, span):
+        visit_plan.start_jump_detail(session, source, target, f"{path}/state", once=True).awaitTermination()
+    late = F.get_json_object("value", "$.reject_reason")
+    return read_topics(spark, target).select("topic", "arrival", F.when(F.col("topic") == names.REJECTED, late).alias("reject_reason"))
+
+
 def stream_jump_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, path = _stream(spark)
     source, target = page_topic(session, sf_dir, path, disordered=False), FolderTopics(f"{path}/out")
@@ -527,6 +568,7 @@ def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL: dict[str, Query] = {
     "unique_visit_exact": unique_visit_exact,
     "unique_visit_daily": unique_visit_daily,
+    "unique_visit_positions": unique_visit_positions,
     "jump_detail_10s": _jumps(visits.BOUNCE_GAP_MS),
     "jump_detail_1h": _jumps(HOUR_MS),
     "jump_detail_6h": _jumps(6 * HOUR_MS),
@@ -563,6 +605,7 @@ ALL: dict[str, Query] = {
     "order_parse_detail": _parsed_orders(True, "second"),
     "run_order_wide": run_order_wide,
     "order_quarantine": order_quarantine,
+    "order_amounts": order_amounts,
     "order_interval_join": order_interval_join,
     "order_wide_day": order_wide_day,
     "order_merge_wide": _merge_wide(True),
@@ -570,7 +613,9 @@ ALL: dict[str, Query] = {
     "stream_logs": stream_logs,
     "stream_unique_visit_exact": _stream_visits("exact"),
     "stream_unique_visit_daily": _stream_visits("daily"),
+    "stream_unique_visit_ttl": stream_unique_visit_ttl,
     "stream_jump_detail": stream_jump_detail,
+    "stream_late_rows": stream_late_rows,
     "stream_order_wide": _stream_orders("second"),
     "stream_order_wide_day": _stream_orders("day"),
     "stream_changes": stream_changes,

@@ -41,3 +41,17 @@ def with_event_time(df: DataFrame, ts: str = "ts", delay: str = NO_DELAY, name:
     Rows older than the watermark are late: stateful operators drop them.
     """
     return df.withColumn(name, event_time(F.col(ts))).withWatermark(name, delay)
+
+
+def position(time: Column, partition: Column, offset: Column) -> Column:
+    """A record's place in a topic of several partitions, whose offsets have no common order; it compares by time first."""
+    parts = zip(("time", "partition", "offset"), (time, partition, offset), ("bigint", "int", "bigint"))
+    return F.struct(*[value.cast(kind).alias(name) for name, value, kind in parts])
+
+
+def sortable(df: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """``df`` with its position as one plain value that sorts as the position does, for use outside the JVM."""
+    if df.schema[arrival].dataType.typeName() != "struct":
+        return df
+    parts = [F.col(f"{arrival}.{p}") for p in ("time", "partition", "offset")]
+    return df.withColumn(arrival, F.format_string("%019d-%010d-%019d", *parts))

@@ -97,18 +97,20 @@ def split_logs(logs: DataFrame) -> LogSplit:
     return LogSplit(start, page, explode_displays(page))
 
 
-def log_records(logs: DataFrame) -> DataFrame:
-    """All three outputs as (topic, value, arrival) rows, in one pass over the logs."""
+def _record(topic: str, value: Column) -> Column:
+    return F.struct(F.lit(topic).alias("topic"), value.alias("value"))
+
+
+def shown_records() -> Column:
+    """The display records of a parsed page log."""
     page_id = F.col("page.page_id")
+    return F.transform("displays", lambda d: _record(names.DISPLAY_LOG, to_json_line(stamped_display(d, page_id), "map")))
 
-    def record(topic: str, value: Column) -> Column:
-        return F.struct(F.lit(topic).alias("topic"), value.alias("value"))
 
-    shown = F.transform(
-        "displays", lambda d: record(names.DISPLAY_LOG, to_json_line(stamped_display(d, page_id), "map"))
-    )
-    page = F.array(record(names.PAGE_LOG, F.col("value")))
-    start = F.array(record(names.START_LOG, F.col("value")))
-    page_and_shown = F.when(F.col("displays").isNull(), page).otherwise(F.concat(page, shown))
+def log_records(logs: DataFrame) -> DataFrame:
+    """All three outputs as (topic, value, arrival) rows, in one pass over the logs."""
+    page = F.array(_record(names.PAGE_LOG, F.col("value")))
+    start = F.array(_record(names.START_LOG, F.col("value")))
+    page_and_shown = F.when(F.col("displays").isNull(), page).otherwise(F.concat(page, shown_records()))
     records = F.when(is_start(F.col("start")), start).otherwise(page_and_shown)
     return logs.select(F.explode(records).alias("r"), "arrival").select("r.topic", "r.value", "arrival")

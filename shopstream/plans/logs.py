@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shopstream import names
+from shopstream.functions.times import sortable
 from shopstream.operators import logs
 from shopstream.operators.rejects import accepted, quarantined, rejected_records
 from shopstream.session import run_dir, stage
@@ -36,8 +37,8 @@ def start_logs(
     checkpoint: str, once: bool = False,
 ) -> StreamingQuery:
     """The log job as one stream: repair, then every output, the rejected logs among them."""
-    parsed = logs.parse_log(read_topic(spark, source, names.ODS_LOG, streaming=True))
-    records = logs.log_records(devices.repair_is_new(accepted(parsed)))
+    parsed = logs.parse_log(sortable(read_topic(spark, source, names.ODS_LOG, streaming=True)))
+    records = devices.repaired_records(accepted(parsed))
     records = records.unionByName(rejected_records(parsed, names.ODS_LOG))
     return stream_records(records, target, checkpoint, once, "logs")
 

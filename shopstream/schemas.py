@@ -1,13 +1,16 @@
 """Record shapes, as Spark DDL strings."""
 
-# Money has no declared precision at the source; two decimals is our choice. It is
-# read as wide as it can be, and an amount that does not fit is no amount.
+# Money has no declared precision at the source; two decimals is our choice. It is read
+# with so many decimals, and an amount that the type cannot hold exactly is no amount.
 MONEY = "DECIMAL(16,2)"
-MONEY_READ = "DECIMAL(38,10)"
+READ_DECIMALS = 20
 
 # What a topic gives: the text of one record and its position in the topic.
 TOPIC = "value STRING, arrival BIGINT"
 
+# A record's place among those of several partitions; compares by time, then partition, then offset.
+POSITION = "STRUCT<time: BIGINT, partition: INT, offset: BIGINT>"
+
 # ``ts`` is read as text so that both 1000 and "1000" are accepted, then cast.
 APP_LOG = (
     "common STRUCT<mid: STRING, is_new: STRING>, "

@@ -47,11 +47,16 @@ def write_records(
 
     In a folder store, what a ``writer`` writes again under the same ``batch_id``
     replaces the batch in every topic it had rows in. Without a batch id the rows
-    are added. In Kafka a batch written again is there twice: at least once.
+    are added. In Kafka a batch written again is there twice: at least once. Of a
+    position over partitions a folder keeps the time.
     """
     if isinstance(store, KafkaTopics):
         records.select("topic", "value").write.format("kafka").options(**kafka_write_options(store)).save()
         return
+    kind = records.schema["arrival"].dataType.typeName()
+    if kind in ("struct", "string"):
+        time = F.col("arrival.time") if kind == "struct" else F.regexp_extract("arrival", r"^(\d{19})-", 1).try_cast("bigint")
+        records = records.withColumn("arrival", time)
     again = batch_id is not None
     folder = f"{store.root}/writer={writer or 'batch'}" if again else f"{store.root}/writer={uuid.uuid4().hex}"
     # One task per topic and share of its rows, not a file for each task and topic.

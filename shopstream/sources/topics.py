@@ -1,8 +1,8 @@
 """Topics: named sequences of text records, in Kafka or in a folder.
 
-Either way a record is ``value`` (its text) and ``arrival`` (its position). A
-device's records must share a Kafka partition, as positions of different
-partitions have no common order.
+Either way a record is ``value`` (its text) and ``arrival`` (its position): a
+number in a folder, and in Kafka the record's time, partition and offset, so that
+records of several partitions have one order.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream import schemas
+from shopstream.functions.times import position
 
 
 @dataclass(frozen=True)
@@ -54,12 +55,18 @@ def kafka_read_options(store: KafkaTopics, topic: str, streaming: bool) -> dict[
     return options
 
 
+def kafka_records(records: DataFrame) -> DataFrame:
+    """Rows as Kafka's source gives them, as ``value`` and ``arrival``."""
+    place = position(F.unix_millis("timestamp"), F.col("partition"), F.col("offset"))
+    return records.select(F.col("value").cast("string").alias("value"), place.alias("arrival"))
+
+
 def read_topic(spark: SparkSession, store: FolderTopics | KafkaTopics, topic: str, streaming: bool = False) -> DataFrame:
-    """The records of ``topic``: ``value STRING, arrival BIGINT``."""
+    """The records of ``topic``: ``value`` and ``arrival``, a BIGINT in a folder, a ``schemas.POSITION`` in Kafka."""
     reader = spark.readStream if streaming else spark.read
     if isinstance(store, KafkaTopics):
         records = reader.format("kafka").options(**kafka_read_options(store, topic, streaming)).load()
-        return records.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("arrival"))
+        return kafka_records(records)
     if streaming:
         reader = reader.option("maxFilesPerTrigger", store.max_files_per_trigger)
     records = reader.schema(schemas.TOPIC).option("basePath", store.root)

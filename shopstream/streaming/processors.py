@@ -1,79 +1,63 @@
-"""State per device for streams.
-
-Rows of a micro-batch reach a processor in no given order, so each one orders
-what it needs itself. How many rows a device has in a batch is bounded by the
-source's per-trigger limit; of those, record texts beyond ``SPILL_ROWS`` wait in
-the state store (or are dropped once of no use), not in memory.
+"""State of devices for streams, a shard of devices at a time.
+
+A processor's key is a shard, a fixed share of the devices, so that one call takes
+the rows of many devices as one table and orders them in vectors. Their state is a
+map: by device, by device and day, or by stretch of time, and a call touches only
+the entries its rows fall on. Rows of a micro-batch reach a processor in no given
+order. How many rows a shard has in a batch is bounded by the source's
+per-trigger limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import chain
-from operator import itemgetter
 
-from pyspark.sql import Row
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-SPILL_ROWS = 10_000
+HOUR_MS = 3_600_000
 
+KEPT, LATE = "kept", "late"
 
-class Spool:
-    """Rows kept in order of coming, the bulk of them in a list state."""
 
-    def __init__(self, handle: StatefulProcessorHandle, name: str) -> None:
-        self._stored = handle.getListState(name, "value STRING, arrival BIGINT, day STRING")
-        self._recent: list[tuple] = []
-        self._spilled = False
+def in_order(frames: Iterable[pd.DataFrame], *order: str) -> pd.DataFrame:
+    """All rows of a shard, ordered; rows equal in all of ``order`` stay as they came."""
+    frames = list(frames)
+    rows = pd.concat(frames, ignore_index=True) if len(frames) != 1 else frames[0]
+    return rows.sort_values(list(order), kind="stable", ignore_index=True)
 
-    def add(self, row: tuple) -> None:
-        self._recent.append(row)
-        if len(self._recent) >= SPILL_ROWS:
-            self._stored.appendList(self._recent)
-            self._recent, self._spilled = [], True
 
-    def drain(self) -> Iterator[tuple]:
-        yield from chain(self._stored.get() if self._spilled else (), self._recent)
-        if self._spilled:
-            self._stored.clear()
-        self._recent, self._spilled = [], False
+class ShardProcessor(StatefulProcessor):
+    def close(self) -> None:
+        pass
 
 
-class FirstDay(StatefulProcessor):
-    """Gives each row flagged new the day of the device's first such row.
+class FirstDay(ShardProcessor):
+    """Gives each row flagged new the day of its device's first such row, by arrival.
 
-    Input rows: mid, value, arrival, day. Once the day is known rows stream
-    through; in a device's first batch they wait for the earliest arrival.
+    Input rows: mid, arrival, day and what else is to be handed on. A device's day is kept for good.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._first = handle.getValueState("first_day", "day STRING")
-        self._spool = Spool(handle, "waiting")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        rows = ((r.value, r.arrival, r.day) for r in rows)
-        if self._first.exists():
-            first = self._first.get()[0]
-        else:
-            earliest = None
-            for row in rows:
-                if earliest is None or row[1] < earliest[1]:
-                    earliest = row
-                self._spool.add(row)
-            if earliest is None:
-                return
-            first = earliest[2]
-            self._first.update((first,))
-            rows = self._spool.drain()
-        for value, arrival, day in rows:
-            yield Row(mid=key[0], value=value, arrival=arrival, day=day, first_day=first)
+        self._first = handle.getMapState("first_day", "mid STRING", "day STRING")
 
-    def close(self) -> None:
-        pass
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        rows = in_order(rows, "mid", "arrival")
+        opening = rows.drop_duplicates("mid")
+        known = {}
+        for mid, day in zip(opening["mid"], opening["day"]):
+            found = self._first.getValue((mid,))
+            if found is None:
+                self._first.updateValue((mid,), (day,))
+            known[mid] = day if found is None else found[0]
+        rows["first_day"] = rows["mid"].map(known)
+        yield rows.drop(columns="shard")
 
 
-class DayChange(StatefulProcessor):
-    """Passes the rows whose day differs from the one the device last had.
+class DayChange(ShardProcessor):
+    """Passes the rows whose day differs from the one their device last had, by arrival.
 
     Input rows: mid, value, arrival, day. With ``ttl_ms`` the day is forgotten
     that long after it was written, by the wall clock.
@@ -83,88 +67,144 @@ class DayChange(StatefulProcessor):
         self._ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_day", "day STRING", self._ttl_ms)
-        self._spool = Spool(handle, "waiting")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = self._last.get()[0] if self._last.exists() else None
-        days = []
-        for r in rows:
-            days.append((r.arrival, len(days), r.day))
-            self._spool.add((r.value, r.arrival, r.day))
-        days.sort()
-        opening, last = set(), before
-        for _, at, day in days:
-            if day != last:
-                opening.add(at)
-                last = day
-        if opening:  # written on each opening, even if the days end where they began: that renews the expiry
-            self._last.update((last,))
-        for at, (value, arrival, day) in enumerate(self._spool.drain()):
-            if at in opening:
-                yield Row(mid=key[0], value=value, arrival=arrival, day=day)
+        self._last = handle.getMapState("last_day", "mid STRING", "day STRING", self._ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        rows = in_order(rows, "mid", "arrival")
+        mids, days = rows["mid"].to_numpy(), rows["day"].to_numpy()
+        first = np.r_[True, mids[1:] != mids[:-1]]
+        before = np.r_[[None], days[:-1]]
+        for at in np.flatnonzero(first).tolist():
+            found = self._last.getValue((mids[at],))
+            before[at] = found[0] if found else None
+        opens = days != before
+        last = np.r_[np.flatnonzero(first)[1:], len(rows)] - 1
+        # Written on each opening, even if the days end where they began: that renews the expiry.
+        for start, end in zip(np.flatnonzero(first).tolist(), last.tolist()):
+            if opens[start:end + 1].any():
+                self._last.updateValue((mids[start],), (days[end],))
+        yield rows.loc[opens, ["mid", "value", "arrival", "day"]]
+
+
+class FirstOfDay(ShardProcessor):
+    """Passes each device's first row of a day, by arrival, and the rows that come after the day is forgotten as late.
+
+    Input rows: mid, value, arrival, day, day_end. A device's day is kept until
+    the watermark passes its end, told by a timer, so rows that are late themselves
+    still count as long as their day is known.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._seen = handle.getMapState("seen", "day_end BIGINT, mid STRING", "seen BOOLEAN")
 
-    def close(self) -> None:
-        pass
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        rows = in_order(rows, "mid", "day", "arrival")
+        rows["kind"] = np.where(rows["day_end"] <= watermark, LATE, KEPT)
+        first = ~rows.duplicated(["mid", "day"]) & (rows["kind"] == KEPT)
+        for at in np.flatnonzero(first).tolist():
+            entry = (int(rows["day_end"].iat[at]), rows["mid"].iat[at])
+            if self._seen.containsKey(entry):
+                first.iat[at] = False
+            else:
+                self._seen.updateValue(entry, (True,))
+        for end in rows.loc[first, "day_end"].unique().tolist():
+            self._handle.registerTimer(end)
+        yield rows.loc[first | (rows["kind"] == LATE), ["kind", "mid", "value", "arrival"]]
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        for entry in [k for k in self._seen.keys() if k[0] <= end]:
+            self._seen.removeKey(tuple(entry))
+        yield pd.DataFrame(columns=["kind", "mid", "value", "arrival"])
 
-class Bounce(StatefulProcessor):
-    """Passes entry pages that no page of the device follows within the gap.
 
-    Input rows: mid, value (null on pages that are no entry), arrival, ts,
-    event_time. A page waits until one follows it in time, or the watermark has
-    passed its gap. Page times stay as long as an earlier page may still arrive.
+PAGE = ["mid", "ts", "arrival", "value"]
+
+
+def page_schema(kind: str) -> pa.Schema:
+    position = pa.string() if kind == "STRING" else pa.int64()
+    return pa.schema([("mid", pa.string()), ("ts", pa.int64()), ("arrival", position), ("value", pa.string())])
+
+
+def packed(pages: pd.DataFrame, schema: pa.Schema) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as writer:
+        writer.write_batch(pa.RecordBatch.from_pandas(pages[PAGE], schema, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_all().to_pandas()
+
+
+class Bounce(ShardProcessor):
+    """Passes entry pages that no page of their device follows within the gap, and late pages as such.
+
+    Input rows: mid, value, arrival, ts, entry. Pages
+    are kept by stretches of time at least as long as the gap, so new pages meet
+    those of their own stretch and the two beside it, and no others. An entry page
+    waits until a page follows it, or the watermark has passed its gap; the times
+    of pages stay as long as an earlier page may still come. A page is late if the
+    watermark has passed it.
     """
 
-    def __init__(self, gap_ms: int) -> None:
-        self._gap = gap_ms
+    def __init__(self, gap_ms: int, kind: str = "BIGINT", stretch_ms: int = HOUR_MS) -> None:
+        self._gap, self._width, self._kind = gap_ms, max(1, gap_ms, stretch_ms), kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._pages = handle.getListState("pages", "ts BIGINT, arrival BIGINT, value STRING")
+        self._pages = handle.getMapState("pages", "stretch BIGINT", "pages BINARY")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        # Spark itself drops late rows one batch later than the watermark moves.
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        arrived = ((r.ts, r.arrival, r.value) for r in rows if r.ts > watermark)
-        return self._settle(key[0], arrived, watermark)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        return self._settle(key[0], (), timerValues.getCurrentWatermarkInMs())
-
-    def _settle(self, mid: str, arrived: Iterable[tuple], watermark: int) -> Iterator[Row]:
-        pages = list(self._pages.get())
-        had_pages, limit = bool(pages), len(pages) + SPILL_ROWS
-        for page in arrived:
-            pages.append(page)
-            if len(pages) >= limit:
-                self._drop_followed(pages)
-                limit = 2 * len(pages)
-        self._drop_followed(pages)
-        kept, next_due = [], None
-        for ts, arrival, value in pages:
-            if value is not None and ts + self._gap <= watermark:
-                yield Row(mid=mid, value=value, arrival=arrival, ts=ts)
-                value = None
-            if value is not None and next_due is None:
-                next_due = ts + self._gap
-            if value is not None or ts > watermark:
-                kept.append((ts, arrival, value))
-        # One timer will do: settling then sets the one for the page after.
-        if next_due is not None:
-            self._handle.registerTimer(next_due)
-        if kept:
-            self._pages.put(kept)
-        elif had_pages:
-            self._pages.clear()
-
-    def _drop_followed(self, pages: list[tuple]) -> None:
-        """Order the pages in time and forget the texts of those followed within the gap."""
-        pages.sort(key=itemgetter(0, 1))
-        for i in range(len(pages) - 1):
-            ts, arrival, value = pages[i]
-            if value is not None and pages[i + 1][0] - ts < self._gap:
-                pages[i] = (ts, arrival, None)
-
-    def close(self) -> None:
-        pass
+        rows = pd.concat(list(rows), ignore_index=True)
+        late = (rows["ts"] <= watermark) & (watermark > 0)  # zero: there is none yet
+        yield self._out(rows[late], LATE)
+        rows["value"] = rows["value"].where(rows["entry"], None)  # the text of other pages is of no use any more
+        new = rows.loc[~late, PAGE]
+        on = np.unique(new["ts"].to_numpy(dtype=np.int64) // self._width)
+        yield self._settled(new, np.unique(np.r_[on - 1, on, on + 1]).tolist(), set(on.tolist()), watermark)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # A timer stands at the end of the gap of the first page that waits, or at the end of a stretch.
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        on = {(at - self._gap) // self._width, (at - 1) // self._width}
+        yield self._settled(pd.DataFrame(columns=PAGE), sorted(on), on, timerValues.getCurrentWatermarkInMs())
+
+    def _out(self, rows: pd.DataFrame, kind: str) -> pd.DataFrame:
+        out = rows[["mid", "value", "arrival", "ts"]].astype({"ts": "int64"} | ({"arrival": "int64"} if self._kind == "BIGINT" else {}))
+        out.insert(0, "kind", kind)
+        return out
+
+    def _settled(self, new: pd.DataFrame, near: list[int], on: set[int], watermark: int) -> pd.DataFrame:
+        """The entry pages that are due; what is left of the stretches ``near`` goes back where it changed, and ``on`` in any case."""
+        held = {}
+        for stretch in near:
+            found = self._pages.getValue((stretch,))
+            if found is not None:
+                held[stretch] = unpacked(bytes(found[0]))
+        parts = [p for p in (new, *held.values()) if len(p)]
+        if not parts:
+            return self._out(pd.DataFrame(columns=PAGE), KEPT)
+        pages = in_order(parts, "mid", "ts", "arrival")
+        mid, ts = pages["mid"].to_numpy(), pages["ts"].to_numpy(dtype=np.int64)
+        waits = pages["value"].notna().to_numpy()
+        followed = np.r_[(mid[1:] == mid[:-1]) & (ts[1:] - ts[:-1] < self._gap), False]
+        due = waits & ~followed & (ts + self._gap <= watermark)
+        left = waits & ~followed & ~due
+        out = self._out(pages[due], KEPT)
+        pages["value"] = pages["value"].where(left, None)
+        stretches = ts // self._width
+        changed = set(np.unique(stretches[waits & ~left]).tolist()) | on
+        stays = left | (ts > watermark)
+        for stretch in changed:
+            here = stays & (stretches == stretch)
+            if here.any():
+                self._pages.updateValue((stretch,), (packed(pages[here], page_schema(self._kind)),))
+                first = ts[here & left].min() + self._gap if (here & left).any() else (stretch + 1) * self._width
+                self._handle.registerTimer(int(first))
+            elif stretch in held:
+                self._pages.removeKey((stretch,))
+        return out

@@ -1,24 +1,22 @@
 import json
 import random
-import time
 from pathlib import Path
 
+import pandas as pd
 import pytest
-from pyspark.sql import Row
-from pyspark.sql import functions as F
 
 from conftest import log
 from shopstream import names, schemas
-from shopstream.functions.times import DAY_MS
+from shopstream.functions.times import DAY_MS, position
 from shopstream.operators import logs, orders, visits
 from shopstream.operators.rejects import accepted
 from shopstream.plans import logs as log_plan
 from shopstream.plans import orders as order_plan
 from shopstream.plans import visits as visit_plan
 from shopstream.session import stream_session
-from shopstream.sinks.topics import topic_records, write_records
+from shopstream.sinks.topics import stream_records, topic_records, write_records
 from shopstream.sources.topics import FolderTopics, read_topic, read_topics
-from shopstream.streaming import processors
+from shopstream.streaming import devices, processors
 
 
 @pytest.fixture
@@ -60,8 +58,7 @@ def random_logs(n, days=4):
     ]
 
 
-def test_log_stream_equals_batch(spark, streams, feed, tmp_path, monkeypatch):
-    monkeypatch.setattr(processors, "SPILL_ROWS", 7)
+def test_log_stream_equals_batch(spark, streams, feed, tmp_path):
     records = random_logs(90)
     source = feed(names.ODS_LOG, records[:30], ["no json"], records[30:60], records[60:])
     target = FolderTopics(str(tmp_path / "out"))
@@ -92,24 +89,38 @@ def test_visit_stream_equals_batch(spark, streams, feed, tmp_path):
         visit_plan.start_unique_visit(streams, source, target, str(tmp_path / "s2"), once=True)
 
 
-def test_visit_stream_with_expiry_runs_until_stopped(spark, streams, feed, tmp_path):
+def test_visit_stream_with_expiry_ends_by_its_progress(spark, streams, feed, tmp_path):
     source = feed(names.PAGE_LOG, [log(ts=0), log(ts=1), log(ts=DAY_MS)], [log(ts=DAY_MS + 1), log("b", 5)])
     target = FolderTopics(str(tmp_path / "out"))
-    query = visit_plan.start_unique_visit(streams, source, target, str(tmp_path / "state"))
-    # Wall-clock expiry makes a batch of every trigger, so the stream is never idle.
-    deadline = time.time() + 90
-    while len(written(spark, target)) < 3 and time.time() < deadline and query.isActive:
-        time.sleep(1)
-    query.stop()
+    assert visit_plan.run_until_idle(visit_plan.start_unique_visit(streams, source, target, str(tmp_path / "state"))) == 2
     assert sorted(r.arrival for r in out(spark, target, names.UNIQUE_VISIT)) == [0, 2, 4]
 
 
-def test_daily_visit_stream_gives_each_day_once(spark, streams, feed, tmp_path):
+def test_a_day_expires_by_the_wall_clock(spark, streams, feed, tmp_path, monkeypatch):
+    monkeypatch.setattr(devices, "DAY_MS", 1)
+    source = feed(names.PAGE_LOG, [log(ts=0)], [log(ts=1)])
+    target = FolderTopics(str(tmp_path / "out"))
+    visit_plan.run_until_idle(visit_plan.start_unique_visit(streams, source, target, str(tmp_path / "state")))
+    assert sorted(r.arrival for r in out(spark, target, names.UNIQUE_VISIT)) == [0, 1]
+
+
+def daily(spark, streams, source, tmp_path, **how):
+    target = FolderTopics(str(tmp_path / "out"))
+    visit_plan.start_unique_visit(streams, source, target, str(tmp_path / "state"), "daily", once=True, **how).awaitTermination()
+    late = [json.loads(r.value) for r in out(spark, target, names.REJECTED)] if list(Path(target.root).glob("*/topic=rejected*")) else []
+    return sorted(r.arrival for r in out(spark, target, names.UNIQUE_VISIT)), [r["reject_reason"] for r in late]
+
+
+def test_daily_visit_stream_keeps_the_first_of_each_day(spark, streams, feed, tmp_path):
     days = [log(m, d * DAY_MS + i) for i, (m, d) in enumerate([("a", 0), ("a", 0), ("b", 0), ("a", 1), ("a", 1), ("b", 1)])]
     source = feed(names.PAGE_LOG, days[:2], days[2:4], days[4:])
-    target = FolderTopics(str(tmp_path / "out"))
-    visit_plan.start_unique_visit(streams, source, target, str(tmp_path / "state"), "daily", once=True).awaitTermination()
-    assert len(out(spark, target, names.UNIQUE_VISIT)) == 4
+    assert daily(spark, streams, source, tmp_path) == ([0, 2, 3, 5], [])
+
+
+def test_a_late_entry_counts_while_its_day_is_known(spark, streams, feed, tmp_path):
+    # The watermark is at the end of day 2 when day 1 comes again: for "a" it is forgotten, and late.
+    steps = [[log("a", DAY_MS + 5)], [log("z", 3 * DAY_MS + 1)], [log("a", DAY_MS + 9), log("b", 3 * DAY_MS - 9)], [log("b", 3 * DAY_MS - 8)]]
+    assert daily(spark, streams, feed(names.PAGE_LOG, *steps), tmp_path, delay="1 hour") == ([0, 1, 3], ["late"])
 
 
 def jumps(spark, streams, source, tmp_path):
@@ -118,8 +129,7 @@ def jumps(spark, streams, source, tmp_path):
     return sorted(r.arrival for r in out(spark, target, names.USER_JUMP))
 
 
-def test_jump_stream_equals_batch_so_far(spark, streams, feed, tmp_path, monkeypatch):
-    monkeypatch.setattr(processors, "SPILL_ROWS", 5)
+def test_jump_stream_equals_batch_so_far(spark, streams, feed, tmp_path):
     random.seed(11)
     # Unordered within a step, never behind the watermark across steps.
     steps = [
@@ -132,10 +142,75 @@ def test_jump_stream_equals_batch_so_far(spark, streams, feed, tmp_path, monkeyp
     assert jumps(spark, streams, source, tmp_path) == want and want
 
 
-def test_jump_stream_drops_late_pages(spark, streams, feed, tmp_path):
+def test_late_pages_are_told_and_counted(spark, streams, feed, tmp_path):
     # The third page would cancel the first bounce, but comes after the watermark has passed it.
-    source = feed(names.PAGE_LOG, [log("a", 1)], [log("b", 60_000)], [log("a", 5_000, last="x"), log("b", 90_000, last="x")], [log("c", 200_000)])
-    assert jumps(spark, streams, source, tmp_path) == [0, 1]
+    steps = [[log("a", 1)], [log("b", 60_000)], [log("a", 5_000, last="x"), log("b", 90_000, last="x")], [log("c", 200_000)]]
+    source, target = feed(names.PAGE_LOG, *steps), FolderTopics(str(tmp_path / "out"))
+    query = visit_plan.start_jump_detail(streams, source, target, str(tmp_path / "state"), once=True)
+    query.awaitTermination()
+    assert sorted(r.arrival for r in out(spark, target, names.USER_JUMP)) == [0, 1]
+    late = out(spark, target, names.REJECTED)
+    assert [(r.arrival, json.loads(json.loads(r.value)["value"])["ts"]) for r in late] == [(2, 5_000)]
+    counts = [p.observedMetrics[names.USER_JUMP].asDict() for p in query.recentProgress if p.observedMetrics]
+    assert sum(c["kept"] for c in counts) == 2 and sum(c["late"] for c in counts) == 1
+
+
+def test_jump_stream_with_pages_across_stretches(spark, streams, feed, tmp_path, monkeypatch):
+    monkeypatch.setattr(processors.Bounce.__init__, "__defaults__", ("BIGINT", 10_000))
+    random.seed(12)
+    steps = [[log(random.choice("aab"), base + random.randrange(90_000), last=random.choice([None, "x"])) for _ in range(40)] for base in (0, 90_000, 180_000)]
+    source = feed(names.PAGE_LOG, *steps)
+    pages = accepted(logs.parse_log(read_topic(spark, source, names.PAGE_LOG)))
+    assert jumps(spark, streams, source, tmp_path) == sorted(r.arrival for r in visits.jump_detail(pages, complete=False).collect())
+
+
+def test_positions_over_partitions(spark, streams, tmp_path):
+    """Visits, bounces and flags of records dealt to partitions whose offsets overlap, by batch and by stream."""
+    random.seed(3)
+    records = [log(random.choice("aab"), i * 4_000_000, last=random.choice([None, "x"]), is_new="1") for i in range(60)]
+    rows = [(json.dumps(r), r["ts"] // 8_000_000, i % 3, 1000 - 900 * (i % 3) + i) for i, r in enumerate(records)]
+    raw = spark.createDataFrame(rows, "value STRING, time BIGINT, partition INT, offset BIGINT")
+    raw = raw.select("value", position(raw["time"], raw["partition"], raw["offset"]).alias("arrival"))
+    for i, part in enumerate(("arrival.time < 10", "arrival.time >= 10")):
+        raw.where(part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    one = spark.createDataFrame([(r[0], i) for i, r in enumerate(sorted(rows, key=lambda r: r[1:]))], schemas.TOPIC)
+    read = [accepted(logs.parse_log(df)) for df in (raw, one)]
+    def texts(df):
+        return sorted(r.value for r in df.select("value").collect())
+    for operator in (visits.unique_visit, visits.jump_detail, logs.repair_is_new):
+        assert texts(operator(read[0])) == texts(operator(read[1]))
+    source = streams.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    pages, target = accepted(logs.parse_log(source)), FolderTopics(str(tmp_path / "out"))
+    for name, seen in (("visits", devices.unique_visit(pages, ttl=False)), ("daily", devices.unique_visit(pages, "daily"))):
+        stream_records(devices.visit_records(seen, name, "in"), target, str(tmp_path / name), once=True, name=name).awaitTermination()
+    stream_records(devices.visit_records(devices.jump_detail(pages), "jumps", "in"), target, str(tmp_path / "j"), once=True, name="j").awaitTermination()
+    stream_records(devices.repaired_records(pages), target, str(tmp_path / "r"), once=True, name="r").awaitTermination()
+    assert sorted(r.value for r in out(spark, target, "visits")) == texts(visits.unique_visit(read[1]))
+    assert sorted(r.value for r in out(spark, target, "daily")) == texts(visits.unique_visit(read[1], "daily"))
+    assert sorted(r.value for r in out(spark, target, "jumps")) == texts(visits.jump_detail(read[1], complete=False))
+    assert sorted(r.value for r in out(spark, target, names.PAGE_LOG)) == texts(logs.repair_is_new(read[1]))
+
+
+def test_the_order_stream_forgets_what_can_match_no_more(spark, streams, feed, tmp_path):
+    def at(s):
+        return f"2021-01-01 {s // 3600:02}:{s // 60 % 60:02}:{s % 60:02}"
+
+    seconds = [60 * i for i in range(120)]
+    steps = [[{"id": s, "create_time": at(s), "user_id": 1} for s in seconds[i:i + 30]] for i in range(0, 120, 30)]
+    source = feed(names.ORDER_INFO, *steps)
+    feed(names.ORDER_DETAIL, *[[{"id": r["id"], "order_id": r["id"], "create_time": r["create_time"], "sku_num": 2} for r in step] for step in steps])
+    wide = order_plan.stream_order_wide(streams, source, "second", delay="10 minutes")
+    state = str(tmp_path / "state")
+    writer = wide.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
+    writer.format("parquet").start(str(tmp_path / "out")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 120
+    for side, keeps in (("left", {"user_id", "total_amount"}), ("right", {"sku_num"})):
+        held = spark.read.format("statestore").option("joinSide", side).load(state).select("value.*")
+        names_held = {c.removeprefix("_extract_") for c in held.columns}
+        at = next(c for c in held.columns if c.endswith("_time") and "create" not in c)
+        times = [r[0].timestamp() % 86400 for r in held.select(at).collect()]
+        assert times and min(times) >= seconds[-1] - 600 - 5 - 60
+        assert keeps <= names_held and not {"value", "arrival", "expire_time", "create_hour"} & names_held
 
 
 def test_order_stream_equals_batch(spark, streams, feed, tmp_path):
@@ -187,29 +262,23 @@ class Store:
     """What a day-change processor asks of its state."""
 
     def __init__(self):
-        self.value, self.writes = None, 0
+        self.held, self.writes = {}, 0
 
-    def getValueState(self, *_):
+    def getMapState(self, *_):
         return self
 
-    def getListState(self, *_):
-        return self
-
-    def exists(self):
-        return self.value is not None
-
-    def get(self):
-        return self.value
+    def getValue(self, key):
+        return self.held.get(key)
 
-    def update(self, value):
-        self.value, self.writes = value, self.writes + 1
+    def updateValue(self, key, value):
+        self.held[key], self.writes = value, self.writes + 1
 
 
 def test_expiry_is_renewed_by_each_opening():
     store = Store()
     change = processors.DayChange(DAY_MS)
     change.init(store)
-    rows = [Row(value="v", arrival=i, day=d) for i, d in enumerate(["d1", "d2", "d1"])]
-    assert len(list(change.handleInputRows(("a",), iter(rows[:1]), None))) == 1
-    assert len(list(change.handleInputRows(("a",), iter(rows[1:]), None))) == 2
-    assert store.value == ("d1",) and store.writes == 2
+    rows = pd.DataFrame([{"mid": m, "value": "v", "arrival": i, "day": d} for i, (m, d) in enumerate([("a", "d1"), ("a", "d2"), ("a", "d1"), ("b", "d9")])])
+    assert len(next(change.handleInputRows((0,), iter([rows[:1]]), None))) == 1
+    assert len(next(change.handleInputRows((0,), iter([rows[1:]]), None))) == 3
+    assert store.held == {("a",): ("d1",), ("b",): ("d9",)} and store.writes == 3

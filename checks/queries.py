@@ -25,6 +25,7 @@ HOUR_MS = 3_600_000
 STREAM_PARTITIONS = 8
 STREAM_STEPS = 3
 STREAM_FILES = 4
+SHARDS = 4 * STREAM_PARTITIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -409,7 +410,7 @@ def stream_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, path = _stream(spark)
     source, target = FolderTopics(f"{path}/in", STREAM_FILES), FolderTopics(f"{path}/out")
     feed_topic(session, inputs.app_logs(session, sf_dir, disordered=True), source, names.ODS_LOG)
-    log_plan.start_logs(session, source, target, f"{path}/state", once=True).awaitTermination()
+    log_plan.start_logs(session, source, target, f"{path}/state", once=True, shards=SHARDS).awaitTermination()
     return record_columns(read_topics(spark, target))
 
 
@@ -425,7 +426,7 @@ def _stream_visits(mode: str) -> Query:
         session, path = _stream(spark)
         source, target = page_topic(session, sf_dir, path, disordered=True), FolderTopics(f"{path}/out")
         stream = visit_plan.start_unique_visit(
-            session, source, target, f"{path}/state", mode, ttl=False, delay="7 days", once=True
+            session, source, target, f"{path}/state", mode, ttl=False, delay="7 days", once=True, shards=SHARDS
         )
         stream.awaitTermination()
         seen = accepted(logs.parse_log(read_topics(spark, target)))
@@ -438,7 +439,7 @@ def stream_unique_visit_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits by a stream whose state expires by the wall clock, run until it has taken all pages."""
     session, path = _stream(spark)
     source, target = page_topic(session, sf_dir, path, disordered=True), FolderTopics(f"{path}/out")
-    visit_plan.run_until_idle(visit_plan.start_unique_visit(session, source, target, f"{path}/state"))
+    visit_plan.run_until_idle(visit_plan.start_unique_visit(session, source, target, f"{path}/state", shards=SHARDS))
     seen = accepted(logs.parse_log(read_topic(spark, target, names.UNIQUE_VISIT)))
     return visit_columns(seen.withColumn("visit_date", F.to_date(F.timestamp_millis("ts"))))
 
@@ -454,7 +455,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = pages.agg(F.min("ts"), F.max("ts") + 1).first()
     comes = F.when(F.col("arrival") % 50 == 0, span[1]).otherwise(F.get_json_object("value", "$.ts").cast("bigint"))
     for _ in fed_steps(session, pages.select("value", "arrival"), source, names.PAGE_LOG, comes, span):
-        visit_plan.start_jump_detail(session, source, target, f"{path}/state", once=True).awaitTermination()
+        visit_plan.start_jump_detail(session, source, target, f"{path}/state", once=True, shards=SHARDS).awaitTermination()
     late = F.get_json_object("value", "$.reject_reason")
     return read_topics(spark, target).select("topic", "arrival", F.when(F.col("topic") == names.REJECTED, late).alias("reject_reason"))
 
@@ -462,7 +463,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_jump_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, path = _stream(spark)
     source, target = page_topic(session, sf_dir, path, disordered=False), FolderTopics(f"{path}/out")
-    visit_plan.start_jump_detail(session, source, target, f"{path}/state", once=True).awaitTermination()
+    visit_plan.start_jump_detail(session, source, target, f"{path}/state", once=True, shards=SHARDS).awaitTermination()
     return page_columns(accepted(logs.parse_log(read_topics(spark, target)))).drop("last_page_id")
 
 
@@ -489,11 +490,11 @@ def two_jobs_one_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, path = _stream(spark)
     store, whole = (FolderTopics(f"{path}/topics", files) for files in (STREAM_FILES, 1000))
     feed_topic(session, inputs.app_logs(session, sf_dir), store, names.ODS_LOG)
-    log_plan.start_logs(session, store, store, f"{path}/logs", once=True).awaitTermination()
+    log_plan.start_logs(session, store, store, f"{path}/logs", once=True, shards=SHARDS).awaitTermination()
     # Micro-batches that take whole batches of the log stream, whose files have no order among them.
-    visit_plan.start_unique_visit(session, whole, store, f"{path}/visits", ttl=False, once=True).awaitTermination()
+    visit_plan.start_unique_visit(session, whole, store, f"{path}/visits", ttl=False, once=True, shards=SHARDS).awaitTermination()
     write_facts(cdc.route_cdc(clean_changes(spark, sf_dir), inputs.rules(spark)).fact, store, batch_id=0)
-    visit_plan.start_jump_detail(session, whole, store, f"{path}/jumps", once=True).awaitTermination()
+    visit_plan.start_jump_detail(session, whole, store, f"{path}/jumps", once=True, shards=SHARDS).awaitTermination()
     return read_topics(spark, store).where(F.col("topic") != names.ODS_LOG).select("topic", "arrival")
 
 
@@ -503,7 +504,7 @@ def repair_rough_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rough = inputs.rough_logs(session, sf_dir)
     source, target = FolderTopics(f"{path}/in", STREAM_FILES), FolderTopics(f"{path}/out")
     feed_topic(session, rough, source, names.ODS_LOG)
-    log_plan.start_logs(session, source, target, f"{path}/state", once=True).awaitTermination()
+    log_plan.start_logs(session, source, target, f"{path}/state", once=True, shards=SHARDS).awaitTermination()
     streamed = read_topics(spark, target).where(F.col("topic").isin(names.START_LOG, names.PAGE_LOG))
     batch = logs.repair_is_new(accepted(logs.parse_log(inputs.rough_logs(spark, sf_dir))))
 

@@ -34,11 +34,11 @@ def run_logs(
 
 def start_logs(
     spark: SparkSession, source: FolderTopics | KafkaTopics, target: FolderTopics | KafkaTopics,
-    checkpoint: str, once: bool = False,
+    checkpoint: str, once: bool = False, shards: int = devices.SHARDS,
 ) -> StreamingQuery:
     """The log job as one stream: repair, then every output, the rejected logs among them."""
     parsed = logs.parse_log(sortable(read_topic(spark, source, names.ODS_LOG, streaming=True)))
-    records = devices.repaired_records(accepted(parsed))
+    records = devices.repaired_records(accepted(parsed), shards)
     records = records.unionByName(rejected_records(parsed, names.ODS_LOG))
     return stream_records(records, target, checkpoint, once, "logs")
 

@@ -42,13 +42,13 @@ def run_visits(
 
 def start_unique_visit(
     spark: SparkSession, source: Store, target: Store, checkpoint: str, mode: str = "exact",
-    ttl: bool = True, delay: str = "1 day", once: bool = False,
+    ttl: bool = True, delay: str = "1 day", once: bool = False, shards: int = devices.SHARDS,
 ) -> StreamingQuery:
     """``once`` needs ``ttl=False``: a stream with wall-clock expiry runs on by design."""
     if once and ttl and mode == "exact":
         raise ValueError("a stream with wall-clock expiry does not end; pass ttl=False")
     parsed = page_logs(spark, source, streaming=True)
-    seen = devices.unique_visit(accepted(parsed), mode, ttl, delay)
+    seen = devices.unique_visit(accepted(parsed), mode, ttl, delay, shards)
     records = devices.visit_records(seen, names.UNIQUE_VISIT, names.PAGE_LOG)
     records = records.unionByName(rejected_records(parsed, names.PAGE_LOG))
     return stream_records(records, target, checkpoint, once, "unique_visit")
@@ -72,8 +72,8 @@ def run_until_idle(query: StreamingQuery, wait: float = 0.5) -> int:
 
 
 def start_jump_detail(
-    spark: SparkSession, source: Store, target: Store, checkpoint: str, once: bool = False
+    spark: SparkSession, source: Store, target: Store, checkpoint: str, once: bool = False, shards: int = devices.SHARDS,
 ) -> StreamingQuery:
     """Late pages go to the rejects topic; pages it cannot use are those of the visit stream, which keeps them."""
-    jumps = devices.jump_detail(accepted(page_logs(spark, source, streaming=True)))
+    jumps = devices.jump_detail(accepted(page_logs(spark, source, streaming=True)), shards=shards)
     return stream_records(devices.visit_records(jumps, names.USER_JUMP, names.PAGE_LOG), target, checkpoint, once, "jump_detail")

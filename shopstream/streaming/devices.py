@@ -17,7 +17,7 @@ from shopstream.operators.logs import is_start, shown_records
 from shopstream.operators.visits import BOUNCE_GAP_MS, timed_pages
 from shopstream.streaming.processors import KEPT, LATE, Bounce, DayChange, FirstDay, FirstOfDay
 
-# At least as many as the tasks that a stream's state is to be spread over.
+# Some times the tasks that a stream's state is to be spread over; more only cost calls.
 SHARDS = 256
 
 

@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-HOUR_MS = 3_600_000
+from shopstream.functions.times import DAY_MS
 
 KEPT, LATE = "kept", "late"
 
@@ -142,20 +142,21 @@ def unpacked(data: bytes) -> pd.DataFrame:
 class Bounce(ShardProcessor):
     """Passes entry pages that no page of their device follows within the gap, and late pages as such.
 
-    Input rows: mid, value, arrival, ts, entry. Pages
-    are kept by stretches of time at least as long as the gap, so new pages meet
-    those of their own stretch and the two beside it, and no others. An entry page
-    waits until a page follows it, or the watermark has passed its gap; the times
-    of pages stay as long as an earlier page may still come. A page is late if the
-    watermark has passed it.
+    Input rows: mid, value, arrival, ts, entry. Pages are kept by stretches of
+    time at least as long as the gap, so new pages meet those of their own stretch
+    and the two beside it, and no others. An entry page waits until a page follows
+    it, or the watermark has passed its gap; the times of pages stay as long as an
+    earlier page may still come. A shard has one timer, for the first page of it
+    that waits or goes. A page is late if the watermark has passed it.
     """
 
-    def __init__(self, gap_ms: int, kind: str = "BIGINT", stretch_ms: int = HOUR_MS) -> None:
+    def __init__(self, gap_ms: int, kind: str = "BIGINT", stretch_ms: int = DAY_MS) -> None:
         self._gap, self._width, self._kind = gap_ms, max(1, gap_ms, stretch_ms), kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._pages = handle.getMapState("pages", "stretch BIGINT", "pages BINARY")
+        self._next = handle.getValueState("next", "at BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
@@ -165,21 +166,38 @@ class Bounce(ShardProcessor):
         rows["value"] = rows["value"].where(rows["entry"], None)  # the text of other pages is of no use any more
         new = rows.loc[~late, PAGE]
         on = np.unique(new["ts"].to_numpy(dtype=np.int64) // self._width)
-        yield self._settled(new, np.unique(np.r_[on - 1, on, on + 1]).tolist(), set(on.tolist()), watermark)
+        due, at = self._settled(new, np.unique(np.r_[on - 1, on, on + 1]).tolist(), set(on.tolist()), watermark)
+        self._wake(at, self._next.get()[0] if self._next.exists() else None)
+        yield due
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # A timer stands at the end of the gap of the first page that waits, or at the end of a stretch.
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        on = {(at - self._gap) // self._width, (at - 1) // self._width}
-        yield self._settled(pd.DataFrame(columns=PAGE), sorted(on), on, timerValues.getCurrentWatermarkInMs())
+        watermark = timerValues.getCurrentWatermarkInMs()
+        stretches = [k[0] for k in self._pages.keys()]
+        begun = [x for x in stretches if x * self._width <= watermark]
+        due, at = self._settled(pd.DataFrame(columns=PAGE), begun, set(begun), watermark)
+        later = [x * self._width + self._gap for x in stretches if x * self._width > watermark]
+        self._next.clear()
+        self._wake(min([*later, *([] if at is None else [at])], default=None), None)
+        yield due
+
+    def _wake(self, at: int | None, before: int | None) -> None:
+        """Sets the shard's timer to ``at`` unless it stands earlier already."""
+        if at is not None and (before is None or at < before):
+            if before is not None:
+                self._handle.deleteTimer(before)
+            self._handle.registerTimer(at)
+            self._next.update((at,))
 
     def _out(self, rows: pd.DataFrame, kind: str) -> pd.DataFrame:
         out = rows[["mid", "value", "arrival", "ts"]].astype({"ts": "int64"} | ({"arrival": "int64"} if self._kind == "BIGINT" else {}))
         out.insert(0, "kind", kind)
         return out
 
-    def _settled(self, new: pd.DataFrame, near: list[int], on: set[int], watermark: int) -> pd.DataFrame:
-        """The entry pages that are due; what is left of the stretches ``near`` goes back where it changed, and ``on`` in any case."""
+    def _settled(self, new: pd.DataFrame, near: list[int], on: set[int], watermark: int) -> tuple[pd.DataFrame, int | None]:
+        """The entry pages that are due, and when the next page of the stretches ``near`` will be due or go.
+
+        What is left of the stretches goes back where it changed, and ``on`` in any case.
+        """
         held = {}
         for stretch in near:
             found = self._pages.getValue((stretch,))
@@ -187,7 +205,7 @@ class Bounce(ShardProcessor):
                 held[stretch] = unpacked(bytes(found[0]))
         parts = [p for p in (new, *held.values()) if len(p)]
         if not parts:
-            return self._out(pd.DataFrame(columns=PAGE), KEPT)
+            return self._out(pd.DataFrame(columns=PAGE), KEPT), None
         pages = in_order(parts, "mid", "ts", "arrival")
         mid, ts = pages["mid"].to_numpy(), pages["ts"].to_numpy(dtype=np.int64)
         waits = pages["value"].notna().to_numpy()
@@ -197,14 +215,12 @@ class Bounce(ShardProcessor):
         out = self._out(pages[due], KEPT)
         pages["value"] = pages["value"].where(left, None)
         stretches = ts // self._width
-        changed = set(np.unique(stretches[waits & ~left]).tolist()) | on
         stays = left | (ts > watermark)
-        for stretch in changed:
+        for stretch in set(np.unique(stretches[waits & ~left]).tolist()) | on:
             here = stays & (stretches == stretch)
             if here.any():
                 self._pages.updateValue((stretch,), (packed(pages[here], page_schema(self._kind)),))
-                first = ts[here & left].min() + self._gap if (here & left).any() else (stretch + 1) * self._width
-                self._handle.registerTimer(int(first))
             elif stretch in held:
                 self._pages.removeKey((stretch,))
-        return out
+        ends = np.where(left, ts + self._gap, (stretches + 1) * self._width)[stays]
+        return out, int(ends.min()) if len(ends) else None

@@ -151,32 +151,57 @@ WARC = """
 
 
 # Works on the turns before they are made mails: a mail's outer quote is the turn before, the inner one that before it.
+# Every quoted text meets every earlier turn that says it.
 QUOTES = r"""
-    WITH RECURSIVE lines AS (
-        SELECT conv_id, turn, md5(plain) AS hash FROM (
-            SELECT conv_id, turn, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS plain
-            FROM (SELECT conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM conversations)
-        ) WHERE plain <> ''
-    )
-    , originals AS (SELECT conv_id, hash, min(turn) AS original FROM lines GROUP BY conv_id, hash)
-    , links AS (
-        SELECT c.conv_id, c.turn, back.n AS level, o.original, count(*) AS lines
-        FROM conversations c, (VALUES (1), (2)) back(n)
-        JOIN lines l ON l.conv_id = c.conv_id AND l.turn = c.turn - back.n
-        JOIN originals o ON o.conv_id = l.conv_id AND o.hash = l.hash
-        WHERE o.original < c.turn GROUP BY ALL
+    WITH RECURSIVE turns AS (SELECT conv_id, turn, min(coalesce(text, '')) AS quoted_text FROM conversations GROUP BY ALL)
+    , own_lines AS (
+        SELECT conv_id, turn, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)),
+            lambda l: lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g')))), lambda l: l <> '') AS lines
+        FROM conversations
+    )
+    , said AS (
+        SELECT DISTINCT conv_id, turn, unnest(list_append(lines, array_to_string(lines, ' '))) AS words FROM own_lines WHERE len(lines) > 0
+    )
+    , quotes AS (
+        SELECT c.conv_id, c.turn, back.n AS level, list_filter(list_transform(string_split(q.quoted_text, chr(10)),
+            lambda l: lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g')))), lambda l: l <> '') AS lines
+        FROM (SELECT DISTINCT conv_id, turn FROM conversations) c, (VALUES (1), (2)) back(n)
+        JOIN turns q ON q.conv_id = c.conv_id AND q.turn = c.turn - back.n
+    )
+    , units AS (
+        SELECT conv_id, turn, level, words, CAST(sum(passage) AS BIGINT) AS passages, CAST(sum(line) AS BIGINT) AS lines FROM (
+            SELECT conv_id, turn, level, array_to_string(lines, ' ') AS words, 1 AS passage, 0 AS line FROM quotes WHERE len(lines) > 0
+            UNION ALL SELECT conv_id, turn, level, unnest(lines), 0, 1 FROM quotes
+        ) GROUP BY ALL
+    )
+    , scored AS (
+        SELECT u.conv_id, u.turn, u.level, s.turn AS original, sum(u.passages) AS passages, sum(u.lines) AS lines
+        FROM units u JOIN said s ON s.conv_id = u.conv_id AND s.words = u.words AND s.turn < u.turn GROUP BY ALL
+    )
+    , originals AS (
+        SELECT conv_id, turn, level, original FROM scored
+        QUALIFY row_number() OVER (PARTITION BY conv_id, turn, level ORDER BY passages DESC, lines DESC, original DESC) = 1
+    )
+    , told AS (
+        SELECT o.conv_id, o.original AS turn, i.original, count(*) AS n
+        FROM originals o JOIN originals i ON i.conv_id = o.conv_id AND i.turn = o.turn AND i.level = o.level + 1 AND i.original < o.original
+        GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY o.conv_id, o.original ORDER BY n DESC, i.original DESC) = 1
     )
     , parents AS (
-        SELECT conv_id, turn, original AS parent FROM links WHERE level = 1
-        QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY lines DESC, original DESC) = 1
+        SELECT conv_id, turn, coalesce(d.original, t.original) AS parent
+        FROM (SELECT * FROM originals WHERE level = 1) d FULL JOIN told t USING (conv_id, turn)
     )
     , walk AS (
-        SELECT c.conv_id, c.turn, c.turn AS here, 0 AS depth FROM conversations c
+        SELECT conv_id, turn, turn AS here, 0 AS depth FROM turns
         UNION ALL
         SELECT w.conv_id, w.turn, p.parent, w.depth + 1 FROM walk w JOIN parents p ON p.conv_id = w.conv_id AND p.turn = w.here
     )
     , tops AS (SELECT conv_id, turn, arg_max(here, depth) AS root, max(depth) AS depth FROM walk GROUP BY conv_id, turn)
-    , counts AS (SELECT conv_id, turn, CAST(sum(lines) AS BIGINT) AS quoted FROM links GROUP BY conv_id, turn)
+    , counts AS (
+        SELECT u.conv_id, u.turn, CAST(sum(u.lines) AS BIGINT) AS quoted FROM units u
+        WHERE EXISTS (SELECT 1 FROM said s WHERE s.conv_id = u.conv_id AND s.words = u.words AND s.turn < u.turn)
+        GROUP BY ALL
+    )
     SELECT conv_id, turn, role, coalesce(text, '') AS text, parent, root, depth, coalesce(quoted, 0) AS quoted
     FROM conversations LEFT JOIN parents USING (conv_id, turn) JOIN tops USING (conv_id, turn) LEFT JOIN counts USING (conv_id, turn)
 """

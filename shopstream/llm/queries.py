@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.llm import bpe, gnat, grace, hnsw, packing, projection, quality, quotes, reputation, secrets, simhash, warc, whitening
+from shopstream.llm.common import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +28,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations hold no quotes, so their turns are made mails first, which quote the two turns before them."""
-    mails = quotes.as_mails(table(spark, sf_dir, "conversations"))
+    mails = staged(quotes.as_mails(table(spark, sf_dir, "conversations")))
     found = quotes.reply_conversations(mails)
     return found.select("conv_id", "turn", "role", "text", "parent", "root", "depth", "quoted")
 

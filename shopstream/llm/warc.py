@@ -119,12 +119,11 @@ def _parsed(piece: Column) -> dict[str, Column]:
     }
 
 
-def candidates(pieces: DataFrame) -> DataFrame:
-    """A narrow row for each piece: place, offset in the file, the offset its successor must have, and its fields."""
-    found = pieces.select("file", "block", "seq", F.octet_length("piece").alias("size"), "piece").select(
-        "file", "block", "seq", "size", *[c.alias(n) for n, c in _parsed(F.col("piece")).items()],
-    )
-    found = staged(found)
+def _with_offset(found: DataFrame) -> DataFrame:
+    """``found``, one row for each piece of one and the same reading, with the byte of the file at which its version line starts.
+
+    Splits and numbers are those of a reading: another one may cut the files elsewhere. Offsets stay.
+    """
     step = F.col("size") + len(VERSION)
     blocks = found.groupBy("file", "block").agg(F.sum(step).alias("total"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -132,9 +131,17 @@ def candidates(pieces: DataFrame) -> DataFrame:
     in_block = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     placed = found.withColumn("shift", F.coalesce(F.sum(step).over(in_block), F.lit(0))).join(blocks, ["file", "block"])
     # A piece starts behind its version line; the first of a file has none, being what comes before the first record.
-    placed = placed.withColumn("offset", F.col("base") + F.col("shift") - len(VERSION))
+    return placed.withColumn("offset", F.col("base") + F.col("shift") - len(VERSION)).drop("base", "shift")
+
+
+def candidates(pieces: DataFrame) -> DataFrame:
+    """A narrow row for each piece: place, offset in the file, the offset its successor must have, and its fields."""
+    found = pieces.select("file", "block", "seq", F.octet_length("piece").alias("size"), "piece").select(
+        "file", "block", "seq", "size", *[c.alias(n) for n, c in _parsed(F.col("piece")).items()],
+    )
+    placed = _with_offset(staged(found))
     following = F.col("offset") + len(VERSION) + F.col("head_bytes") + 2 * len(END) + F.col("length")
-    return staged(placed.withColumn("next", following).drop("base", "shift"))
+    return staged(placed.withColumn("next", following))
 
 
 # -- chains ------------------------------------------------------------------
@@ -175,17 +182,26 @@ def reachable(found: DataFrame) -> DataFrame:
     return found.join(kept, ["file", "block", "seq"])
 
 
-def _rejoined(pieces: DataFrame, found: DataFrame, kept: DataFrame) -> DataFrame:
-    """The kept records that false boundaries cut, put together again and parsed. A group is one record."""
+def _rejoined(spark: SparkSession, folder: str, found: DataFrame, kept: DataFrame) -> DataFrame:
+    """The kept records that false boundaries cut, put together again and parsed. A group is one record.
+
+    The files that hold such records are read once more, and what is read is
+    written, so that its pieces and their offsets belong together; offsets then
+    tell which pieces are meant, wherever this reading was split.
+    """
     last = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
-    owners = kept.select("file", "block", "seq", F.col("offset").alias("own"), F.col("whole").alias("own_whole"))
-    parts = (
-        found.select("file", "block", "seq", "offset").join(owners, ["file", "block", "seq"], "left")
-        .withColumn("owner", F.last(F.when(F.col("own").isNotNull(), F.struct("own", "own_whole")), True).over(last))
-        .where("NOT owner.own_whole").select("file", "block", "seq", "offset", F.col("owner.own").alias("owner"))
+    owners = kept.select("file", F.col("offset").alias("own"), F.col("whole").alias("own_whole"))
+    parts = staged(
+        found.select("file", "offset").join(owners, (F.col("offset") == F.col("own")) & (found["file"] == owners["file"]), "left")
+        .select(found["file"], "offset", F.when(F.col("own").isNotNull(), F.struct("own", "own_whole")).alias("owner"))
+        .withColumn("owner", F.last("owner", True).over(last))
+        .where("NOT owner.own_whole").select("file", "offset", F.col("owner.own").alias("owner"))
     )
+    again = staged(_pieces(spark, folder).join(parts.select("file").distinct(), "file", "left_semi"))
+    placed = _with_offset(again.select("file", "block", "seq", F.octet_length("piece").alias("size")))
+    meant = placed.join(parts, ["file", "offset"]).select("file", "block", "seq", "offset", "owner")
     whole = (
-        pieces.join(parts, ["file", "block", "seq"])
+        again.join(meant, ["file", "block", "seq"])
         .groupBy("file", "owner")
         .agg(F.array_sort(F.collect_list(F.struct("offset", "piece"))).alias("parts"))
         .withColumn("piece", F.array_join(F.transform("parts", lambda p: F.hex(p["piece"])), "".join(f"{b:02X}" for b in VERSION.encode())))
@@ -201,12 +217,11 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     which holds no payload, tells those of the payload it stands for. Digests are
     lower-case hex. What no chain from a file's start reaches is no record.
     """
-    pieces = _pieces(spark, folder)
-    found = candidates(pieces)
+    found = candidates(_pieces(spark, folder))
     kept = checkpointed(reachable(found))
     read = kept.where("whole").select("type", "record", "refers", "said_digest", "said_bytes", "digest", "bytes")
     if kept.where("NOT whole").limit(1).count():
-        read = read.unionByName(_rejoined(pieces, found, kept).select(read.columns))
+        read = read.unionByName(_rejoined(spark, folder, found, kept).select(read.columns))
     revisit = F.col("type") == "revisit"
     return read.select(
         F.col("record").alias("record_id"), F.col("type").alias("record_type"),

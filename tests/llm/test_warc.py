@@ -52,6 +52,24 @@ def test_archives_give_back_what_was_written(spark, split):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_pieces_are_found_again_where_a_reading_is_split_otherwise(spark, monkeypatch):
+    pages = spark.createDataFrame([(*r, "x", 1) for r in rough_pages()], PAGES).repartition(3)
+    reachable = warc.reachable
+
+    def resplit(found):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1700")
+        return reachable(found)
+
+    monkeypatch.setattr(warc, "reachable", resplit)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert read(warc.round_trip(pages)) == expected(rough_pages())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_foreign_archives(spark, tmp_path):
     def record(page, payload, extra=""):
         body = b"HTTP/1.1 200 OK\r\n\r\n" + payload

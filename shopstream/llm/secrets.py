@@ -50,6 +50,23 @@ RULES = (
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
 
+# Our own, found through the same index; none of them starts with an unbounded run, so a scan stays linear.
+MORE_RULES = (
+    Rule(
+        "private_key",
+        r"-----BEGIN (?:[A-Z]{1,16} ){0,3}PRIVATE KEY-----[A-Za-z0-9+/=\s:,-]*?-----END (?:[A-Z]{1,16} ){0,3}PRIVATE KEY-----",
+        0, 0,
+    ),
+    Rule(
+        "vendor",
+        r"(?:gh[oprsu]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})",
+        0, 0,
+    ),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
+    Rule("url", r"[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\s/@:]{1,256}:[^\s/@]{1,256}@", 0, 0),
+)
+ALL_RULES = RULES + MORE_RULES
+
 # A query is a set of alternatives, each a set of trigrams that must all occur.
 # None stands for "no alternative can be excluded".
 Query = frozenset[frozenset[bytes]] | None
@@ -201,7 +218,7 @@ def _slices(texts: pa.Array, limit: int = SEGMENT_BYTES) -> Iterator[list[str]]:
         yield held
 
 
-def secret_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+def secret_spans(text: Column, rules: tuple[Rule, ...] = ALL_RULES) -> Column:
     """The secrets in a text: an array of ``(kind, start, end)`` in code points, end exclusive.
 
     Per kind the matches are leftmost and don't overlap; those that are too
@@ -246,12 +263,12 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
-def find_secrets(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, out_col: str = "spans") -> DataFrame:
+def find_secrets(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = ALL_RULES, out_col: str = "spans") -> DataFrame:
     """``docs`` with the column ``out_col`` of :func:`secret_spans` added (or replaced, should there be one)."""
     return docs.withColumn(out_col, secret_spans(F.col(text_col), rules))
 
 
-def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = ALL_RULES, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text_col`` replaced by ``mask``; overlapping spans become one mask.
 
     Null texts stay null, all other columns and rows as they are.

@@ -25,10 +25,13 @@ from shopstream.llm.common import staged
 from shopstream.llm.projection import is_usable, unit_rows
 
 SHARD_ROWS = 4096
-QUERY_ROWS = 512
+MOST_SHARD_ROWS = 1 << 16
+QUERY_ROWS = 4096
 LINKS = 16
 BUILD_WIDTH = 64
 SEARCH_WIDTH = 128
+SHARD_GROWTH = 32
+CLOSE = 1e-5
 SEED = 11
 
 
@@ -163,12 +166,19 @@ def _classes(table: DataFrame, id_col: str, vector_col: str, ids: int) -> DataFr
 
 
 def build_index(
-    table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", ids: int = 6, shard_rows: int = SHARD_ROWS,
+    table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", ids: int = 6, shard_rows: int | None = None,
     links: int = LINKS, width: int = BUILD_WIDTH,
 ) -> DataFrame:
-    """``(size, shard, index)``: a written table of graphs, each with its vectors and their ids, for vectors of one length."""
+    """``(size, shard, index)``: a written table of graphs, each with its vectors and their ids, for vectors of one length.
+
+    Shards grow with the root of the table unless ``shard_rows`` is given, from
+    ``SHARD_ROWS`` to ``MOST_SHARD_ROWS``: every query visits every shard, and a
+    task builds one.
+    """
     classes = staged(_classes(table, id_col, vector_col, ids).withColumn("size", F.size("vector")))
-    shards = max(1, -(-classes.count() // shard_rows))
+    count = classes.count()
+    shard_rows = shard_rows or int(min(MOST_SHARD_ROWS, max(SHARD_ROWS, SHARD_GROWTH * count ** 0.5)))
+    shards = max(1, -(-count // shard_rows))
     dealt = classes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
 
     def build(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -197,21 +207,43 @@ def _query_blocks(queries: DataFrame, block_rows: int) -> DataFrame:
     return staged(dealt.groupBy("size", "block").applyInPandas(pack, "size INT, queries BINARY"))
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that no square overflows or vanishes; cosines stay as they are, to the last bit."""
+    _, power = np.frexp(np.abs(rows).max(1, keepdims=True))
+    return np.ldexp(rows, -power)
+
+
+def _near_enough(graph: Graph, vectors: np.ndarray, vector: np.ndarray, unit: np.ndarray, k: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and their cosines: the ``k`` + 1 best found, and all that tie with the last of them.
+
+    The search goes by single precision and by a list of ``width``. As long as
+    its last node might tie with a wanted one, the list is made wider.
+    """
+    norm = np.sqrt(vector @ vector)
+    while True:
+        nodes = graph.search(unit, max(width, k + 1))
+        scores = vectors[nodes] @ vector / (np.sqrt((vectors[nodes] * vectors[nodes]).sum(1)) * norm)
+        if len(nodes) <= k + 1:
+            return nodes, scores
+        last = np.partition(scores, -k - 1)[-k - 1]
+        if len(nodes) < width or len(nodes) == len(vectors) or scores.min() < last - CLOSE:
+            wanted = scores >= last
+            return nodes[wanted], scores[wanted]
+        width *= 2
+
+
 def _best_in_shard(
     index: dict[str, np.ndarray], queries: dict[str, np.ndarray], k: int, width: int,
 ) -> Iterator[tuple[int, int, float]]:
     layers = [index[f"layer{i}"] for i in range(sum(n.startswith("layer") for n in index))]
-    vectors, ids, ends = index["vectors"], index["ids"], index["ends"]
+    vectors, ids, ends = scaled(index["vectors"]), index["ids"], index["ends"]
     graph = Graph(unit_rows(list(vectors)).astype(np.float32), layers)
-    norms = np.sqrt((vectors * vectors).sum(1))
-    for own, vector, unit in zip(queries["ids"].tolist(), queries["vectors"], unit_rows(list(queries["vectors"]))):
-        nodes = graph.search(unit, max(width, k + 1))
-        scores = vectors[nodes] @ vector / (norms[nodes] * np.sqrt(vector @ vector))
+    asked = scaled(queries["vectors"])
+    for own, vector, unit in zip(queries["ids"].tolist(), asked, unit_rows(list(asked))):
         found = []
-        for i in np.argsort(-scores, kind="stable")[:k + 1].tolist():
-            node = int(nodes[i])
+        for node, score in zip(*(x.tolist() for x in _near_enough(graph, vectors, vector, unit, k, width))):
             held = ids[ends[node - 1] if node else 0:ends[node]].tolist()
-            found += [(-float(scores[i]), other) for other in held if other != own]
+            found += [(-score, other) for other in held if other != own]
         for score, other in sorted(found)[:k]:
             yield own, other, -score
 

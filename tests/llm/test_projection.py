@@ -106,6 +106,33 @@ def test_few_candidates_ties_and_empty_tables(spark):
     assert hnsw.nearest(table.where("false"), hnsw.F.col("vec_id") == 0).count() == 0
 
 
+def test_ties_go_to_the_smaller_id(spark):
+    """Forty rows equally near, in shuffled order, and a hundred and fifty that all miss the query."""
+    pick = np.random.default_rng(6)
+    rows = [(1000, [1.0] + [0.0] * 200, 1, "")]
+    for i in range(40):
+        rows.append((i + 1, [1.0 if j == 0 else 2.0 if j == i + 1 else 0.0 for j in range(201)], 1, ""))
+    rows += [(100 + i, [1.0 if j == i + 45 else 0.0 for j in range(201)], 1, "") for i in range(150)]
+    rows += [(2000, [0.0] * 200 + [3.0], 1, "")]
+    rows = [rows[i] for i in pick.permutation(len(rows))]
+    table = spark.createDataFrame(rows, ROWS.replace("FLOAT", "DOUBLE"))
+    for shard_rows in (None, 40):
+        found = hnsw.nearest(table, hnsw.F.col("vec_id").isin(1000, 2000), shard_rows=shard_rows).orderBy("query_id", "rank").collect()
+        assert [(r["query_id"], r["vec_id"]) for r in found] == [(1000, i) for i in range(1, 6)] + [(2000, i) for i in range(1, 6)]
+
+
+def test_huge_and_tiny_components(spark):
+    base = np.random.default_rng(7).normal(size=(30, 8))
+    rows = [(i, (base[i] * 10.0 ** (200 * (i % 3 - 1))).tolist(), 1, "") for i in range(30)]
+    found = hnsw.nearest(spark.createDataFrame(rows, ROWS.replace("FLOAT", "DOUBLE")), hnsw.F.col("vec_id") % 5 == 0).collect()
+    want = plain_nearest([(i, b.tolist()) for i, b in enumerate(base)], [(i, base[i].tolist()) for i in range(0, 30, 5)], 5)
+    got = {}
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+        assert abs(r["score"] - cosine(base[r["query_id"]], base[r["vec_id"]])) < 1e-12
+    assert got == want
+
+
 def test_graph_reaches_every_node():
     units = projection.unit_rows(list(np.random.default_rng(2).normal(size=(600, 8))))
     graph = hnsw.Graph.built(units)

@@ -109,7 +109,7 @@ def pack(rows: DataFrame, plan: Plan, count: int, id_col: str = "doc_id", slice_
 
     ``bucket`` is the padded length, ``batch`` counts from 0 inside the bucket
     and ``slot`` from 0 inside the batch. Sequences without tokens belong to no
-    batch: these four are null. Rows alike in id and segment are numbered in any order.
+    batch: these four are null. Rows come by id, segment and length, so rows alike in all three are all there is to mix up.
     """
     if not plan.boundaries:
         return rows.select(
@@ -134,7 +134,7 @@ def pack(rows: DataFrame, plan: Plan, count: int, id_col: str = "doc_id", slice_
         )
         .drop("_n")
     )
-    near = Window.partitionBy("bucket", "_slice").orderBy(F.col(id_col).asc_nulls_first(), "segment")
+    near = Window.partitionBy("bucket", "_slice").orderBy(F.col(id_col).asc_nulls_first(), "segment", "length")
     numbered = (
         full.withColumn("_near", F.row_number().over(near) - 1)
         .join(before, ["bucket", "_slice"])

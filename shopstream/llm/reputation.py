@@ -77,16 +77,16 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(_after_scheme(url), F.lit("")), "^[^/?#]*([^?#]*)", 1)
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_of(host: Column, suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> Column:
     """The last label, or the last two where names are registered below two."""
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(two.isin(*suffixes), two).otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> Column:
     """The suffix and the label before it; the host itself if there is none."""
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    return F.when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two)
 
 
 def rule_for(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -129,7 +129,9 @@ def _shrunk(children: DataFrame) -> DataFrame:
     ).withColumn("share", F.col("alpha") / (F.col("alpha") + F.col("beta")))
 
 
-def reputations(outcomes: DataFrame, z: float = Z) -> tuple[DataFrame, float]:
+def reputations(
+    outcomes: DataFrame, z: float = Z, two_labels: tuple[str, ...] = TWO_LABEL_SUFFIXES,
+) -> tuple[DataFrame, float]:
     """``(host, n, k, share, lower)`` per host out of rows ``(host, bad)``, and the share of all rows.
 
     ``bad`` is a boolean; rows where it is null count for no outcome but their
@@ -138,7 +140,7 @@ def reputations(outcomes: DataFrame, z: float = Z) -> tuple[DataFrame, float]:
     hosts = staged(
         outcomes.groupBy(F.coalesce("host", F.lit("")).alias("host"))
         .agg(F.count("bad").alias("n"), F.count(F.when(F.col("bad"), 1)).alias("k"))
-        .withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+        .withColumns({"domain": domain_of(F.col("host"), two_labels), "suffix": suffix_of(F.col("host"), two_labels)})
     )
     n, k = hosts.agg(F.sum("n"), F.sum("k")).first()
     overall = ((k or 0) + 1) / ((n or 0) + 2)
@@ -155,14 +157,15 @@ def reputations(outcomes: DataFrame, z: float = Z) -> tuple[DataFrame, float]:
 
 def judge(
     pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES, limit: float = LIMIT, z: float = Z,
-    url_col: str = "url",
+    url_col: str = "url", two_labels: tuple[str, ...] = TWO_LABEL_SUFFIXES,
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``n``, ``k`` and ``lower`` added or replaced.
 
     ``outcomes`` has rows ``(host, bad)``. Hosts it doesn't know are allowed
     unless a rule says otherwise. A null url has an empty host and path.
+    ``two_labels`` are the suffixes of two labels; a full list may be given.
     """
-    known = staged(reputations(outcomes, z)[0].drop("share"))
+    known = staged(reputations(outcomes, z, two_labels)[0].drop("share"))
     parts = pages.select(
         F.struct(*pages.columns).alias("page"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"),
     )

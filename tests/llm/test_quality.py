@@ -58,6 +58,30 @@ def test_model_equals_the_formula():
     assert np.isclose(model.scores(at)[0], 1 / (1 + np.exp(logs[0] - logs[1])))
 
 
+def test_query_equals_the_formula_with_shrinkage(spark):
+    """Statistics, moments and densities over again, with determinants and solves instead of cached factors."""
+    sf_dir = "/root/testdata/sf0.001"
+    known = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r["quality"] in (0, 1)}
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    x = {i: np.array(quality.statistics(t)) for i, t in texts.items()}
+    learnt = [i for i in known if i in x and zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = {k: np.array([x[i] for i in learnt if known[i] == k]) for k in (0, 1)}
+    own = {k: np.cov(v.T, bias=True) for k, v in rows.items()}
+    pooled = sum(len(rows[k]) * own[k] for k in rows) / len(learnt)
+    logs = {}
+    for k, v in rows.items():
+        mixed = (1 - quality.TO_POOLED) * own[k] + quality.TO_POOLED * pooled
+        mixed = (1 - quality.TO_DIAGONAL) * mixed + quality.TO_DIAGONAL * np.diag(np.diag(mixed)) + quality.RIDGE * np.eye(len(mixed))
+        logs[k] = {
+            i: np.log(len(v) / len(learnt)) - 0.5 * (f - v.mean(0)) @ np.linalg.solve(mixed, f - v.mean(0)) - 0.5 * np.linalg.slogdet(mixed)[1]
+            for i, f in x.items()
+        }
+    found = {r["doc_id"]: r["score"] for r in queries.op6_quality(spark, sf_dir).collect()}
+    assert set(found) == set(texts)
+    for i, score in found.items():
+        assert np.isclose(score, 1 / (1 + np.exp(np.clip(logs[0][i] - logs[1][i], -500, 500))), atol=1e-6)
+
+
 @pytest.mark.parametrize("only, score", [(None, 1.0), (1, 1.0), (0, 0.0)])
 def test_one_class_or_none_gives_one_score(docs, labels, only, score):
     few = labels.where("false" if only is None else f"quality = {only}")

@@ -182,11 +182,12 @@ QUOTES = r"""
         SELECT conv_id, turn, level, original FROM scored
         QUALIFY row_number() OVER (PARTITION BY conv_id, turn, level ORDER BY passages DESC, lines DESC, original DESC) = 1
     )
-    , told AS (
+    , votes AS (
         SELECT o.conv_id, o.original AS turn, i.original, count(*) AS n
         FROM originals o JOIN originals i ON i.conv_id = o.conv_id AND i.turn = o.turn AND i.level = o.level + 1 AND i.original < o.original
-        GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY o.conv_id, o.original ORDER BY n DESC, i.original DESC) = 1
+        GROUP BY ALL
     )
+    , told AS (SELECT conv_id, turn, arg_max(original, (n, original)) AS original FROM votes GROUP BY ALL)
     , parents AS (
         SELECT conv_id, turn, coalesce(d.original, t.original) AS parent
         FROM (SELECT * FROM originals WHERE level = 1) d FULL JOIN told t USING (conv_id, turn)

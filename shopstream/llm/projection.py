@@ -1,12 +1,16 @@
 """Near duplicates of embeddings by sorted projection passes.
 
 Each pass signs every vector's dot products with random directions and orders
-the vectors of a label by those bits, taken as one long key. A label with more
-vectors has more passes, so that a pair is missed no more often. Every vector is
-compared with a bounded number of neighbours before it in that order, in blocks
-that overlap by the window, so that no block boundary hides a pair. Pairs at or
-above the similarity are verified in double precision, and the groups of all
-passes are united.
+the vectors of a label by those bits, taken as one long key. Vectors of a label
+that crowd around a centre would all have the same signs, so the label's centre
+is taken off first; what is left of two similar vectors is less alike the nearer
+they both are to it. A label with more vectors, or with more crowded ones, has
+more passes and wider windows, so that a pair is missed no more often. Every
+vector is compared with a bounded number of neighbours before it in that order,
+in blocks that overlap by the window, so that no block boundary hides a pair.
+Pairs at or above the similarity are verified in double precision, and the groups
+of all passes are united. Orders are made of narrow rows; vectors are looked up
+once the blocks are known.
 
 A window can't hold every pair of a large group, so direct links are counted
 afterwards, inside the groups found: pairs of bounded chunks of one group are
@@ -36,6 +40,9 @@ BITS = 48
 WINDOW = 64
 BLOCK_ROWS = 1024
 CHUNK_ROWS = 1024
+MOST_PASSES = 48
+MOST_WINDOW = 8192
+LEAST_LEFT = 0.5
 SEED = 7
 
 
@@ -59,6 +66,37 @@ def _directions(number: int, size: int, bits: int) -> np.ndarray:
     return np.random.default_rng([SEED, number, size]).standard_normal((size, bits))
 
 
+def centres(sized: DataFrame, similarity: float, passes: int, window: int, missed: float = MISSED) -> DataFrame:
+    """``(label, size, centre, passes, window)``: each label's mean unit vector, and how it is to be passed over.
+
+    With the centre c taken off, a pair at ``similarity`` has the cosine
+    (similarity - cc) / (1 - cc) where both are as far from c as vectors are on
+    average. Windows are as wide as ``MOST_PASSES`` passes need, up to
+    ``MOST_WINDOW``; beyond that there are more passes.
+    """
+    most = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
+    scaled = sized.select("label", "size", F.transform("vector", lambda x: x.cast("double")).alias("vector"), most.alias("most"))
+    scaled = scaled.select("label", "size", F.transform("vector", lambda x: x / F.col("most")).alias("vector"))
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    units = scaled.withColumn("norm", norm).select("label", "size", "norm", F.posexplode("vector").alias("place", "x"))
+    means = units.groupBy("label", "size", "place").agg(F.avg(F.col("x") / F.col("norm")).alias("mean"), F.count(F.lit(1)).alias("n"))
+    held = staged(means.groupBy("label", "size").agg(
+        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("place", "mean"))).alias("means"), F.sum(F.col("mean") * F.col("mean")).alias("cc"),
+    ))
+    left = F.greatest(F.lit(LEAST_LEFT), F.when(F.col("cc") < similarity, (similarity - F.col("cc")) / (1 - F.col("cc"))).otherwise(LEAST_LEFT))
+    # The probability that a random plane does not part a pair, and how many bits may be asked for in so many passes.
+    same = 1 - F.acos(F.least(left, F.lit(1.0))) / math.pi
+    found = held.withColumn("same", same)
+    bits = F.log(F.lit(1 - missed ** (1 / MOST_PASSES))) / F.log("same") - SPARE_BITS
+    wide = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n") / F.pow(F.lit(2.0), bits))))
+    found = found.withColumn("window", F.when(F.col("same") >= 1, window).otherwise(F.least(F.lit(float(max(window, MOST_WINDOW))), F.greatest(F.lit(float(window)), wide))).cast("int"))
+    meet = F.pow("same", F.greatest(F.lit(0.0), F.log2(F.col("n") / F.col("window"))) + SPARE_BITS)
+    needed = F.when(meet >= 1, 1).otherwise(F.ceil(F.log(F.lit(missed)) / F.log1p(-meet)))
+    return staged(found.select(
+        "label", "size", F.transform("means", lambda m: m["mean"]).alias("centre"), F.greatest(F.lit(passes), needed).cast("int").alias("passes"), "window",
+    ))
+
+
 def passes_for(count: int, similarity: float, window: int, missed: float = MISSED) -> int:
     """How many passes miss a pair at ``similarity`` among ``count`` vectors with at most the probability ``missed``.
 
@@ -74,24 +112,25 @@ def passes_for(count: int, similarity: float, window: int, missed: float = MISSE
     return math.ceil(math.log(missed) / math.log1p(-meet))
 
 
-def keys_of(vector: Column, passes: Column, bits: int = BITS) -> Column:
-    """One key per pass: the signs of the vector's projections, the first direction's as the highest bit."""
+def keys_of(vector: Column, centre: Column, passes: Column, bits: int = BITS) -> Column:
+    """One key per pass: the signs of the projections of a unit vector less the centre, the first direction's as the highest bit."""
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
-    def keys(batch: pa.Array, wanted: pa.Array) -> pa.Array:
+    def keys(batch: pa.Array, centres: pa.Array, wanted: pa.Array) -> pa.Array:
         vectors, numbers = [np.asarray(v) for v in batch.to_pylist()], np.array(wanted.to_pylist(), dtype=np.int64)
         out = np.zeros((len(vectors), int(numbers.max(initial=0))), dtype=np.int64)
         sizes = np.array([len(v) for v in vectors])
         weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
-            units = unit_rows([vectors[r] for r in rows])
+            off = centres.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), size)
+            units = unit_rows([vectors[r] for r in rows]) - off
             for number in range(int(numbers[rows].max())):
                 still = numbers[rows] > number
                 out[rows[still], number] = (units[still] @ _directions(number, int(size), bits) > 0) @ weights
         return pa.array([o[:n] for o, n in zip(out, numbers)], pa.list_(pa.int64()))
 
-    return keys(vector, passes)
+    return keys(vector, centre, passes)
 
 
 # -- passes ------------------------------------------------------------------
@@ -115,12 +154,9 @@ def _links_in(rows: pd.DataFrame, similarity: float, window: int) -> pd.DataFram
 def close_links(nodes: DataFrame, similarity: float, passes: int, bits: int, window: int, block_rows: int) -> DataFrame:
     """Links ``(a, b)`` between nodes ``(node, label, vector)`` that the passes find, ``passes`` or more of a label."""
     sized = nodes.withColumn("size", F.size("vector"))
-    counts = staged(sized.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")))
-    # The number of passes depends on the count's power of two alone, so that a label needs no function in Python.
-    steps = F.array(*[F.lit(max(passes, passes_for(2 ** i, similarity, window))) for i in range(64)])
-    wanted = counts.select("label", "size", F.element_at(steps, F.ceil(F.log2("n")).cast("int") + 1).alias("passes"))
-    keyed = sized.join(wanted, ["label", "size"]).select(
-        "node", "label", "size", "vector", F.posexplode(keys_of(F.col("vector"), F.col("passes"), bits)).alias("pass", "key"),
+    how = centres(sized, similarity, passes, window)
+    keyed = sized.join(how, ["label", "size"]).select(
+        "node", "label", "size", "window", F.posexplode(keys_of(F.col("vector"), F.col("centre"), F.col("passes"), bits)).alias("pass", "key"),
     )
     order = ["pass", "label", "size", "key", "node"]
     parts = max(passes, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -135,15 +171,16 @@ def close_links(nodes: DataFrame, similarity: float, passes: int, bits: int, win
         return nodes.sparkSession.createDataFrame([], "a BIGINT, b BIGINT")
     shift = F.create_map(*[F.lit(x) for r, n in zip(sizes, ahead) for x in (r["part"], n - r["first"])])
     placed = ordered.withColumn("place", F.col("row") + F.element_at(shift, F.col("part")))
-    block = F.floor(F.col("place") / block_rows)
-    late = F.col("place") % block_rows >= block_rows - window
+    rows = F.greatest(F.lit(block_rows), 4 * F.col("window"))
+    block = F.floor(F.col("place") / rows)
+    late = F.col("place") % rows >= rows - F.col("window")
     blocks = placed.withColumn("block", F.explode(F.when(late, F.array(block, block + 1)).otherwise(F.array(block))))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        return _links_in(rows, similarity, window)
+        return _links_in(rows, similarity, int(rows["window"].iloc[0]))
 
     return (
-        blocks.select("pass", "label", "size", "block", "place", "node", "vector")
+        blocks.select("pass", "label", "size", "block", "place", "window", "node").join(nodes.select("node", "vector"), "node")
         .groupBy("pass", "label", "size", "block").applyInPandas(compare, "a BIGINT, b BIGINT")
     )
 

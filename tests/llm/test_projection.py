@@ -169,6 +169,28 @@ def test_passes_grow_with_the_label(spark):
     assert found <= 2 * 5
 
 
+def test_crowded_labels(spark):
+    """Vectors around one centre, with a mean cosine of 0.87, of which each has a partner at 0.94."""
+    pick, size, count = np.random.default_rng(3), 64, 2500
+    centre = projection.unit_rows([pick.normal(size=size)])[0]
+    own = pick.normal(size=(count, size))
+    own -= np.outer(own @ centre, centre)
+    own = projection.unit_rows(list(own))
+    other = pick.normal(size=(count, size))
+    other -= np.outer(other @ centre, centre) + (other * own).sum(1, keepdims=True) * own
+    other = projection.unit_rows(list(other))
+    left, part = 0.13, (0.94 - 0.87) / 0.13  # what the centre leaves of a vector, and the cosine of two such rests
+    rest = [own, part * own + math.sqrt(1 - part**2) * other]
+    units = np.concatenate([math.sqrt(1 - left) * centre + math.sqrt(left) * r for r in rest])
+    near = units @ units.T >= 0.93
+    np.fill_diagonal(near, False)
+    table = spark.createDataFrame([(i, u.tolist(), 1, "") for i, u in enumerate(units)], ROWS.replace("FLOAT", "DOUBLE"))
+    found = {r["vec_id"]: r["n_links"] for r in projection.near_duplicates(table).collect()}
+    want = near.sum(1)
+    assert sum(want) >= 2 * count and sum(found[i] for i in range(2 * count)) >= 0.99 * sum(want)
+    assert all(found[i] <= want[i] for i in range(2 * count))
+
+
 def test_passes_of_a_label_of_a_hundred_thousand():
     units = pairs_at(0.9301, 50_000)
     missed = np.ones(50_000, dtype=bool)

@@ -21,6 +21,7 @@ Blocks hand on spanning forests, chunks hand on counts, and nobody all pairs.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -74,12 +75,37 @@ def centres(sized: DataFrame, similarity: float, passes: int, window: int, misse
     average. Windows are as wide as ``MOST_PASSES`` passes need, up to
     ``MOST_WINDOW``; beyond that there are more passes.
     """
-    most = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
-    scaled = sized.select("label", "size", F.transform("vector", lambda x: x.cast("double")).alias("vector"), most.alias("most"))
-    scaled = scaled.select("label", "size", F.transform("vector", lambda x: x / F.col("most")).alias("vector"))
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    units = scaled.withColumn("norm", norm).select("label", "size", "norm", F.posexplode("vector").alias("place", "x"))
-    means = units.groupBy("label", "size", "place").agg(F.avg(F.col("x") / F.col("norm")).alias("mean"), F.count(F.lit(1)).alias("n"))
+    label_type = sized.schema["label"].dataType.simpleString()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's sums of unit vectors, a row for each label and size in it."""
+        totals: dict[tuple, list] = {}
+        kind = pa.null()
+        for batch in batches:
+            kind = batch.schema.field("label").type
+            labels, sizes = batch.column("label").to_pylist(), np.array(batch.column("size").to_pylist())
+            for size in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == size)
+                vectors = batch.column("vector").take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False)
+                units = unit_rows(list(vectors.reshape(len(rows), size)))
+                places: dict[object, int] = {}
+                codes = np.array([places.setdefault(labels[r], len(places)) for r in rows.tolist()])
+                sums = np.zeros((len(places), size))
+                np.add.at(sums, codes, units)
+                for (label, at), n in zip(places.items(), np.bincount(codes).tolist()):
+                    held = totals.setdefault((label, size), [0, 0.0])
+                    held[0], held[1] = held[0] + n, held[1] + sums[at]
+        found = list(totals.items())
+        for start in range(0, len(found), 1000):
+            part = found[start:start + 1000]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([k[0] for k, _ in part], kind), pa.array([k[1] for k, _ in part], pa.int32()),
+                pa.array([v[0] for _, v in part], pa.int64()), pa.array([v[1] for _, v in part], pa.list_(pa.float64())),
+            ], ["label", "size", "n", "sums"])
+
+    parts = sized.select("label", "size", "vector").mapInArrow(add, f"label {label_type}, size INT, n BIGINT, sums ARRAY<DOUBLE>")
+    places = parts.select("label", "size", "n", F.posexplode("sums").alias("place", "sum"))
+    means = places.groupBy("label", "size", "place").agg((F.sum("sum") / F.sum("n")).alias("mean"), F.sum("n").alias("n"))
     held = staged(means.groupBy("label", "size").agg(
         F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("place", "mean"))).alias("means"), F.sum(F.col("mean") * F.col("mean")).alias("cc"),
     ))

@@ -192,7 +192,10 @@ def _merged(current: DataFrame, changed: DataFrame) -> DataFrame:
     both = old.join(changed, key, "full_outer")
     kept = F.map_filter("old", lambda k, _: ~F.array_contains(F.map_keys("values"), k))
     values = F.when(F.col("values").isNull(), F.col("old")).when(F.col("reset") | F.col("old").isNull(), F.col("values"))
-    return both.select("key", values.otherwise(F.map_concat(kept, "values")).alias("values"), F.coalesce("deleted", F.lit(False)).alias("deleted"), "table", "bucket")
+    return both.select(
+        "key", values.otherwise(F.map_concat(kept, "values")).alias("values"), F.coalesce("deleted", F.lit(False)).alias("deleted"),
+        "table", "bucket",
+    )
 
 
 def upsert_dims(

@@ -46,7 +46,8 @@ def start_rules(
     """
     parsed = parse_envelopes(read_topic(spark, source, topic, streaming=True))
     versions = rule_store.fold_rules(cdc.rule_changes(flatten_cdc(accepted(parsed))), honor_deletes)
-    records = versions.select(F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("arrival"), F.struct(*versions.columns).alias("rule"))
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in (("topic", "string"), ("value", "string"), ("arrival", "bigint"))]
+    records = versions.select(*none, F.struct(*versions.columns).alias("rule"))
     records = records.unionByName(rejected_records(parsed, topic), allowMissingColumns=True)
     writer = writer_of("rules", checkpoint)
 

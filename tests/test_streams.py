@@ -8,7 +8,7 @@ import pytest
 from conftest import log
 from shopstream import names, schemas
 from shopstream.functions.times import DAY_MS, position
-from shopstream.operators import logs, orders, visits
+from shopstream.operators import logs, visits
 from shopstream.operators.rejects import accepted
 from shopstream.plans import logs as log_plan
 from shopstream.plans import orders as order_plan

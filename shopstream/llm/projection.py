@@ -115,7 +115,9 @@ def centres(sized: DataFrame, similarity: float, passes: int, window: int, misse
     found = held.withColumn("same", same)
     bits = F.log(F.lit(1 - missed ** (1 / MOST_PASSES))) / F.log("same") - SPARE_BITS
     wide = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n") / F.pow(F.lit(2.0), bits))))
-    found = found.withColumn("window", F.when(F.col("same") >= 1, window).otherwise(F.least(F.lit(float(max(window, MOST_WINDOW))), F.greatest(F.lit(float(window)), wide))).cast("int"))
+    most_wide = F.lit(float(max(window, MOST_WINDOW)))
+    wide = F.least(most_wide, F.greatest(F.lit(float(window)), wide))
+    found = found.withColumn("window", F.when(F.col("same") >= 1, window).otherwise(wide).cast("int"))
     meet = F.pow("same", F.greatest(F.lit(0.0), F.log2(F.col("n") / F.col("window"))) + SPARE_BITS)
     needed = F.when(meet >= 1, 1).otherwise(F.ceil(F.log(F.lit(missed)) / F.log1p(-meet)))
     return staged(found.select(

@@ -1,13 +1,11 @@
 """Against the tiktoken library, which reads the same ranks."""
 
-import base64
 import hashlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from pyspark.sql import functions as F
 
 from shopstream.llm import bpe, queries
 

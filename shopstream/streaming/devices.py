@@ -19,6 +19,8 @@ from shopstream.streaming.processors import KEPT, LATE, Bounce, DayChange, First
 
 # Some times the tasks that a stream's state is to be spread over; more only cost calls.
 SHARDS = 256
+# Into how many tables the devices a shard has seen on a day are cut; fixed for a stream.
+DAY_PARTS = 16
 
 
 def by_shard(rows: DataFrame, shards: int) -> GroupedData:
@@ -67,8 +69,10 @@ def unique_visit(pages: DataFrame, mode: str = "exact", ttl: bool = True, delay:
     if mode == "daily":
         day_end = F.unix_millis(F.date_add(F.to_date("day"), 1).cast("timestamp"))
         timed = with_event_time(entries.withColumn("day_end", day_end), delay=delay)
+        # By the upper half of the hash, as shards go by all of it.
+        part = F.pmod(F.shiftrightunsigned(F.xxhash64("mid"), 32), F.lit(DAY_PARTS)).cast("int").alias("part")
         # Without its time a row is not dropped as late: the processor tells.
-        return by_shard(timed.select("mid", "value", "arrival", "day", "day_end"), shards).transformWithStateInPandas(
+        return by_shard(timed.select("mid", "value", "arrival", "day", "day_end", part), shards).transformWithStateInPandas(
             statefulProcessor=FirstOfDay(), outputStructType=f"kind STRING, mid STRING, value STRING, arrival {kind}",
             outputMode="append", timeMode="EventTime",
         )

@@ -86,29 +86,36 @@ class DayChange(ShardProcessor):
         yield rows.loc[opens, ["mid", "value", "arrival", "day"]]
 
 
+MIDS = pa.schema([("mid", pa.string())])
+
+
 class FirstOfDay(ShardProcessor):
     """Passes each device's first row of a day, by arrival, and the rows that come after the day is forgotten as late.
 
-    Input rows: mid, value, arrival, day, day_end. A device's day is kept until
-    the watermark passes its end, told by a timer, so rows that are late themselves
-    still count as long as their day is known.
+    Input rows: mid, value, arrival, day, day_end, part. A day's devices are kept
+    as one table for each ``part``, a fixed share of the shard's devices, so a call
+    reads and writes as many entries as its rows have days and parts, not devices.
+    They are kept until the watermark passes the day's end, told by a timer, so rows
+    that are late themselves still count as long as their day is known.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._seen = handle.getMapState("seen", "day_end BIGINT, mid STRING", "seen BOOLEAN")
+        self._seen = handle.getMapState("devices", "day_end BIGINT, part INT", "mids BINARY")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         rows = in_order(rows, "mid", "day", "arrival")
         rows["kind"] = np.where(rows["day_end"] <= watermark, LATE, KEPT)
         first = ~rows.duplicated(["mid", "day"]) & (rows["kind"] == KEPT)
-        for at in np.flatnonzero(first).tolist():
-            entry = (int(rows["day_end"].iat[at]), rows["mid"].iat[at])
-            if self._seen.containsKey(entry):
-                first.iat[at] = False
-            else:
-                self._seen.updateValue(entry, (True,))
+        for (end, part), mids in rows.loc[first].groupby(["day_end", "part"])["mid"]:
+            entry = (int(end), int(part))
+            found = self._seen.getValue(entry)
+            known = [unpacked(bytes(found[0]))] if found else []
+            again = mids.isin(known[0]["mid"]) if known else pd.Series(False, index=mids.index)
+            first[mids.index[again]] = False
+            if not again.all():
+                self._seen.updateValue(entry, (packed(pd.concat([*known, mids[~again].to_frame()]), MIDS),))
         for end in rows.loc[first, "day_end"].unique().tolist():
             self._handle.registerTimer(end)
         yield rows.loc[first | (rows["kind"] == LATE), ["kind", "mid", "value", "arrival"]]
@@ -128,10 +135,10 @@ def page_schema(kind: str) -> pa.Schema:
     return pa.schema([("mid", pa.string()), ("ts", pa.int64()), ("arrival", position), ("value", pa.string())])
 
 
-def packed(pages: pd.DataFrame, schema: pa.Schema) -> bytes:
+def packed(rows: pd.DataFrame, schema: pa.Schema) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, schema) as writer:
-        writer.write_batch(pa.RecordBatch.from_pandas(pages[PAGE], schema, preserve_index=False))
+        writer.write_batch(pa.RecordBatch.from_pandas(rows[schema.names], schema, preserve_index=False))
     return sink.getvalue().to_pybytes()
 
 

@@ -282,3 +282,70 @@ def test_expiry_is_renewed_by_each_opening():
     assert len(next(change.handleInputRows((0,), iter([rows[:1]]), None))) == 1
     assert len(next(change.handleInputRows((0,), iter([rows[1:]]), None))) == 3
     assert store.held == {("a",): ("d1",), ("b",): ("d9",)} and store.writes == 3
+
+
+class CountedMap:
+    """A state map that counts how often it is asked."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.held
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.held[key]
+
+    def keys(self):
+        self.calls += len(self.held)
+        return iter(list(self.held))
+
+
+class Handle:
+    def __init__(self):
+        self.map, self.timers = CountedMap(), set()
+
+    def getMapState(self, *_):
+        return self.map
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+class Timers:
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentWatermarkInMs(self):
+        return self.at
+
+    def getExpiryTimeInMs(self):
+        return self.at
+
+
+def test_a_day_of_many_devices_is_a_few_entries_of_state():
+    handle, first = Handle(), processors.FirstOfDay()
+    first.init(handle)
+
+    def taken(mids, watermark=0):
+        rows = pd.DataFrame({"shard": 0, "mid": mids, "value": "v", "arrival": range(len(mids)), "day": "d", "day_end": DAY_MS})
+        rows["part"] = [int(m) % 4 for m in mids]
+        return [(kind, mid) for kind, mid in next(iter(first.handleInputRows((0,), iter([rows]), Timers(watermark))))[["kind", "mid"]].values]
+
+    old, new = [str(i) for i in range(1000)], [str(i) for i in range(900, 1500)]
+    assert taken(old + old) == [("kept", m) for m in sorted(old)]
+    assert taken(new) == [("kept", m) for m in sorted(new[100:])]
+    assert handle.timers == {DAY_MS}
+    list(first.handleExpiredTimer((0,), Timers(DAY_MS), Timers(DAY_MS)))
+    assert not handle.map.held and handle.map.calls <= 6 * 4
+    assert taken(["1"], DAY_MS) == [("late", "1")]

@@ -73,3 +73,18 @@ def test_empty_tables(spark, parts):
     some = spark.createDataFrame([("a", 1)], "k STRING, at BIGINT")
     facts = spark.createDataFrame([], "k STRING, since BIGINT, v STRING")
     assert [r.f for r in with_latest(some, facts, ["k"], "at", "since", "f").collect()] == [None]
+
+
+def test_rows_of_the_as_of_join_are_worked_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), counted("id").alias("at"))
+    facts = spark.createDataFrame([(0, 0, "x"), (1, 50, "y")], "k BIGINT, since BIGINT, v STRING")
+    out = with_latest(df, facts, ["k"], "at", "since", "f", str(tmp_path)).collect()
+    assert len(out) == 100 and sum(r.f is not None for r in out) == 34 + 16
+    assert seen.value == 100

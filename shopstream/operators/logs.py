@@ -36,20 +36,22 @@ def parse_log(raw: DataFrame) -> DataFrame:
     log = F.from_json("value", schemas.APP_LOG + ", _bad STRING", {"columnNameOfCorruptRecord": "_bad"})
     # Through a generator, so that filters on the fields do not parse the text again.
     parsed = raw.select("*", F.inline(F.array(log)))
-    parsed = parsed.withColumns({
-        "ts": F.col("ts").try_cast("bigint"), "mid": F.col("common.mid"), "start": last_of_repeated(F.col("start")),
-        "displays": F.transform("displays", last_of_repeated),
-    })
+    # Judged by the maps as read: no key that is repeated makes one empty or null, and a filter would settle them once more.
     on_page = ~is_start(F.col("start"))
+    ts = F.col("ts").try_cast("bigint")
     reason = first_reason(
         ("bad_json", F.col("value").isNull() | F.col("_bad").isNotNull()),
         ("no_common", F.col("common").isNull()),
-        ("no_mid", F.col("mid").isNull()),
-        ("no_ts", (F.col("common.is_new") == "1") & F.col("ts").isNull()),
+        ("no_mid", F.col("common.mid").isNull()),
+        ("no_ts", (F.col("common.is_new") == "1") & ts.isNull()),
         ("no_page", on_page & F.col("page").isNull()),
         ("bad_display", on_page & F.exists("displays", lambda d: d.isNull())),
     )
-    return parsed.withColumn(REASON, reason).drop("_bad")
+    settled = {
+        "ts": ts, "mid": F.col("common.mid"), "start": last_of_repeated(F.col("start")),
+        "displays": F.transform("displays", last_of_repeated), REASON: reason,
+    }
+    return parsed.withColumns(settled).drop("_bad")
 
 
 def repair_is_new(logs: DataFrame, order: Sequence[str] = ARRIVAL, skew: Skew = Skew()) -> DataFrame:

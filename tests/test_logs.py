@@ -86,3 +86,8 @@ def test_records_of_one_pass_equal_the_three_outputs(topic):
     want = [(t, r.value) for t, df in zip((names.START_LOG, names.PAGE_LOG, names.DISPLAY_LOG), split) for r in df.collect()]
     assert sorted((r.topic, r.value) for r in log_records(logs).collect()) == sorted(want)
     assert len(want) == 6
+
+
+def test_a_filter_on_the_reason_settles_no_repeated_keys(topic):
+    plan = accepted(parse_log(topic(log(displays=[{"item": 1}])))).select("mid")._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_entries" not in plan

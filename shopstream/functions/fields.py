@@ -30,7 +30,7 @@ def non_null_entries(data: Column) -> Column:
 
 def has_content(data: Column) -> Column:
     """True for an object that prints as more than ``{}`` once nulls are left out."""
-    return F.coalesce(F.size(non_null_entries(data)), F.lit(0)) > 0
+    return F.coalesce(F.exists(F.map_values(data), lambda v: ~F.coalesce(F.is_variant_null(v), F.lit(True))), F.lit(False))
 
 
 def normalize_op(op: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstream import names, schemas
@@ -34,7 +34,9 @@ def parse_cdc(raw: DataFrame) -> DataFrame:
     Text that is no JSON object gets a ``reject_reason``.
     """
     change = F.from_json("value", schemas.CHANGE + ", _bad STRING", {"columnNameOfCorruptRecord": "_bad"})
-    parsed = raw.select("*", F.inline(F.array(change))).withColumn("data", last_of_repeated(F.col("data")))
+    # Repeated keys are settled inside the generator, so filters on ``data`` do not settle them again.
+    settled = F.transform(F.array(change), lambda c: c.withField("data", last_of_repeated(c["data"])))
+    parsed = raw.select("*", F.inline(settled))
     # A ``data`` that is no object only leaves ``data`` null; cleaning drops the row.
     unread = F.col("_bad").isNotNull() & F.col("table").isNull() & F.col("type").isNull()
     bad = ("bad_json", F.col("value").isNull() | unread)
@@ -43,7 +45,11 @@ def parse_cdc(raw: DataFrame) -> DataFrame:
 
 def clean_cdc(changes: DataFrame) -> DataFrame:
     """Changes that name a table and carry data."""
-    return changes.where(~is_blank(F.col("table")) & has_content(F.col("data")))
+    return changes.where(is_clean())
+
+
+def is_clean() -> Column:
+    return ~is_blank(F.col("table")) & has_content(F.col("data"))
 
 
 def rule_changes(flat: DataFrame) -> DataFrame:

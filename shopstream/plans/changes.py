@@ -18,6 +18,7 @@ from shopstream.sources.topics import FolderTopics, KafkaTopics, read_topic
 from shopstream.streaming import rules as rule_store
 
 QUARANTINE = "quarantine"
+UNREAD = "unread"
 
 
 def stored_rules(root: str, by_position: bool = True) -> Callable[[SparkSession], DataFrame]:
@@ -67,15 +68,20 @@ def process_changes(
 ) -> None:
     """Route one batch of change records into facts, dimensions and quarantine.
 
-    The routed rows are staged once, in a new folder of this run, then each
-    output reads its own part. Every write to folders is keyed by ``batch_id``, so
+    The records are dealt over the cluster, as a batch may be a few files only,
+    and parsed in one pass. The routed rows and those that cannot be read are
+    staged once, in a new folder of this run, then each output reads its own
+    part. Every write to folders is keyed by ``batch_id``, so
     repeating a batch leaves the same result, with the same rules or with versions
     of them that came later (see ``stored_rules``); in Kafka the facts of a
     repeated batch are there twice.
     """
     spark = raw.sparkSession
-    parsed = cdc.parse_cdc(raw)
-    routed = cdc.annotate_cdc(cdc.clean_cdc(accepted(parsed)), rules, scratch=scratch)
+    spread = raw.repartition(spark.sparkContext.defaultParallelism, "arrival" if "arrival" in raw.columns else "value")
+    unread = F.col(REASON).isNotNull()
+    parsed = cdc.parse_cdc(spread).where(unread | cdc.is_clean())
+    routed = cdc.annotate_cdc(parsed, rules, scratch=scratch)
+    routed = routed.withColumn("route", F.when(unread, F.lit(UNREAD)).otherwise(F.col("route")))
     folder = f"{run_dir(spark, scratch)}/changes"
     routed.write.mode("overwrite").partitionBy("route").parquet(folder)
     staged = spark.read.schema(routed.schema).parquet(folder)
@@ -87,8 +93,7 @@ def process_changes(
     dims.upsert_dims(spark, changed, dim_root, batch_id)
     refused = dims.mark_dim_rows(spark, changed, dim_root).where(F.col(REASON).isNotNull()).select("value", REASON)
     unfit = staged.where(F.col("route") == "rejected").select("value", F.lit("no_type").alias(REASON))
-    unread = parsed.where(F.col(REASON).isNotNull()).select("value", REASON)
-    unfit = unfit.unionByName(unread).unionByName(refused)
+    unfit = unfit.unionByName(staged.where(F.col("route") == UNREAD).select("value", REASON)).unionByName(refused)
     unfit.write.mode("overwrite").parquet(f"{dim_root}/_{QUARANTINE}/batch={int(batch_id)}")
 
 

@@ -38,6 +38,11 @@ def test_only_changes_with_a_table_and_data_stay(topic, clean):
     assert sorted(r.arrival for r in bad.collect()) == [0, 1]
 
 
+def test_repeated_keys_are_settled_once(clean):
+    plan = clean(change(id=1))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_from_entries") == 1
+
+
 def test_routes(clean, rules):
     table = rules(
         ("t", "insert", "hbase", "dim_t"), ("f", "update", "kafka", "fact_f"), ("c", "insert", "clickhouse", "any"),

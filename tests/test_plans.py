@@ -55,6 +55,23 @@ def test_a_batch_of_changes_can_be_repeated(spark, topic, tmp_path):
         assert results(spark, facts, root) == WANT
 
 
+def test_a_batch_of_one_file_is_dealt_out_and_parsed_once(spark, topic, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        seen.add(1)
+        return value
+
+    records = [*CHANGES, *[change("f", "insert", id=i) for i in range(50)]]
+    raw = topic(*records).coalesce(1).withColumn("value", F.udf(count, "string")("value"))
+    rules = spark.createDataFrame(RULES, schemas.RULE)
+    facts, root, scratch = FolderTopics(str(tmp_path / "facts")), str(tmp_path / "dims"), tmp_path / "stage"
+    process_changes(raw, rules, facts, root, 0, str(scratch))
+    bad = spark.read.parquet(f"{root}/_quarantine").select("reject_reason").collect()
+    assert seen.value == len(records) and sorted(r.reject_reason for r in bad) == WANT[2]
+    assert len(list(scratch.glob("run-*/changes/route=fact/*.parquet"))) > 1
+
+
 def test_jobs_that_share_the_checkpoint_folder_keep_apart(spark, topic, tmp_path):
     rules = spark.createDataFrame(RULES, schemas.RULE)
     for name, records in (("a", CHANGES), ("b", [change("f", "insert", id=8)]), ("a", CHANGES)):

@@ -4,7 +4,9 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from checks import queries
 from conftest import log
 from shopstream import names, schemas
 from shopstream.functions.times import DAY_MS, position
@@ -213,6 +215,53 @@ def test_the_order_stream_forgets_what_can_match_no_more(spark, streams, feed, t
         assert keeps <= names_held and not {"value", "arrival", "expire_time", "create_hour"} & names_held
 
 
+def test_orders_of_a_minute_are_kept_as_bundles(spark, streams, feed, tmp_path):
+    def at(s):
+        return f"2021-01-01 {s // 3600:02}:{s // 60 % 60:02}:{s % 60:02}"
+
+    times = [(i, i % 50 + 3000 * (i // 1000)) for i in range(2000)]
+    info = [{"id": i % 900, "create_time": at(s), "user_id": i} for i, s in times]
+    lines = [{"id": i, "order_id": i % 900, "create_time": at(s + i % 12), "sku_name": f"s{i}"} for i, s in times]
+    source = feed(names.ORDER_INFO, info[:500], info[500:])
+    feed(names.ORDER_DETAIL, lines[:700], lines[700:])
+    wide = order_plan.stream_order_wide(streams, source, "second", delay="1 hour")
+    writer = wide.writeStream.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True)
+    writer.format("parquet").start(str(tmp_path / "out")).awaitTermination()
+    got = sorted((r.order_id, r.user_id, r.detail_id, r.sku_name) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    rows = order_plan.run_order_wide(spark, source, "second")[0].collect()
+    assert got == sorted((r.order_id, r.user_id, r.detail_id, r.sku_name) for r in rows) and len(got) > 900
+    for side in ("left", "right"):
+        held = spark.read.format("statestore").option("joinSide", side).load(str(tmp_path / "state"))
+        assert 0 < held.count() < 300
+
+
+def test_no_line_is_late_for_the_files_of_its_step(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "STREAM_FILES", 1)
+    session = queries.stream_session
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+    def many_files(*args):
+        found = session(*args)
+        for key, value in small.items():
+            found.conf.set(key, value)
+        return found
+
+    monkeypatch.setattr(queries, "stream_session", many_files)
+    day = F.timestamp_seconds(F.lit(1_600_000_000 // 86400 * 86400) + F.col("id") * 7919 % 40 * 86400)
+    orders = spark.range(400).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit(10.5).alias("o_totalprice"), day.cast("timestamp_ntz").alias("o_orderdate"),
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    lines = spark.range(1200).select(
+        (F.col("id") % 400).alias("l_orderkey"), F.col("id").alias("l_partkey"), (F.col("id") % 3 + 3).cast("int").alias("l_linenumber"),
+        F.lit(2.0).alias("l_quantity"), F.lit(3.5).alias("l_extendedprice"), F.lit(0.1).alias("l_discount"),
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    rows = queries._stream_orders("second")(spark, str(tmp_path)).select("order_id", "detail_id").collect()
+    assert sorted((r.order_id, r.detail_id) for r in rows) == sorted((k % 400, k % 400 * 8 + k % 3 + 3) for k in range(1200))
+
+
 def test_order_stream_equals_batch(spark, streams, feed, tmp_path):
     random.seed(2)
     def at(s):
